@@ -8,13 +8,14 @@ from ledgerloom.functions.dates import (
     tenure_months,
 )
 from ledgerloom.functions.labels import bin_fixed, full_name, padded_id
-from ledgerloom.functions.numbers import as_number, mean_of, percent, ratio
+from ledgerloom.functions.numbers import as_number, half_even, mean_of, percent, ratio
 
 __all__ = [
     "as_number",
     "bin_fixed",
     "days_between",
     "full_name",
+    "half_even",
     "is_quarter_four",
     "mean_of",
     "month_index",

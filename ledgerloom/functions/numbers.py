@@ -41,3 +41,8 @@ def mean_of(value: Column, places: int) -> Column:
 def as_number(value: Column) -> Column:
     """Output edge: a rounded decimal becomes ``double``."""
     return value.cast("double")
+
+
+def half_even(value: Column, places: int) -> Column:
+    """Rounding with ties to the even digit, for callers that need it; reports round ties away."""
+    return F.bround(value, places)

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import count_as_decimal, ratio
-from ledgerloom.operators.quantiles import value_counts_quantiles
-from ledgerloom.session import durable
+from ledgerloom.operators.quantiles import ordered_quantiles, ordered_value_counts
 
 
 def zscore_outliers(
@@ -48,22 +47,21 @@ def value_profile(
 ) -> DataFrame:
     """Rows, mean, exact median and maximum of ``value`` per key group.
 
-    One pass counts equal values (combined before the shuffle); all four figures come from the
-    counts, written once, so the fact is read a single time.
+    The rows are reduced to counts of equal values (combined before the shuffle); all four figures
+    come from those counts, so the fact is read a single time.
     """
-    counts = durable(
-        df.groupBy(*keys, value).agg(
-            F.count(F.lit(1)).alias("copies"), F.sum(value).alias("value_sum")
-        )
+    counts = ordered_value_counts(df, keys, value, partitions)
+    present = F.when(F.col("_value").isNotNull(), F.col("_rows"))
+    totals = counts.groupBy("_key").agg(
+        F.sum("_rows").alias("rows"),
+        ratio(F.sum("_sum"), count_as_decimal(F.sum(present))).alias("mean"),
+        F.max("_value").alias("maximum"),
     )
-    present = F.when(F.col(value).isNotNull(), F.col("copies"))
-    totals = counts.groupBy(*keys).agg(
-        F.sum("copies").alias("rows"),
-        ratio(F.sum("value_sum"), count_as_decimal(F.sum(present))).alias("mean"),
-        F.max(value).alias("maximum"),
+    medians = ordered_quantiles(counts, [Fraction(1, 2)])
+    return totals.join(medians, "_key", "left").select(
+        *[F.col("_key")[k].alias(k) for k in keys],
+        "rows",
+        "mean",
+        F.col("_quantiles")[0].alias("median"),
+        "maximum",
     )
-    medians = value_counts_quantiles(
-        counts, keys, value, "copies", [Fraction(1, 2)], partitions
-    ).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("quantiles")[0].alias("median"))
-    same = [totals[k].eqNullSafe(medians[f"_{k}"]) for k in keys]
-    return totals.join(medians, same, "left").drop(*[f"_{k}" for k in keys])

@@ -54,20 +54,22 @@ def normalise_currency(
 
 
 def fill_missing(df: DataFrame, values: Mapping[str, object] = MISSING_TEXT) -> DataFrame:
-    return df.fillna(dict(values))
+    return df.fillna(dict(values)) if values else df
 
 
 def clean_transactions(
     transactions: DataFrame,
     rates: Mapping[str, Decimal] = RATES_TO_BASE,
     order: Sequence[str] = TRANSACTION_ORDER,
+    missing: Mapping[str, object] = MISSING_TEXT,
 ) -> DataFrame:
     """First copy per id, base currency, no missing description, then completed rows only.
 
     The status filter comes last: a failed first copy also removes its completed later copies.
     """
     first = dedupe_keep_first(transactions, ["transaction_id"], order)
-    return fill_missing(normalise_currency(first, rates)).filter(F.col("status") == KEPT_STATUS)
+    converted = normalise_currency(first, rates)
+    return fill_missing(converted, missing).filter(F.col("status") == KEPT_STATUS)
 
 
 def _nulls_last(column: str) -> list[Column]:

@@ -34,33 +34,37 @@ def _targets(total: Column, probabilities: Sequence[Fraction]) -> Column:
     return F.array(*wanted)
 
 
-def value_counts_quantiles(
-    counts: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    count: str,
-    probabilities: Sequence[Fraction],
-    partitions: int | None = None,
+def ordered_value_counts(
+    df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None
 ) -> DataFrame:
-    """One row per key group: ``n`` and ``quantiles``, an array in the order of ``probabilities``.
+    """Each (group, value) once, in global order and written once.
 
-    ``counts`` holds each (keys, value) once. Positions between two values are interpolated
-    linearly. Integers and decimals stay exact up to the last division.
+    Columns: ``_key`` (a struct, so that NULL group keys still compare equal), ``_value`` (NULL last),
+    ``_rows``, ``_sum`` of the values and ``_block``, the ordered partition.
     """
-    keys = list(keys)
-    kind = dict(counts.dtypes)[value]
-    # One struct holds the group key: structs with NULL fields still compare equal.
     key = F.struct(*keys) if keys else F.struct(F.lit(1).alias("all"))
-    pairs = counts.filter(F.col(value).isNotNull()).select(
-        key.alias("_key"), F.col(value).alias("_value"), F.col(count).alias("_n")
+    counts = (
+        df.select(key.alias("_key"), F.col(value).alias("_value"))
+        .groupBy("_key", "_value")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_value").alias("_sum"))
     )
-    ordered = range_ordered(pairs, [F.col("_key").asc(), F.col("_value").asc()], partitions)
+    order = [F.col("_key").asc(), F.col("_value").asc_nulls_last()]
+    return range_ordered(counts, order, partitions).drop("_place")
+
+
+def ordered_quantiles(ordered: DataFrame, probabilities: Sequence[Fraction]) -> DataFrame:
+    """``_key``, ``_total`` (non-NULL rows) and ``_quantiles``, an array in the order asked for.
 
+    Positions between two values are interpolated linearly. Integers and decimals stay exact up to
+    the last division.
+    """
+    kind = dict(ordered.dtypes)["_value"]
+    present = ordered.filter(F.col("_value").isNotNull()).withColumnRenamed("_rows", "_n")
     # One row per ordered block and key group, at most blocks + groups rows.
     in_group = Window.partitionBy("_key")
     earlier = in_group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        ordered.groupBy("_block", "_key")
+        present.groupBy("_block", "_key")
         .agg(F.sum("_n").alias("_size"))
         .select(
             "_block",
@@ -87,8 +91,7 @@ def value_counts_quantiles(
     running = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     end = F.col("_end")
     found = (
-        ordered.drop("_place")
-        .join(hits, ["_block", "_key"])
+        present.join(hits, ["_block", "_key"])
         .withColumn("_end", F.col("_start") + running)
         .select(
             "_key",
@@ -114,11 +117,7 @@ def value_counts_quantiles(
     return (
         found.groupBy("_key")
         .agg(F.max("_total").alias("_total"), *sides)
-        .select(
-            *[F.col("_key")[k].alias(k) for k in keys],
-            F.col("_total").alias("n"),
-            F.array(*values).alias("quantiles"),
-        )
+        .select("_key", "_total", F.array(*values).alias("_quantiles"))
     )
 
 
@@ -138,10 +137,14 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
-    """Exact interpolated quantiles of ``value`` per key group; NULL values are left out."""
+    """One row per key group: ``n`` and ``quantiles`` of the non-NULL values."""
     exact = [Fraction(str(p)) if isinstance(p, float) else Fraction(p) for p in probabilities]
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_count"))
-    return value_counts_quantiles(counts, keys, value, "_count", exact, partitions)
+    found = ordered_quantiles(ordered_value_counts(df, keys, value, partitions), exact)
+    return found.select(
+        *[F.col("_key")[k].alias(k) for k in keys],
+        F.col("_total").alias("n"),
+        F.col("_quantiles").alias("quantiles"),
+    )
 
 
 def quantile_bucket(

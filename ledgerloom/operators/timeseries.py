@@ -97,12 +97,13 @@ def account_months(transactions: DataFrame) -> DataFrame:
     """Distinct (account, month) with a completed transaction.
 
     This is the small grain that MAU and retention join on; a hot account shrinks to its months
-    before any join.
+    before any join. The month travels as a date and becomes text afterwards.
     """
     return (
         transactions.filter(F.col("status") == "completed")
-        .select("account_id", month_of(F.col("transaction_date")).alias("month"))
+        .select("account_id", F.trunc("transaction_date", "MM").alias("month"))
         .distinct()
+        .withColumn("month", month_of(F.col("month")))
     )
 
 

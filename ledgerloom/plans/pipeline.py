@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import as_number
 from ledgerloom.operators import segmentation, shares
-from ledgerloom.operators.cleaning import clean_transactions
+from ledgerloom.operators.cleaning import TRANSACTION_ORDER, clean_transactions
 from ledgerloom.session import durable
 from ledgerloom.sources.schemas import Tables
 from ledgerloom.sources.storage import export_reports
@@ -27,8 +27,15 @@ CHURN_COLUMNS = (
 )
 
 
+# What segmentation reads of a transaction, in the order that picks the first copy. It is a prefix of
+# the full order, so the texts need not be sorted and shuffled along.
+SCORED_COLUMNS = TRANSACTION_ORDER[:6]
+
+
 def rfm_base(t: Tables, as_of: Column | None = None) -> DataFrame:
-    return segmentation.rfm_base(t.accounts, clean_transactions(t.transactions), as_of)
+    narrow = t.transactions.select("transaction_id", *SCORED_COLUMNS)
+    cleaned = clean_transactions(narrow, order=SCORED_COLUMNS, missing={})
+    return segmentation.rfm_base(t.accounts, cleaned, as_of)
 
 
 def rfm_segments(t: Tables, as_of: Column | None = None) -> DataFrame:

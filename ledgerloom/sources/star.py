@@ -150,11 +150,11 @@ def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roll-up per account and month; the fact is reduced before it meets the dimension."""
     per_account_month = (
         transactions(spark, sf_dir)
-        .groupBy("account_id", F.date_format("transaction_date", "yyyy-MM").alias("month"))
+        .groupBy("account_id", F.trunc("transaction_date", "MM").alias("first_day"))
         .agg(F.sum("amount").alias("spent"))
     )
     return per_account_month.join(_account_base(spark, sf_dir), "account_id").select(
-        "month",
+        F.date_format("first_day", "yyyy-MM").alias("month"),
         "account_id",
         "customer_id",
         "product_name",

@@ -1,0 +1,102 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import money, transactions, values
+from ledgerloom.operators.cleaning import (
+    TRANSACTION_ORDER,
+    clean_transactions,
+    cleaning_profile,
+    dedupe_keep_first,
+    fill_missing,
+    normalise_currency,
+)
+
+ROWS = [
+    ("T1", "A1", "2023-01-01", "deposit", 10, "CAD", "x", "failed"),
+    ("T1", "A1", "2023-01-02", "deposit", 20, "CAD", "x", "completed"),
+    ("T1", "A1", "2023-01-03", "deposit", 30, "USD", "x", "completed"),
+    ("T2", "A1", "2023-01-04", "payment", 10, "USD", None, "completed"),
+    ("T3", "A2", "2023-01-04", "payment", 7, "EUR", "y", "completed"),
+    ("T4", "A2", "2023-01-05", None, 5, None, None, "pending"),
+    (None, "A2", "2023-01-06", "fee", 1, "CAD", "z", "completed"),
+    (None, "A2", "2023-01-07", "fee", 2, "CAD", "z", "completed"),
+]
+
+
+def test_first_copy_is_kept_before_the_status_filter(spark):
+    cleaned = clean_transactions(transactions(spark, ROWS))
+    assert values(cleaned, "transaction_id") == {("T2",), ("T3",), (None,)}
+
+
+def test_missing_ids_count_as_one_key(spark):
+    first = dedupe_keep_first(transactions(spark, ROWS), ["transaction_id"], TRANSACTION_ORDER)
+    assert first.filter(F.col("transaction_id").isNull()).count() == 1
+
+
+def test_missing_order_values_come_last(spark):
+    rows = [("T", "A", None, "deposit", 1), ("T", "A", "2023-05-05", "deposit", 2)]
+    kept = dedupe_keep_first(transactions(spark, rows), ["transaction_id"], TRANSACTION_ORDER)
+    assert values(kept, "amount") == {(money(2),)}
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_dedupe_is_the_same_for_any_partitioning_and_idempotent(spark, partitions):
+    rows = [(f"T{i % 5}", f"A{i % 3}", f"2023-01-{1 + i % 9:02d}", "deposit", i) for i in range(60)]
+    source = transactions(spark, rows)
+    once = dedupe_keep_first(source.repartition(partitions), ["transaction_id"], TRANSACTION_ORDER)
+    twice = dedupe_keep_first(once, ["transaction_id"], TRANSACTION_ORDER)
+    expected = {
+        min((r for r in rows if r[0] == f"T{k}"), key=lambda r: (r[2], r[1], r[3], r[4]))[4]
+        for k in range(5)
+    }
+    assert {int(a) for (a,) in values(once, "amount")} == expected
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_only_listed_currencies_change_and_nothing_is_rounded(spark):
+    rows = [
+        ("T1", "A", "2023-01-01", "deposit", "0.33", "USD"),
+        ("T2", "A", "2023-01-01", "deposit", "1", "CAD"),
+        ("T3", "A", "2023-01-01", "deposit", "2", "EUR"),
+        ("T4", "A", "2023-01-01", "deposit", "3", None),
+    ]
+    got = values(normalise_currency(transactions(spark, rows)), "transaction_id", "amount", "currency")
+    assert got == {
+        ("T1", Decimal("0.4488"), "CAD"),
+        ("T2", Decimal("1"), "CAD"),
+        ("T3", Decimal("2"), "EUR"),
+        ("T4", Decimal("3"), None),
+    }
+
+
+def test_rates_are_a_parameter(spark):
+    rows = [("T3", "A", "2023-01-01", "deposit", "2", "EUR")]
+    got = normalise_currency(transactions(spark, rows), {"EUR": Decimal("1.5")}, "USD").first()
+    assert (got["amount"], got["currency"]) == (Decimal("3"), "USD")
+
+
+def test_missing_descriptions(spark):
+    filled = fill_missing(transactions(spark, ROWS))
+    assert filled.filter(F.col("description") == "Unknown").count() == 2
+    assert filled.filter(F.col("currency").isNull()).count() == 1
+
+
+def test_profile_adds_up(spark):
+    source = transactions(spark, ROWS)
+    got = cleaning_profile(source).first().asDict()
+    assert got == {
+        "input_rows": 8,
+        "duplicates_removed": 3,
+        "currency_converted": 1,
+        "descriptions_filled": 2,
+        "completed_kept": 3,
+    }
+    assert got["completed_kept"] == clean_transactions(source).count()
+
+
+def test_empty_input(spark):
+    empty = transactions(spark, ROWS).limit(0)
+    assert clean_transactions(empty).count() == 0
+    assert set(cleaning_profile(empty).first()) == {0}
