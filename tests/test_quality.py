@@ -1,0 +1,125 @@
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import accounts, customers, revenue, transactions, values
+from ledgerloom.operators import anomaly, quality
+from ledgerloom.plans import reports
+from ledgerloom.sources.schemas import Tables
+
+
+@pytest.fixture
+def broken(spark):
+    people = customers(
+        spark,
+        [
+            ("C1", "R", "2023-01-01", False, None),
+            ("C1", "R", "2023-01-01", True, None),
+            ("C2", "R" * 60, "2023-01-01", True, "2023-02-01"),
+            (None, "R", "2023-01-01", None, None),
+            ("C-far-too-long", "R", "2023-01-01", False, None),
+        ],
+    )
+    held = accounts(
+        spark,
+        [("A1", "C1", "P"), ("A2", "nobody", "P"), ("A3", "nobody", "P"), ("A4", None, "P")],
+    )
+    txns = transactions(
+        spark,
+        [
+            ("T1", "A1", "2023-01-01", "deposit", 1, "USD", None, "failed"),
+            ("T1", "A1", "2023-01-01", "deposit", 1, "CAD", "x", "completed"),
+            ("T1", "gone", "2023-01-01", "deposit", 1, "CAD", "x", "completed"),
+            (None, None, "2023-01-01", "deposit", 1, "USD", "x", "completed"),
+        ],
+    )
+    months = revenue(spark, [("2023-01", "A1", "C1", "P", "R", 1), ("2023-01", "A9", "C9", "P", "R", 1)])
+    return Tables(people, held, txns, months)
+
+
+def test_integrity(broken):
+    got = {
+        (r["table_name"], r["check_name"], r["column_name"]): r["violations"]
+        for r in quality.integrity_audit(broken.named()).collect()
+    }
+    found = {k: v for k, v in got.items() if v}
+    assert found == {
+        ("customers", "missing key", "customer_id"): 1,
+        ("customers", "repeated value", "customer_id"): 1,
+        ("customers", "repeated value", "email"): 1,
+        ("customers", "longer than 10", "customer_id"): 1,
+        ("customers", "longer than 50", "region"): 1,
+        ("accounts", "not in customers", "customer_id"): 2,
+        ("transactions", "not in accounts", "account_id"): 1,
+        ("monthly_revenue", "not in accounts", "account_id"): 1,
+        ("monthly_revenue", "not in customers", "customer_id"): 1,
+    }
+    assert ("accounts", "missing key", "account_id") in got
+
+
+def test_audit_counts(broken):
+    got = {r["issue"]: r["affected_rows"] for r in reports.quality_audit(broken).collect()}
+    assert got == {
+        "null description": 1,
+        "duplicate transaction_id": 3,
+        "USD currency (needs conversion)": 2,
+        "failed status": 1,
+        "churned without churn_date": 1,
+    }
+
+
+def test_audit_of_empty_tables_is_zero(broken):
+    empty = Tables(**{name: df.limit(0) for name, df in broken.named().items()})
+    assert {r["affected_rows"] for r in reports.quality_audit(empty).collect()} == {0}
+    assert {r["violations"] for r in quality.integrity_audit(empty.named()).collect()} == {0}
+    assert values(quality.table_row_counts(empty.named()), "row_count") == {(0,)}
+
+
+def test_row_counts(broken):
+    got = dict(values(quality.table_row_counts(broken.named()), "table_name", "row_count"))
+    assert got == {"customers": 5, "accounts": 4, "transactions": 4, "monthly_revenue": 2}
+
+
+def test_zscore_uses_the_baseline_for_mean_and_deviation(spark):
+    base = [10.0, 12.0, 9.0, 11.0, 10.5]
+    rows = [("base", v) for v in base] + [("other", 100.0), ("other", 11.0), ("other", None)]
+    source = spark.createDataFrame(rows, "kind string, v double")
+    got = anomaly.zscore_outliers(source, "v", F.col("kind") == "base").collect()
+    assert len(got) == 1 and got[0]["v"] == 100.0
+    expected = (100.0 - statistics.mean(base)) / statistics.stdev(base)
+    assert got[0]["z_score"] == pytest.approx(expected)
+
+
+def test_zscore_is_one_sided_and_survives_a_constant_baseline(spark):
+    low = spark.createDataFrame([(1.0,)] * 30 + [(1.1,), (-500.0,)], "v double")
+    assert anomaly.zscore_outliers(low, "v").count() == 0
+    constant = spark.createDataFrame([(1.0,)] * 5, "v double")
+    assert anomaly.zscore_outliers(constant, "v").count() == 0
+    assert anomaly.zscore_outliers(constant.limit(0), "v").count() == 0
+
+
+def test_value_profile_with_ties_nulls_and_even_counts(spark):
+    from decimal import Decimal
+
+    rows = [("a", "1.00"), ("a", "1.00"), ("a", "1.01"), ("a", "9.99"), ("b", "5.00"), ("b", None), (None, "2.00")]
+    source = spark.createDataFrame([(k, v and Decimal(v)) for k, v in rows], "k string, v decimal(12,2)")
+    got = {r["k"]: r for r in anomaly.value_profile(source, ["k"], "v", 3).collect()}
+    assert got["a"]["rows"] == 4 and got["a"]["median"] == Decimal("1.005")
+    assert got["a"]["mean"] == Decimal("3.25") and got["a"]["maximum"] == Decimal("9.99")
+    assert (got["b"]["rows"], got["b"]["mean"], got["b"]["median"]) == (2, 5, 5)
+    assert got[None]["median"] == 2
+
+
+def test_anomaly_report_scores_fees_but_leaves_them_out_of_the_baseline(spark):
+    rows = [(f"T{i}", "A1", "2023-01-01", "deposit", 10 + i % 3) for i in range(40)]
+    rows += [("big fee", "A1", "2023-01-02", "fee", 900), ("failed", "A1", "2023-01-02", "deposit", 900, "CAD", "x", "failed")]
+    t = Tables(
+        customers(spark, [("C1", "R", "2023-01-01", False, None)]),
+        accounts(spark, [("A1", "C1", "P")]),
+        transactions(spark, rows),
+        revenue(spark, []),
+    )
+    got = reports.anomalies(t).collect()
+    assert [r["transaction_id"] for r in got] == ["big fee"]
+    assert got[0]["customer_name"] == "Ann Lee C1"

@@ -1,0 +1,182 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import accounts, day, revenue, tables, values
+from ledgerloom.operators import timeseries as ts
+from ledgerloom.plans import reports
+
+
+def totals(spark, pairs):
+    rows = [(m, None if v is None else Decimal(v)) for m, v in pairs]
+    return spark.createDataFrame(rows, "month string, total decimal(22,2)")
+
+
+def test_change_with_zero_null_and_missing_months(spark):
+    series = totals(
+        spark,
+        [("2023-01", "100"), ("2023-02", "125"), ("2023-03", "0"), ("2023-05", "40"), ("2023-06", None)],
+    )
+    got = {
+        r["month"]: (r["change"], r["change_pct"]) for r in ts.period_change(series).collect()
+    }
+    assert got["2023-01"] == (None, None)
+    assert got["2023-02"] == (Decimal("25"), Decimal("25.00"))
+    assert got["2023-03"] == (Decimal("-125"), Decimal("-100.00"))
+    assert got["2023-05"] == (Decimal("40"), None)
+    assert got["2023-06"] == (None, None)
+
+
+def test_next_period(spark):
+    series = totals(spark, [("2023-01", "100"), ("2023-02", "50")])
+    got = {
+        r["month"]: (r["total_next"], r["change"], r["change_pct"])
+        for r in ts.period_change(series, direction="next").collect()
+    }
+    assert got == {
+        "2023-01": (Decimal("50"), Decimal("-50"), Decimal("-50")),
+        "2023-02": (None, None, None),
+    }
+    with pytest.raises(ValueError):
+        ts.period_change(series, direction="sideways")
+
+
+def test_running_share_ends_at_one_hundred(spark):
+    series = totals(spark, [("2023-03", "1"), ("2023-01", "1"), ("2023-02", "1")])
+    got = ts.running_share(series).orderBy("month").collect()
+    assert [r["cumulative"] for r in got] == [1, 2, 3]
+    assert [r["cumulative_pct"] for r in got] == [Decimal("33.3"), Decimal("66.7"), Decimal("100.0")]
+
+
+def test_trend_boundaries(spark):
+    ends = {
+        "exactly up": (100, 110),
+        "up": (100, 111),
+        "exactly down": (100, 90),
+        "down": (100, 89),
+        "from zero": (0, 5),
+    }
+    rows = [("2023-01", "A", "C", p, "R", a) for p, (a, _) in ends.items()]
+    rows += [("2023-06", "A", "C", p, "R", z) for p, (_, z) in ends.items()]
+    rows += [("2023-03", "A", "C", p, "R", 1000) for p in ends]
+    rows.append(("2023-02", "A", "C", "one month", "R", 8))
+    got = ts.first_last_trend(revenue(spark, rows))
+    trend = dict(values(got, "product_name", "trend"))
+    assert trend == {
+        "exactly up": ts.STABLE,
+        "up": ts.GROWING,
+        "exactly down": ts.STABLE,
+        "down": ts.DECLINING,
+        "from zero": ts.GROWING,
+        "one month": ts.STABLE,
+    }
+    growth = dict(values(got, "product_name", "growth_pct"))
+    assert growth["up"] == Decimal("11.0") and growth["from zero"] is None
+
+
+def test_partial_last_period_is_left_out(spark):
+    rows = [("2023-01", "A", "C", "P", "R", 1), ("2023-02", "A", "C", "P", "R", 2)]
+    assert values(ts.before_last_period(revenue(spark, rows)), "month") == {("2023-01",)}
+
+
+def test_month_spine_edges(spark):
+    lives = accounts(
+        spark,
+        [
+            ("closed on the first", "C", "P", "closed", "2023-01-20", "2023-03-01"),
+            ("opened on the last", "C", "P", "active", "2023-04-30", None),
+            ("closed before it opened, same month", "C", "P", "closed", "2023-02-20", "2023-02-10"),
+            ("closed in an earlier month", "C", "P", "closed", "2023-04-02", "2023-03-30"),
+            ("never opened", "C", "P", "active", None, None),
+        ],
+    )
+    end = F.to_date(F.lit("2023-05-15"))
+    got = {}
+    for key, month in values(ts.month_spine(lives, end=end), "account_id", "month"):
+        got.setdefault(key, set()).add(month)
+    assert got == {
+        "closed on the first": {"2023-01", "2023-02", "2023-03"},
+        "opened on the last": {"2023-04", "2023-05"},
+        "closed before it opened, same month": {"2023-02"},
+    }
+    assert dict(values(ts.active_accounts_by_month(lives, end), "month", "active_accounts")) == {
+        "2023-01": 1, "2023-02": 2, "2023-03": 1, "2023-04": 1, "2023-05": 1,
+    }
+
+
+def test_spine_ends_with_the_data_by_default(spark):
+    lives = accounts(
+        spark,
+        [("a", "C", "P", "active", "2023-01-20", None), ("b", "C", "P", "closed", "2023-02-01", "2023-03-05")],
+    )
+    months = values(ts.month_spine(lives).filter("account_id = 'a'"), "month")
+    assert months == {("2023-01",), ("2023-02",), ("2023-03",)}
+
+
+def cohort_tables(spark):
+    return tables(
+        spark,
+        [
+            ("C1", "R", "2023-01-05", False, None),
+            ("C2", "R", "2023-01-25", False, None),
+            ("no account", "R", "2023-01-30", False, None),
+            ("C4", "R", "2023-02-01", False, None),
+        ],
+        [("A1", "C1", "P"), ("A1b", "C1", "Q"), ("A2", "C2", "P"), ("A4", "C4", "P")],
+        [
+            ("T1", "A1", "2023-02-03", "fee", 1),
+            ("T2", "A1b", "2023-02-04", "fee", 1),
+            ("T3", "A2", "2023-02-05", "fee", 1),
+            ("T4", "A2", "2023-03-05", "fee", 1, "CAD", "x", "pending"),
+            ("T5", "A4", "2023-03-31", "fee", 1),
+            ("T6", "orphan", "2023-03-31", "fee", 1),
+        ],
+    )
+
+
+def test_cohorts_count_all_members_in_the_size(spark):
+    got = values(
+        reports.cohort_retention(cohort_tables(spark)),
+        "cohort_month", "cohort_size", "active_month", "active_customers", "retention_rate_pct",
+    )
+    assert got == {("2023-01", 3, "2023-02", 2, 66.7), ("2023-02", 1, "2023-03", 1, 100.0)}
+
+
+def test_monthly_active_users(spark):
+    got = reports.monthly_active_users(cohort_tables(spark))
+    assert values(got, "month", "mau") == {("2023-02", 2), ("2023-03", 1)}
+
+
+def test_first_quarter_split_always_adds_up(spark):
+    rows = [(f"2023-{m:02d}", "A", "C", "P", f"R{m % 2}", m) for m in range(1, 13)]
+    rows += [("2022-11", "A", "C", "P", "R0", 99), (None, "A", "C", "P", "R0", 99)]
+    report = reports.quarter_four_by_region(tables(spark, [], [], [], rows), 2023)
+    for row in report.collect():
+        assert row["q4_revenue"] + row["non_q4_revenue"] == row["total_revenue"]
+    assert values(report, "region", "q4_revenue") == {("R0", 22.0), ("R1", 11.0)}
+
+
+def test_reports_of_empty_tables_are_empty(spark):
+    empty = tables(spark, [], [], [])
+    for report in (
+        reports.revenue_mom,
+        reports.product_trend,
+        reports.region_share,
+        reports.churn_by_month,
+        reports.cohort_retention,
+        reports.rfm_ntile,
+        reports.cross_sell,
+        reports.anomalies,
+        reports.top_lifetime_value,
+        reports.monthly_active_users,
+        reports.transaction_values,
+        reports.churn_inactivity,
+        reports.running_share,
+        reports.product_mix_growth,
+    ):
+        assert report(empty).count() == 0, report.__name__
+
+
+def test_dates_stay_dates(spark):
+    assert day("2023-01-01") in {d for (d,) in values(accounts(spark, [("a", "c", "p")]), "open_date")}
