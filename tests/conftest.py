@@ -33,9 +33,12 @@ def setting(spark):
     before = {}
 
     def change(key, value):
-        before.setdefault(key, spark.conf.get(key))
+        before.setdefault(key, spark.conf.get(key, None))
         spark.conf.set(key, value)
 
     yield change
     for key, value in before.items():
-        spark.conf.set(key, value)
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
