@@ -56,25 +56,19 @@ def running_share(totals: DataFrame, period: str = "month", value: str = "total"
 
 
 def first_last_trend(
-    df: DataFrame,
-    key: str | None = "product_name",
+    totals: DataFrame,
+    key: str = "product_name",
     period: str = "month",
-    value: str = "revenue",
+    value: str = "total",
     up: Decimal = Decimal("1.10"),
     down: Decimal = Decimal("0.90"),
 ) -> DataFrame:
     """First and last period's total per key, growth in percent and a trend label.
 
-    Two plain aggregations, no window: the second works on one row per key and period.
+    ``totals`` holds one row per key and period, so this is a small aggregation and needs no window.
     """
-    keys = [key] if key else []
-    ends = (
-        period_totals(df, *keys, period, value=value)
-        .groupBy(*keys)
-        .agg(
-            F.min_by("total", period).alias("first_total"),
-            F.max_by("total", period).alias("last_total"),
-        )
+    ends = totals.groupBy(key).agg(
+        F.min_by(value, period).alias("first_total"), F.max_by(value, period).alias("last_total")
     )
     first, last = F.col("first_total"), F.col("last_total")
     return ends.withColumns(
@@ -87,10 +81,17 @@ def first_last_trend(
     )
 
 
-def before_last_period(df: DataFrame, period: str = "month") -> DataFrame:
-    """Without the last, possibly partial period of the data (a scalar read of one column)."""
-    last = df.agg(F.max(period)).scalar()
-    return df.filter(F.col(period) < last)
+def before_last_period(totals: DataFrame, period: str = "month") -> DataFrame:
+    """Without the last, possibly partial period.
+
+    ``totals`` is grouped by period, so finding the last one takes no second pass over the fact.
+    """
+    everything = Window.partitionBy(F.lit(1))
+    return (
+        totals.withColumn("_last", F.max(period).over(everything))
+        .filter(F.col(period) < F.col("_last"))
+        .drop("_last")
+    )
 
 
 def account_months(transactions: DataFrame) -> DataFrame:

@@ -41,9 +41,9 @@ def revenue_mom(t: Tables) -> DataFrame:
 
 def product_trend(t: Tables) -> DataFrame:
     """First against last month per product, without the last, partial month of the data."""
-    complete = timeseries.before_last_period(t.monthly_revenue)
+    totals = timeseries.period_totals(t.monthly_revenue, "product_name", "month")
     return (
-        timeseries.first_last_trend(complete)
+        timeseries.first_last_trend(timeseries.before_last_period(totals))
         .select(
             "product_name",
             _money("first_total", "first_month_revenue"),
@@ -400,15 +400,14 @@ def product_mix_growth(t: Tables) -> DataFrame:
 
     The fact is reduced once to product and month; the total row is summed from those.
     """
-    complete = timeseries.before_last_period(t.monthly_revenue)
-    by_product = timeseries.period_totals(complete, "product_name", "month", name="revenue")
-    lines = by_product.select(
+    totals = timeseries.period_totals(t.monthly_revenue, "product_name", "month")
+    lines = timeseries.before_last_period(totals).select(
         F.explode(F.array(F.col("product_name"), F.lit("All products"))).alias("product_name"),
         "month",
-        "revenue",
+        "total",
     )
     return (
-        timeseries.first_last_trend(lines)
+        timeseries.first_last_trend(timeseries.period_totals(lines, "product_name", "month", value="total"))
         .select(
             "product_name",
             _money("first_total", "first_revenue"),

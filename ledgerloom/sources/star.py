@@ -93,6 +93,7 @@ def _account_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("c_custkey") % 3)))
         .withColumns(
             {
+                "account_number": F.col("c_custkey") * 3 + slot,
                 "account_id": F.concat(F.lit("ACC"), F.col("c_custkey") * 3 + slot),
                 "product_name": product,
                 "open_date": F.col("join_date"),
@@ -113,47 +114,60 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _account_base(spark, sf_dir).select(*ACCOUNTS.names)
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("l_partkey") % 20
-    outcome = (F.col("l_partkey") + F.col("l_suppkey")) % 100
+def _transaction_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order: account number, date and amount next to the raw columns."""
     gross = F.col("l_extendedprice").cast(MONEY) * F.col("l_quantity").cast("decimal(4,0)")
     owner = F.col("o_custkey")
     return (
         star_table(spark, sf_dir, "lineitem")
         .join(star_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.concat(F.lit("TXN"), "l_orderkey", F.lit("-"), "l_linenumber").alias("transaction_id"),
-            F.concat(F.lit("ACC"), owner * 3 + F.col("l_linenumber") % (owner % 3 + 1)).alias(
-                "account_id"
-            ),
-            F.col("o_orderdate").cast("date").alias("transaction_date"),
-            F.when(kind == 0, "fee")
-            .when(kind == 1, "interest")
-            .when(kind <= 4, "payment")
-            .when(kind <= 8, "transfer")
-            .when(kind <= 13, "withdrawal")
-            .otherwise("deposit")
-            .alias("transaction_type"),
-            F.round(gross * F.lit(Decimal("0.02")), 2).cast(MONEY).alias("amount"),
-            F.when(F.col("l_suppkey") % 14 == 0, "USD").otherwise("CAD").alias("currency"),
-            F.when(F.col("l_partkey") % 7 != 0, "Online Transfer").alias("description"),
-            F.when(outcome < 92, "completed")
-            .when(outcome < 97, "pending")
-            .otherwise("failed")
-            .alias("status"),
-            _pick(F.col("l_suppkey") % 7, MERCHANTS).alias("merchant_category"),
+        .withColumns(
+            {
+                "account_number": owner * 3 + F.col("l_linenumber") % (owner % 3 + 1),
+                "transaction_date": F.col("o_orderdate").cast("date"),
+                "amount": F.round(gross * F.lit(Decimal("0.02")), 2).cast(MONEY),
+            }
         )
     )
 
 
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("l_partkey") % 20
+    outcome = (F.col("l_partkey") + F.col("l_suppkey")) % 100
+    return _transaction_base(spark, sf_dir).select(
+        F.concat(F.lit("TXN"), "l_orderkey", F.lit("-"), "l_linenumber").alias("transaction_id"),
+        F.concat(F.lit("ACC"), "account_number").alias("account_id"),
+        "transaction_date",
+        F.when(kind == 0, "fee")
+        .when(kind == 1, "interest")
+        .when(kind <= 4, "payment")
+        .when(kind <= 8, "transfer")
+        .when(kind <= 13, "withdrawal")
+        .otherwise("deposit")
+        .alias("transaction_type"),
+        "amount",
+        F.when(F.col("l_suppkey") % 14 == 0, "USD").otherwise("CAD").alias("currency"),
+        F.when(F.col("l_partkey") % 7 != 0, "Online Transfer").alias("description"),
+        F.when(outcome < 92, "completed")
+        .when(outcome < 97, "pending")
+        .otherwise("failed")
+        .alias("status"),
+        _pick(F.col("l_suppkey") % 7, MERCHANTS).alias("merchant_category"),
+    )
+
+
 def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roll-up per account and month; the fact is reduced before it meets the dimension."""
+    """Roll-up per account and month.
+
+    The fact is reduced before it meets the dimension, on fixed-width keys; ids and months become text
+    afterwards.
+    """
     per_account_month = (
-        transactions(spark, sf_dir)
-        .groupBy("account_id", F.trunc("transaction_date", "MM").alias("first_day"))
+        _transaction_base(spark, sf_dir)
+        .groupBy("account_number", F.trunc("transaction_date", "MM").alias("first_day"))
         .agg(F.sum("amount").alias("spent"))
     )
-    return per_account_month.join(_account_base(spark, sf_dir), "account_id").select(
+    return per_account_month.join(_account_base(spark, sf_dir), "account_number").select(
         F.date_format("first_day", "yyyy-MM").alias("month"),
         "account_id",
         "customer_id",

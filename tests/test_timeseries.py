@@ -61,7 +61,8 @@ def test_trend_boundaries(spark):
     rows += [("2023-06", "A", "C", p, "R", z) for p, (_, z) in ends.items()]
     rows += [("2023-03", "A", "C", p, "R", 1000) for p in ends]
     rows.append(("2023-02", "A", "C", "one month", "R", 8))
-    got = ts.first_last_trend(revenue(spark, rows))
+    series = ts.period_totals(revenue(spark, rows), "product_name", "month")
+    got = ts.first_last_trend(series)
     trend = dict(values(got, "product_name", "trend"))
     assert trend == {
         "exactly up": ts.STABLE,
