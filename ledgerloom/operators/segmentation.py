@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import bin_fixed
 from ledgerloom.functions.numbers import count_as_decimal, ratio
-from ledgerloom.operators.quantiles import quantile_bucket
-from ledgerloom.operators.ranking import global_ntile, rank_quantile_bucket
+from ledgerloom.operators.order_statistics import (
+    ntile_ends,
+    rank_buckets,
+    recency_and_rank_buckets,
+)
 from ledgerloom.session import durable
 
 # Segment names and the lowest total of each.
@@ -37,11 +40,11 @@ def rfm_segment(total: Column, r_score: Column) -> Column:
 
 
 def rfm_base(accounts: DataFrame, cleaned: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Recency in days, number and sum of non-fee transactions per customer.
+    """Recency in days, number and sum of non-fee transactions per customer, from a durable roll-up.
 
-    The snapshot (default: the day after the last cleaned row, fees included) and the sums come from
-    one per-account roll-up, written once, so the cleaning and its shuffle run a single time. A NULL
-    type counts as not a fee.
+    The default snapshot is the day after the last cleaned row of any kind, fees and unknown accounts
+    included, so the roll-up keeps those too until it is written: snapshot and sums then come from one
+    pass over the fact. A NULL type counts as not a fee.
     """
     not_fee = ~F.col("transaction_type").eqNullSafe(F.lit("fee"))
     per_account = cleaned.groupBy("account_id").agg(
@@ -51,21 +54,20 @@ def rfm_base(accounts: DataFrame, cleaned: DataFrame, as_of: Column | None = Non
         F.count(F.when(not_fee, F.col("transaction_id"))).alias("frequency"),
         F.sum(F.when(not_fee, F.col("amount"))).alias("monetary"),
     )
-    if as_of is None:
-        per_account = durable(per_account)
-        as_of = per_account.agg(F.date_add(F.max("last_any"), 1)).scalar()
-    per_customer = (
-        per_account.filter(F.col("rows") > 0)
-        .join(accounts.select("account_id", "customer_id"), "account_id")
-        .filter(F.col("customer_id").isNotNull())
+    per_customer = durable(
+        per_account.join(accounts.select("account_id", "customer_id"), "account_id", "left")
         .groupBy("customer_id")
         .agg(
+            F.max("last_any").alias("last_any"),
             F.max("last_date").alias("last_date"),
+            F.sum("rows").alias("rows"),
             F.sum("frequency").alias("frequency"),
             F.coalesce(F.sum("monetary"), F.lit(0)).alias("monetary"),
         )
     )
-    return per_customer.select(
+    if as_of is None:
+        as_of = per_customer.agg(F.date_add(F.max("last_any"), 1)).scalar()
+    return per_customer.filter(F.col("customer_id").isNotNull() & (F.col("rows") > 0)).select(
         "customer_id",
         F.datediff(as_of, F.col("last_date")).alias("recency"),
         "frequency",
@@ -74,16 +76,20 @@ def rfm_base(accounts: DataFrame, cleaned: DataFrame, as_of: Column | None = Non
 
 
 def rfm_scores(base: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Scores 1 to 5, 5 best: recency by value quantiles, frequency and monetary by rank quantiles."""
-    by_frequency = rank_quantile_bucket(
-        base, "frequency", 5, "customer_id", "f_score", partitions
-    )
-    by_monetary = rank_quantile_bucket(
-        by_frequency, "monetary", 5, "customer_id", "m_score", partitions
-    )
-    scored = quantile_bucket(
-        by_monetary, "recency", 5, [5, 4, 3, 2, 1], "r_score", partitions=partitions
+    """Scores 1 to 5, 5 best: recency by value quantiles, frequency and monetary by rank quantiles.
+
+    One global sort for all three. ``base`` is read twice, so it should be durable, as
+    :func:`rfm_base` makes it.
+    """
+    bucketed = recency_and_rank_buckets(
+        base,
+        ("r_bucket", "recency"),
+        {"f_score": "frequency", "m_score": "monetary"},
+        "customer_id",
+        5,
+        partitions,
     )
+    scored = bucketed.withColumn("r_score", 6 - F.col("r_bucket")).drop("r_bucket")
     return scored.withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 
@@ -144,14 +150,12 @@ def rfm_ntile(
     By default tile 1 holds the best customers while the segment rule expects high totals for them,
     as in the report this reproduces. ``best_is_high`` turns the scores round.
     """
-    tie = F.col("customer_id").asc()
-    scored = base
-    for name, best_first in (
-        ("r_score", F.col("last_transaction").desc_nulls_last()),
-        ("f_score", F.col("frequency").desc_nulls_last()),
-        ("m_score", F.col("monetary").desc_nulls_last()),
-    ):
-        scored = global_ntile(scored, 5, [best_first, tie], name, partitions)
+    best_first = {
+        "r_score": -F.unix_date("last_transaction"),
+        "f_score": -F.col("frequency"),
+        "m_score": -F.col("monetary"),
+    }
+    scored = rank_buckets(durable(base), best_first, "customer_id", ntile_ends(5), partitions)
     if best_is_high:
         scored = scored.withColumns(
             {name: 6 - F.col(name) for name in ("r_score", "f_score", "m_score")}

@@ -1 +1 @@
-"""Complete reports and pipelines composed from the operators."""
+"""Complete reports and scorings composed from the operators."""

@@ -19,7 +19,7 @@ from ledgerloom.operators.cleaning import (
 )
 from ledgerloom.operators.quantiles import quantile_bucket
 from ledgerloom.operators.ranking import global_ntile, rank_quantile_bucket
-from ledgerloom.plans import pipeline, reports
+from ledgerloom.plans import reports, scoring
 from ledgerloom.sources import star, storage
 from ledgerloom.sources.schemas import CUSTOMERS, MONTHLY_REVENUE, Tables
 
@@ -47,11 +47,11 @@ def _rfm_rows(rfm: DataFrame) -> DataFrame:
 
 
 def _rfm_base(t: Tables) -> DataFrame:
-    return _rfm_rows(pipeline.rfm_base(t))
+    return _rfm_rows(scoring.rfm_base(t))
 
 
 def _rfm_segments(t: Tables) -> DataFrame:
-    return _rfm_rows(pipeline.rfm_segments(t))
+    return _rfm_rows(scoring.rfm_segments(t))
 
 
 def _churn_rows(risk: DataFrame) -> DataFrame:
@@ -64,13 +64,13 @@ def _kpi_rows(kpi: DataFrame) -> DataFrame:
 
 
 def _recency_buckets(t: Tables) -> DataFrame:
-    base = pipeline.rfm_base(t)
+    base = scoring.rfm_base(t)
     scored = quantile_bucket(base, "recency", 5, [5, 4, 3, 2, 1], "r_score")
     return scored.select("customer_id", F.col("recency").cast("bigint").alias("recency"), "r_score")
 
 
 def _rank_scores(t: Tables) -> DataFrame:
-    base = pipeline.rfm_base(t)
+    base = scoring.rfm_base(t)
     scored = rank_quantile_bucket(base, "frequency", 5, "customer_id", "f_score")
     scored = rank_quantile_bucket(scored, "monetary", 5, "customer_id", "m_score")
     return scored.select("customer_id", "frequency", "f_score", "m_score")
@@ -158,7 +158,7 @@ def _appended_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _exported_churn_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four exports written; the churn export read back."""
     folder = storage.fresh_folder(spark, "exports")
-    exports = pipeline.run_exports(star.StarTables(spark, sf_dir), folder)
+    exports = scoring.run_exports(star.StarTables(spark, sf_dir), folder)
     back = storage.read_csv_table(spark, f"{folder}/churn_risk", exports.churn_risk.schema)
     return _churn_rows(back)
 
@@ -218,17 +218,17 @@ def queries() -> dict[str, Query]:
         "rank_quintile_scores": on(_rank_scores),
         "rfm_base": on(_rfm_base),
         "rfm_segments": on(_rfm_segments),
-        "rfm_segment_counts": on(lambda t: pipeline.segment_counts(pipeline.rfm_segments(t))),
+        "rfm_segment_counts": on(lambda t: scoring.segment_counts(scoring.rfm_segments(t))),
         "rfm_ntile_best_high": on(lambda t: reports.rfm_ntile(t, best_is_high=True)),
-        "churn_risk_scores": on(lambda t: _churn_rows(pipeline.churn_risk(pipeline.rfm_segments(t)))),
-        "churn_label_counts": on(lambda t: pipeline.risk_counts(pipeline.rfm_segments(t))),
+        "churn_risk_scores": on(lambda t: _churn_rows(scoring.churn_risk(scoring.rfm_segments(t)))),
+        "churn_label_counts": on(lambda t: scoring.risk_counts(scoring.rfm_segments(t))),
         "kpi_summary": on(
             lambda t: _kpi_rows(
-                segmentation.kpi_summary(pipeline.rfm_segments(t), t.monthly_revenue)
+                segmentation.kpi_summary(scoring.rfm_segments(t), t.monthly_revenue)
             )
         ),
         "segment_revenue_share": on(
-            lambda t: pipeline.segment_revenue_share(pipeline.rfm_segments(t), t.monthly_revenue)
+            lambda t: scoring.segment_revenue_share(scoring.rfm_segments(t), t.monthly_revenue)
         ),
         # series, chart data and headline shares
         "revenue_next_month": on(reports.revenue_next_month),

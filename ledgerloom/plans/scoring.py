@@ -96,7 +96,7 @@ class Exports:
 
 
 def build_exports(t: Tables, as_of: Column | None = None) -> Exports:
-    """The whole pipeline; the segments are written once and feed the other reports."""
+    """The whole chain; the segments are written once and feed the other reports."""
     rfm = durable(rfm_segments(t, as_of))
     return Exports(
         rfm_segments=rfm,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from helpers import accounts, day, tables, transactions, values
 from ledgerloom.operators import segmentation as seg
 from ledgerloom.operators.cleaning import clean_transactions
-from ledgerloom.plans import pipeline, reports
+from ledgerloom.plans import reports, scoring
 
 
 def scored(spark, rows):
@@ -108,7 +108,7 @@ def brute_force():
 
 def test_segments_match_brute_force(spark):
     expected = brute_force()
-    got = pipeline.rfm_segments(rfm_tables(spark)).collect()
+    got = scoring.rfm_segments(rfm_tables(spark)).collect()
     assert len(got) == len(expected) == 60
     for row in got:
         want = expected.loc[row["customer_id"]]
@@ -119,7 +119,7 @@ def test_segments_match_brute_force(spark):
 
 def test_scores_do_not_depend_on_partitions(spark):
     t = rfm_tables(spark)
-    base = pipeline.rfm_base(t)
+    base = scoring.rfm_base(t)
     one, many = (
         sorted(map(tuple, seg.rfm_segments(base, t.customers, p).collect())) for p in (1, 7)
     )
@@ -128,7 +128,7 @@ def test_scores_do_not_depend_on_partitions(spark):
 
 def test_fees_set_the_snapshot_but_not_the_activity(spark):
     t = rfm_tables(spark)
-    base = {r["customer_id"]: r for r in pipeline.rfm_base(t).collect()}
+    base = {r["customer_id"]: r for r in scoring.rfm_base(t).collect()}
     assert "C60" not in base
     # the fee on 31 December is the last cleaned row; C02's untyped row counts
     assert base["C02"]["recency"] == 31
@@ -155,16 +155,16 @@ def test_ntile_scores_and_their_corrected_form(spark):
 
 def test_kpis_and_counts(spark):
     t = rfm_tables(spark)
-    rfm = pipeline.rfm_segments(t)
+    rfm = scoring.rfm_segments(t)
     kpi = seg.kpi_summary(rfm, t.monthly_revenue).first()
     rows = rfm.collect()
     assert kpi["total_customers"] == len(rows)
     assert kpi["champions"] == sum(r["segment"] == seg.CHAMPIONS for r in rows)
     assert kpi["total_revenue"] is None
     assert float(kpi["avg_recency_days"]) == pytest.approx(sum(r["recency"] for r in rows) / 60, abs=0.05)
-    counts = dict(values(pipeline.segment_counts(rfm), "segment", "customers"))
+    counts = dict(values(scoring.segment_counts(rfm), "segment", "customers"))
     assert sum(counts.values()) == 60
-    assert {label for (label,) in values(pipeline.risk_counts(rfm), "risk_label")} == set(seg.RISK_LABELS)
+    assert {label for (label,) in values(scoring.risk_counts(rfm), "risk_label")} == set(seg.RISK_LABELS)
 
 
 def test_segment_revenue_share(spark):
@@ -173,7 +173,7 @@ def test_segment_revenue_share(spark):
         [("a", Decimal("30")), ("a", Decimal("30")), ("c", Decimal("40")), ("z", Decimal("9"))],
         "customer_id string, revenue decimal(12,2)",
     )
-    got = pipeline.segment_revenue_share(rfm, revenue)
+    got = scoring.segment_revenue_share(rfm, revenue)
     assert [tuple(r) for r in got.collect()] == [("X", 2, 66.7, 60.0, 60.0), ("Y", 1, 33.3, 40.0, 40.0)]
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, tables
 from ledgerloom.operators.cleaning import TRANSACTION_ORDER, cleaning_profile, dedupe_keep_first
-from ledgerloom.plans import pipeline, reports
+from ledgerloom.plans import reports, scoring
 
 SIZE = 3000
 
@@ -70,7 +70,7 @@ def test_dedupe(t, frame):
 def test_segments(t, frame):
     want = first_copies(frame).query("status == 'completed' and kind != 'fee'")
     want = want.groupby("customer").agg(n=("id", "count"), cents=("cents", "sum"))
-    got = {r["customer_id"]: r for r in pipeline.rfm_base(t).collect()}
+    got = {r["customer_id"]: r for r in scoring.rfm_base(t).collect()}
     assert {k: (r["frequency"], int(r["monetary"] * 100)) for k, r in got.items()} == {
         k: (row["n"], row["cents"]) for k, row in want.iterrows()
     }
@@ -101,7 +101,7 @@ def test_monthly_users_and_inactivity(t, frame):
 def test_adaptive_execution_splits_the_hot_account(spark, t, setting, tmp_path):
     """The row-level join of the value report, with thresholds scaled down to the test's size."""
     path = str(tmp_path / "transactions")
-    many = t.transactions.crossJoin(spark.range(60)).drop("id")
+    many = t.transactions.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("n")
     many.repartition(16).write.parquet(path)
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from helpers import accounts, customers, plan, revenue, transactions, values
 from ledgerloom import session
 from ledgerloom.operators.quality import table_row_counts
-from ledgerloom.plans import pipeline
+from ledgerloom.plans import scoring
 from ledgerloom.sources import storage
 from ledgerloom.sources.schemas import COMMENTS, CUSTOMERS, SCHEMAS, Tables
 
@@ -112,12 +112,12 @@ def test_exports(spark, small, tmp_path):
         transactions(spark, many),
         small.monthly_revenue,
     )
-    exports = pipeline.run_exports(t, str(tmp_path))
+    exports = scoring.run_exports(t, str(tmp_path))
     assert list(exports.named()) == ["rfm_segments", "churn_risk", "monthly_revenue", "kpi_summary"]
     for name, df in exports.named().items():
         back = storage.read_csv_table(spark, f"{tmp_path}/{name}", df.schema)
         assert rows(back) == rows(df)
-    assert tuple(exports.churn_risk.columns) == pipeline.CHURN_COLUMNS
+    assert tuple(exports.churn_risk.columns) == scoring.CHURN_COLUMNS
     assert len(glob.glob(f"{tmp_path}/kpi_summary/*.csv")) == 1
 
 
