@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # no call-site capture for every expression: building a plan takes half the time
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # one report compiles to some dozens of classes; the default of 100 makes a session that serves
+    # many reports compile them again and again
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
