@@ -18,6 +18,8 @@ SETTINGS = {
     # one report compiles to some dozens of classes; the default of 100 makes a session that serves
     # many reports compile them again and again
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # checkpoints go when no query refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -145,6 +145,15 @@ def append_to_catalog(df: DataFrame, database: str, name: str) -> None:
     clustered.select(*stored).write.mode("append").insertInto(f"`{database}`.`{name}`")
 
 
+def read_catalog_tables(spark: SparkSession, database: str) -> Tables:
+    return Tables(
+        **{
+            name: spark.table(f"`{database}`.`{name}`").select(*schema.names)
+            for name, schema in SCHEMAS.items()
+        }
+    )
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Bucketed and sorted copy: tables bucketed alike join on ``key`` without a shuffle.
 

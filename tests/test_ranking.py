@@ -4,7 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.quantiles import exact_quantiles, quantile_bucket
-from ledgerloom.operators.ranking import global_ntile, global_row_number, rank_quantile_bucket
+from ledgerloom.operators.ranking import (
+    global_ntile,
+    global_row_number,
+    ntile_of,
+    rank_quantile_bucket,
+)
 
 SIZES = [1, 2, 4, 5, 7, 12, 53]
 
@@ -121,3 +126,16 @@ def test_empty_input(spark):
     assert rank_quantile_bucket(empty, "v", 5, "id").count() == 0
     assert quantile_bucket(empty, "v", 5).count() == 0
     assert exact_quantiles(empty, "v", ["1/2"], ["id"]).count() == 0
+
+
+def test_ntile_closed_form_for_many_sizes(spark):
+    """Every position of every size up to 60 in up to 9 buckets."""
+    cases = (
+        spark.range(1, 61)
+        .withColumnRenamed("id", "n")
+        .withColumn("position", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
+    )
+    columns = [ntile_of(F.col("position"), F.col("n"), k).alias(f"k{k}") for k in range(1, 10)]
+    for row in cases.select("n", "position", *columns).collect():
+        for k in range(1, 10):
+            assert row[f"k{k}"] == sql_ntile(row["n"], k)[row["position"] - 1]

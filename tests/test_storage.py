@@ -88,7 +88,8 @@ def test_catalog_tables(spark, small):
         storage.append_to_catalog(df, "ledger_test", name)
         described = spark.sql(f"DESCRIBE TABLE EXTENDED ledger_test.{name}").collect()
         assert COMMENTS[name] in {r["data_type"] for r in described}
-    stored = {name: spark.table(f"ledger_test.{name}") for name in SCHEMAS}
+    stored = storage.read_catalog_tables(spark, "ledger_test").named()
+    assert rows(stored["transactions"]) == rows(small.transactions)
     assert dict(values(table_row_counts(stored), "table_name", "row_count"))["transactions"] == 40
     storage.create_tables(spark, "ledger_test")
     assert spark.table("ledger_test.customers").count() == 0
