@@ -33,3 +33,27 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns[:3] == ["customer_id", "recency", "frequency"]
     assert result.count() == 150
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "q06_rfm_ntile",
+        "q07_cross_sell",
+        "q13_txn_value",
+        "clean_transactions",
+        "integrity_audit",
+        "ntile_quintiles",
+        "quantile_cut_recency",
+        "rank_quintile_scores",
+        "rfm_segments",
+        "segment_revenue_share",
+    ],
+)
+def test_query_spread_over_many_partitions(spark, duck, setting, name):
+    """As on a cluster: no broadcast by size, no merging of small partitions."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "13")
+    outcome = check_queries.compare(spark, duck, FOLDER, name)
+    assert outcome.startswith("OK"), outcome
