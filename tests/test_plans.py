@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import plan
+from helpers import plan, tables
 from ledgerloom.operators import timeseries
 from ledgerloom.operators.cleaning import TRANSACTION_ORDER, clean_transactions, dedupe_keep_first
 from ledgerloom.operators.customers import held_products, inactivity
@@ -114,6 +114,31 @@ def test_scalar_figures_are_subqueries_not_joins(stored):
     assert "Subquery" in text and "NestedLoop" not in text
 
 
+def test_scalar_figures_run_once(spark, tmp_path):
+    rows = [(f"T{i}", "A1", "2023-01-01", "deposit", 10 + i % 3) for i in range(40)]
+    small = tables(
+        spark,
+        [("C1", "R", "2022-01-01", False, None)],
+        [("A1", "C1", "P")],
+        [*rows, ("big", "A1", "2023-05-05", "fee", 900)],
+    )
+    storage.write_tables(small, str(tmp_path))
+    stored = storage.read_tables(spark, str(tmp_path))
+    for report in (reports.anomalies, reports.churn_inactivity):
+        done = report(stored)
+        done.collect()
+        final = plan(done).split("\n+- == Initial Plan ==")[0]
+        own = re.findall(r"[-+] (Reused)?Subquery", final)
+        assert own.count("") == 1 and "Reused" in own
+
+
+def test_the_fact_is_shuffled_once_for_aggregation_and_join(stored):
+    """The join on the account reuses the partitioning of the roll-up."""
+    text = plan(inactivity(stored.transactions, stored.accounts))
+    assert text.count("Exchange hashpartitioning(account_id") == 2  # fact, accounts
+    assert text.count("Exchange") == 3  # and the customers' sums
+
+
 def test_cleaning_shuffles_once(stored):
     assert plan(clean_transactions(stored.transactions)).count("Exchange") == 1
 
