@@ -13,6 +13,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numbers import floor_div
 from ledgerloom.operators.ranking import range_ordered
 
 
@@ -21,8 +22,8 @@ def _targets(total: Column, probabilities: Sequence[Fraction]) -> Column:
     wanted = []
     for number, p in enumerate(probabilities):
         scaled = (total - 1) * p.numerator
-        low = F.floor(scaled / p.denominator).cast("bigint")
-        high = F.ceil(scaled / p.denominator).cast("bigint")
+        low = floor_div(scaled, F.lit(p.denominator))
+        high = floor_div(scaled + (p.denominator - 1), F.lit(p.denominator))
         for side, position in ((0, low), (1, high)):
             wanted.append(
                 F.struct(

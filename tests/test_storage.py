@@ -1,5 +1,6 @@
 import datetime
 import glob
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,19 @@ def test_jdbc_scan_is_split_by_a_column():
     assert options["fetchsize"] == "10000"
 
 
+def test_jdbc_calls_pass_their_options_to_spark():
+    """No database may be started here: this checks the calls, not a connection."""
+    spark = mock.MagicMock()
+    storage.read_jdbc_table(spark, url="jdbc:x", dbtable="t")
+    spark.read.format.assert_called_once_with("jdbc")
+    spark.read.format().options.assert_called_once_with(url="jdbc:x", dbtable="t")
+    df = mock.MagicMock()
+    storage.append_jdbc(df, "jdbc:x", "t", user="u")
+    options = df.write.format().options
+    options.assert_called_once_with(url="jdbc:x", dbtable="t", batchsize="1000", user="u")
+    options().mode.assert_called_once_with("append")
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert storage.fresh_folder(spark, "x").startswith(session.shared_dir(spark))
