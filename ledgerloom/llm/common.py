@@ -44,12 +44,25 @@ def texts_in_parts(texts: pa.Array, most_bytes: int) -> Iterator[list[str]]:
         yield part
 
 
+#: steps of the hash that draws samples
+_STEPS = 1 << 30
+
+
+def drawn(key: Column, wanted: int, total: int) -> Column:
+    """A condition that a hash of ``key`` meets for about ``wanted`` of ``total`` rows, the same ones each time.
+
+    Cuts a table before rows are ordered, so that what meets in one task doesn't grow with the table.
+    """
+    share = _STEPS if wanted >= total else wanted * _STEPS // total
+    return F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(_STEPS)) < share
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, eligible: Column, limits: dict[int, int]
 ) -> list[tuple[str, int]]:
     """Texts with their label, at most ``limits[y]`` rows of each label ``y``.
 
-    ``eligible`` is a condition on ``doc_id``. Which rows are taken depends on a hash of the id only.
+    ``eligible`` is a condition on ``doc_id``. Which rows are taken depends on hashes of the ids only.
     Several labels of one document count as their largest; null labels and ids don't count.
     """
     known = (
@@ -59,9 +72,11 @@ def labelled_sample(
         .agg(F.max("y").alias("y"))
     )
     order = (F.md5(F.col("doc_id").cast("string")), F.col("doc_id"))
+    there = {row.y: row["count"] for row in known.groupBy("y").count().collect()}  # a row for each label
     chosen = None
     for y, limit in limits.items():
-        part = known.where(F.col("y") == y).orderBy(*order).limit(limit)
+        some = known.where((F.col("y") == y) & drawn(F.col("doc_id"), 2 * limit, there.get(y, 0)))
+        part = some.orderBy(*order).limit(limit)
         chosen = part if chosen is None else chosen.unionByName(part)
     # at most sum(limits) rows of two numbers: the bound of this broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")

@@ -11,7 +11,7 @@ page) that holds it, and to the outermost article or main around that. Its block
 that are never text are the result: character references decoded, white space inside a block one
 space, blocks in page order joined by a line feed.
 
-Labelled pages are a bounded sample (``SAMPLE`` pages by hash of the url); without any, words weigh 1
+Labelled pages are a bounded sample (``SAMPLE`` pages, drawn by hash); without any, words weigh 1
 and tags -1. One pass in Arrow batches, no shuffle. Null or empty html and pages without words in text give an
 empty string. Pages may be cut anywhere; an unfinished tag at the end is no text.
 """
@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from ledgerloom.llm.common import drawn
+
 SAMPLE = 400
 LEAST = 0.1
 MOST = 6.0
@@ -227,11 +229,22 @@ def text_column(weights: dict[str, float], source: Column) -> Column:
     return extracted(source)
 
 
+def labelled_pages(pages: DataFrame, sample: int = SAMPLE) -> list[str]:
+    """At most ``sample`` pages that mark their text, drawn by hash; of more pages while too few are found."""
+    total, wanted, found = pages.count(), 4 * sample, []
+    marked = pages.where(F.lower("html").rlike("<(article|main)[ >]"))
+    while total:
+        some = marked.where(drawn(F.struct("page_id", "url"), wanted, total))
+        ordered = some.orderBy(F.md5(F.coalesce("url", F.lit(""))), "page_id", "html")
+        found = [row.html for row in ordered.select("html", "url", "page_id").limit(sample).collect()]
+        if len(found) == sample or wanted >= total:
+            break
+        wanted *= 8
+    return found
+
+
 def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    marked = pages.where(F.lower("html").rlike("<(article|main)[ >]"))
-    # the bound of this collect is the parameter
-    known = marked.orderBy(F.md5(F.coalesce("url", F.lit(""))), "page_id").select("html").limit(sample).collect()
-    weights = learn_weights(row.html for row in known)
+    weights = learn_weights(labelled_pages(pages, sample))
     done = pages.select("page_id", "url", text_column(weights, F.col("html")).alias("text"))
     return done.withColumn("n_chars", F.char_length("text").cast("long"))
