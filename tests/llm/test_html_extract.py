@@ -1,0 +1,71 @@
+import pytest
+
+from ledgerloom.llm import html_extract as h
+
+WEIGHTS = {"w": 2.0, "x": -3.0, "p": -0.1, "li": -2.0, "div!": -6.0, "nav": -6.0, "footer": -6.0}
+
+PAGE = """<!DOCTYPE html><html><head><title>No title</title><style>p{}</style><script>var t="</p>words words";</script></head><body>
+<header>Site name</header><nav><ul><li><a href="/a">Home</a><li><a href="/b">News</a></ul></nav><!-- a <p>comment</p> -->
+<div class="ad-box">Buy now many many many words of this advert here</div>
+<article><h1>The &amp; title</h1><p>First <b>para</b>graph with&nbsp;words,
+ and   more.<br>Next line<p>Second one &lt;tag&gt; &#233;
+<div class="notice">a notice</div><form>Name <input name="q"><button>Send</button></form>
+<ul><li>item one<li>item two</ul><aside>aside words</aside><section class="reader-comments"><p>nice post</p></section><p>of</p></article>
+<div id="sidebar"><p>Read also these other words and articles</p></div><footer>&copy; footer</footer></body></html>"""
+
+
+def test_page_with_everything():
+    assert h.main_text(PAGE, WEIGHTS).split("\n") == [
+        "The & title",
+        "First paragraph with words, and more. Next line",
+        "Second one <tag> é",
+        "item one",
+        "item two",
+        "of",
+    ]
+
+
+def test_page_without_article():
+    page = PAGE.replace("<article>", '<div class="content">').replace("</article>", "</div>")
+    assert h.main_text(page, WEIGHTS) == h.main_text(PAGE, WEIGHTS)
+
+
+@pytest.mark.parametrize("cut", ["<p", "<p cla", '<p class="a', "<", "</", "</p", "<!-- x", "<script>var a"])
+def test_cut_pages_end_without_markup(cut):
+    page = f"<body><article><p>Some words of the text go here</p><p>and end{cut}"
+    assert h.main_text(page, WEIGHTS) == "Some words of the text go here\nand end"
+
+
+def test_odd_markup():
+    assert h.main_text("just words", WEIGHTS) == "just words"
+    assert h.main_text("a < b and c > d", WEIGHTS) == "a < b and c > d"
+    assert h.main_text("<p>x &am</p>", WEIGHTS) == "x &am"
+    assert h.main_text("</div></p><p>fine text</div>", WEIGHTS) == "fine text"
+    assert h.main_text("<P CLASS='lead'>Upper</P><DIV HIDDEN>no</DIV>", WEIGHTS) == "Upper"
+    assert h.main_text("", WEIGHTS) == h.main_text("<p></p>", WEIGHTS) == h.main_text("<nav>menu</nav>", WEIGHTS) == ""
+
+
+def test_region_is_the_best_of_all():
+    page = h.Page(PAGE)
+    gains = [n * WEIGHTS.get(kind, 1.0 if kind == "w" else -1.0) for kind, n in page.tokens]
+    first, last = page.region(WEIGHTS)
+    best = max(sum(gains[a:b]) for a in range(len(gains)) for b in range(a + 1, len(gains) + 1))
+    assert sum(gains[first : last + 1]) == pytest.approx(best)
+
+
+def test_weights_keep_their_sign():
+    weights = h.learn_weights([PAGE, "<p>no label here</p>", ""])
+    assert weights["w"] >= h.LEAST
+    assert all(v <= -h.LEAST for k, v in weights.items() if k != "w")
+    assert weights["p"] > weights["nav"]
+    assert h.learn_weights([]) == {}
+
+
+def test_edges(spark):
+    rows = [(1, "http://a", PAGE), (2, None, None), (3, "http://b", ""), (1, "http://a", PAGE), (None, None, "<p>x</p>"), (5, "u", "<p>" + "long text " * 50_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
+    out = h.extract(pages).toPandas()
+    assert out.columns.tolist() == ["page_id", "url", "text", "n_chars"]
+    assert out.text.tolist()[1:3] == ["", ""] and out.text[0] == out.text[3] == h.main_text(PAGE, WEIGHTS)
+    assert out.n_chars[5] == 50_000 * 10 - 1 and (out.n_chars == out.text.str.len()).all()
+    assert h.extract(pages.limit(0)).count() == 0

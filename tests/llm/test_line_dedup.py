@@ -1,0 +1,85 @@
+import edge
+
+from ledgerloom.llm import line_dedup as l
+
+LINE = "A line that several documents hold"
+
+
+def by_hand(rows):
+    """The rule over all documents at once."""
+    lines = {}
+    for key, text in rows:
+        for line in (text or "").split("\n"):
+            k = line.strip(l.WHITE).encode().lower().decode()
+            if len(k) >= 20:
+                lines.setdefault(k, set()).add(key)
+    out = []
+    for key, text in rows:
+        kept = []
+        for line in (text or "").split("\n"):
+            ids = lines.get(line.strip(l.WHITE).encode().lower().decode(), set())
+            if len(ids) < 3 or max(ids) == key:
+                kept.append(line)
+        out.append((key, "\n".join(kept), len((text or "").split("\n"))))
+    return sorted(out)
+
+
+def run(docs, **options):
+    done = l.dedup_lines(docs, **options).select("row.doc_id", "kept.*").collect()
+    return sorted((r.doc_id, r.text, r.n_lines) for r in done)
+
+
+def test_rule(spark):
+    rows = [
+        (1, f"{LINE}\nown line of the first document\n{LINE}"),
+        (2, f"  {LINE.upper()}\t\nshort\n"),
+        (3, f"{LINE}\r\nshort\nIn two documents only, though long"),
+        (4, "short\nIn two documents only, though long"),
+        (5, f"É{LINE}\né{LINE}\n\n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for batches, fan in ((1, 2), (3, 2), (7, 3)):
+        assert run(docs, batches=batches, fan=fan) == by_hand(rows)
+    assert run(docs)[0][1] == "own line of the first document"
+
+
+def test_hot_line(spark):
+    rows = [(k, f"{LINE if k % 3 else 'other words ' * 3}\nown line number {k} of the document") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(20)
+    assert run(docs) == by_hand(rows)
+
+
+def test_batches_are_unseen_once_and_levels_stay_few(spark, tmp_path):
+    store = l.LineRuns(spark, str(tmp_path / "runs"), fan=2)
+    hashed = lambda ids, lines: l.line_hashes(
+        spark.createDataFrame([(k, "\n".join(lines)) for k in ids], "doc_id long, text string")
+    )
+    first = [f"line number {k} of the first batch" for k in range(5)]
+    assert store.add(hashed([1, 2], first)).count() == 5
+    assert store.add(hashed([3], first + ["one more line in the second batch"])).count() == 1
+    for k in range(4, 12):
+        assert store.add(hashed([k], first)).count() == 0
+    assert all(len(level) < 2 for level in store.levels) and len(store.levels) >= 4
+    totals = {r.n_docs: r.keeper for r in store.merged().collect()}
+    assert totals == {11: 11, 1: 3}
+
+
+def test_edges(spark):
+    docs = edge.documents(spark)
+    done = l.dedup_lines(docs).select("row.doc_id", "kept.*").toPandas()
+    assert len(done) == len(edge.ROWS)
+    # one line of ids 1 and 6 is in two documents only: repeated rows are one document
+    assert (done.n_dropped == 0).all()
+    assert done[done.doc_id.isin([2, 3])].n_lines.tolist() == [1, 1]
+    kept = l.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    assert l.deduplicated(edge.empty(spark)).count() == 0
+
+
+def test_repeated_ids_lose_their_lines_together(spark):
+    rows = [(1, LINE), (1, f"x\n{LINE}"), (2, LINE), (3, LINE), (None, LINE)]
+    out = run(spark.createDataFrame(rows, "doc_id long, text string").where("doc_id is not null"))
+    assert out == [(1, "", 1), (1, "x", 2), (2, "", 1), (3, LINE, 1)]
+    with_null = l.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.text for r in with_null if r.doc_id is None] == [""]

@@ -1,0 +1,145 @@
+"""The registered queries: against their SQL, or against a plain re-computation of the whole result."""
+
+import hashlib
+import json
+import re
+import zlib
+
+import pandas as pd
+import public_tokenizers
+import pytest
+import tokenizers
+
+import __spark_entry__ as contract
+import check_queries
+from ledgerloom.llm import decontamination, oracle, queries
+
+
+@pytest.fixture(scope="module")
+def duck(small):
+    connection = check_queries.duck(small)
+    yield connection
+    connection.close()
+
+
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
+def test_query_matches_sql(spark, duck, small, name):
+    outcome = check_queries.compare(spark, duck, small, name)
+    assert outcome.startswith("OK"), outcome
+
+
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
+def test_query_matches_sql_over_many_partitions(spark, duck, small, setting, name):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "13")
+    outcome = check_queries.compare(spark, duck, small, name)
+    assert outcome.startswith("OK"), outcome
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    names = set(contract.queries())
+    assert {name for name in names if name.startswith("op")} == set(queries.queries())
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+    assert "pipeline" in names
+
+
+def read(folder, name):
+    return pd.read_parquet(f"{folder}/{name}.parquet")
+
+
+def result(spark, folder, name):
+    return queries.queries()[name](spark, folder).toPandas()
+
+
+@pytest.mark.parametrize(
+    ("name", "label", "modulus", "remainder", "threshold", "least"),
+    [("op2_toxicity", "toxic", 4, 2, 0.3, 0.93), ("op9_quality_classifier", "quality", 3, 1, 0.5, 0.95)],
+)
+def test_classifiers_on_held_out_rows(spark, medium, name, label, modulus, remainder, threshold, least):
+    out = result(spark, medium, name)
+    docs = read(medium, "documents")
+    assert sorted(out.doc_id) == sorted(docs.doc_id)
+    assert (out.held_out == [zlib.crc32(str(i).encode()) % modulus == remainder for i in out.doc_id]).all()
+    assert out.score.between(0, 1).all()
+    assert (out.predicted == (out.score >= threshold).astype(int)).all()
+    judged = out[out.held_out].merge(read(medium, "labels"), on="doc_id")
+    assert (judged.predicted == judged[label]).mean() >= least
+
+
+def test_decontamination_finds_just_the_copies(spark, medium):
+    items = read(medium, "benchmark")
+    expected = {}
+    wanted = {i: decontamination.shingles(decontamination.words_of(t)) for i, t in zip(items.item_id, items.text)}
+    for key, text in zip(*read(medium, "documents")[["doc_id", "text"]].values.T):
+        there = decontamination.shingles(decontamination.words_of(text))
+        for item, shingles in wanted.items():
+            share = len(shingles & there) / len(shingles)
+            if share >= 0.8:
+                expected[key, item] = share
+    out = result(spark, medium, "op3_decontamination")
+    found = {(r.doc_id, r.item_id): r.overlap for r in out.itertuples()}
+    assert expected and found == pytest.approx(expected)
+
+
+def test_extracted_text_of_every_page(spark, small):
+    import html
+
+    def plain(source):
+        body = re.search(r"<article>(.*?)(?:</article>|\Z)", source, re.S)[1]
+        body = re.sub(r"<[^<>]*\Z", "", body)
+        blocks = (re.sub(r"<[^>]*>", " ", b) for b in re.split(r"</?(?:p|h1)>", body))
+        return "\n".join(b for b in (re.sub(r"\s+", " ", html.unescape(b)).strip() for b in blocks) if b)
+
+    out = result(spark, small, "op4_html_extraction").set_index("page_id")
+    for row in read(small, "pages").itertuples():
+        assert out.text[row.page_id] == plain(row.html)
+        assert out.n_chars[row.page_id] == len(out.text[row.page_id])
+
+
+def test_token_counts_are_the_librarys(spark, small):
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    out = result(spark, small, "op7_token_counts").set_index("doc_id")
+    docs = read(small, "documents")
+    assert len(out) == len(docs)
+    for key, text in zip(docs.doc_id, docs.text):
+        n = len(library.encode(text, add_special_tokens=False).ids)
+        assert (out.n_tokens[key], out.n_bytes[key], out.over_limit[key]) == (n, len(text.encode()), n > 1024)
+
+
+def test_quality_rules_against_plain_counting(spark, small):
+    out = result(spark, small, "op8_quality_rules").set_index("doc_id")
+    for key, text in zip(*read(small, "documents")[["doc_id", "text"]].values.T):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
+        twice = {w for w in windows if windows.count(w) > 1} if len(windows) < 2500 else None
+        row = out.loc[key]
+        assert row.n_words == len(words) and row.word_chars == sum(map(len, words))
+        assert row.n_symbols == len(re.findall(r"[#*$%&|<>]", text))
+        seen, dup = set(), 0
+        for line in text.split("\n"):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                dup += line in seen
+                seen.add(line)
+        assert row.n_dup_lines == dup
+        if twice is not None:
+            covered = {k + j for k, w in enumerate(windows) if w in twice for j in range(8)}
+            assert row.n_repeat_words == len(covered)
+        assert row.base_failed == (len(words) < 20 or 100 * row.n_repeat_words > 30 * len(words))
+        assert not (row.base_failed and row.kept)
+
+
+def test_good_documents_are_kept(spark, medium):
+    out = result(spark, medium, "op8_quality_rules").merge(read(medium, "labels"), on="doc_id")
+    good = out[(out.quality == 1) & (out.n_words >= 20)]
+    assert good.kept.mean() > 0.97
+    spam = out[(out.quality == 0) & (out.n_repeat_words > 0.5 * out.n_words)]
+    assert len(spam) and not spam.kept.any()
+
+
+def test_rows_of_a_query_are_the_same_each_time(spark, small):
+    def digest():
+        frame = result(spark, small, "op1_source_mixing").sort_values("doc_id")
+        return hashlib.sha256(json.dumps(frame.values.tolist()).encode()).hexdigest()
+
+    assert digest() == digest()

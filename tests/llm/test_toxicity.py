@@ -1,0 +1,65 @@
+import edge
+import numpy as np
+import pytest
+
+from ledgerloom.llm import toxicity
+
+
+def corpus():
+    random = np.random.default_rng(1)
+    words = ["".join(random.choice(list("bdklmnrst"), 2)) + v for v in ("alo", "ine", "uro", "este") for _ in range(60)]
+    rows = []
+    for k in range(400):
+        text = list(random.choice(words, random.integers(5, 120)))
+        if k % 4 == 0:
+            text.insert(int(random.integers(0, len(text))), random.choice(["wretch", "villain", "scoundrel"]))
+        rows.append((" ".join(text), int(k % 4 == 0)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model():
+    return toxicity.train(corpus())
+
+
+def scores(model, texts):
+    return toxicity.score_texts(texts, *model)
+
+
+def test_known_words_and_misspellings_score_high(model):
+    clean = corpus()[1][0]
+    assert scores(model, [clean])[0] < 0.3
+    for word in ("wretch", "villain", "scoundrel", "scoundrels", "villainn", "wretchh", "SCOUNDREL"):
+        assert scores(model, [f"{clean} {word} {clean}"])[0] >= 0.3, word
+
+
+def test_a_text_scores_as_its_worst_window(model):
+    a, b = corpus()[1][0], "the villain"
+    alone, within = scores(model, [b, f"{a} {a} {b}"])
+    assert within == pytest.approx(alone, abs=0.2)
+
+
+def test_scores_don_t_depend_on_the_neighbours(model):
+    texts = [t for t, _ in corpus()[:40]] + ["", "   ", "villain"]
+    together = scores(model, texts)
+    assert together == pytest.approx([scores(model, [t])[0] for t in texts], abs=1e-6)
+    assert together[-3] == together[-2] == 0.0
+
+
+def test_training_is_repeatable():
+    rows = corpus()[:120]
+    a, b = toxicity.train(rows, epochs=3), toxicity.train(rows, epochs=3)
+    assert (a[0] == b[0]).all() and a[1] == b[1]
+
+
+def test_edges(spark):
+    rows = [(i, 1, int(i % 2)) for i in range(1, 11)] + [(None, 1, 1), (3, None, None)]
+    out = toxicity.toxicity_scores(edge.documents(spark), edge.labels(spark, rows)).toPandas()
+    assert len(out) == len(edge.ROWS) and out.score.between(0, 1).all()
+    assert out[out.doc_id.isin([2, 3, 4])].score.tolist() == [0.0, 0.0, 0.0]
+    assert len(set(out[out.doc_id == 6].score)) == 1
+    none = toxicity.toxicity_scores(edge.documents(spark), edge.labels(spark)).toPandas()
+    assert (none.score == 0).all() and (none.predicted == 0).all()
+    assert toxicity.toxicity_scores(edge.empty(spark), edge.labels(spark, rows)).count() == 0
+    kept = toxicity.without_toxic(edge.documents(spark), edge.labels(spark))
+    assert kept.columns == edge.documents(spark).columns and kept.count() == len(edge.ROWS)
