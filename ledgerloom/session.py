@@ -47,20 +47,26 @@ def shared_dir(spark: SparkSession) -> str:
     Only a ``local`` session, where every task runs on this machine, may fall back to a temporary
     folder.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    one_machine = context.master.startswith("local")
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named:
+        if not one_machine and _is_local(spark, named):
+            raise RuntimeError(f"{CHECKPOINT_DIR} is {named}, a folder of each machine of its own")
         return named
-    context = spark.sparkContext
-    existing = context.getCheckpointDir()
-    if existing:
-        return existing
-    if not context.master.startswith("local"):
+    if not one_machine:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="ledgerloom-checkpoints-")
     context.setCheckpointDir(folder)
     return folder
 
 
+def _is_local(spark: SparkSession, folder: str) -> bool:
+    """Whether the folder, by its scheme or the default one, lies on the machine's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, with its lineage cut.
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.quality import integrity_audit, table_row_counts
-from ledgerloom.session import shared_dir
+from ledgerloom.session import durable, shared_dir
 from ledgerloom.sources.schemas import COMMENTS, SCHEMAS, Tables
 
 # The month column that partitions each fact; dimensions have none.
@@ -23,30 +24,51 @@ SORT_COLUMNS = {
 }
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+# Both directions: a quote inside a text is doubled, nothing else is escaped, spaces are text.
+CSV_OPTIONS = {
+    "header": "true",
+    "dateFormat": "yyyy-MM-dd",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "",
+    "emptyValue": '""',
+    "lineSep": "\n",
+}
+
+
+def read_csv_table(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
     """CSV with a header and declared types: no inference pass, and a bad value fails the read.
 
-    Empty fields are NULL.
+    Empty fields are NULL, empty quoted ones are empty text. With ``multi_line`` texts may hold line
+    breaks, and a file is read by one task; turn it off for files that have none, so that large ones
+    are split.
     """
+    # the reader puts ``nullValue`` in empty fields; a sign that no text holds tells them from empty texts
+    options = {**CSV_OPTIONS, "nullValue": "\0", "emptyValue": "", "multiLine": str(multi_line).lower()}
+    if multi_line:
+        options.pop("lineSep")  # files of other writers may end lines with \r\n
     return (
         spark.read.schema(schema)
-        .option("header", True)
+        .options(**options)
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
-        .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv_tables(spark: SparkSession, folder: str) -> Tables:
+def read_csv_tables(spark: SparkSession, folder: str, multi_line: bool = True) -> Tables:
     """The four ``<folder>/<table>.csv`` files or folders."""
     return Tables(
         **{
-            name: read_csv_table(spark, f"{folder}/{name}.csv", schema)
+            name: read_csv_table(spark, f"{folder}/{name}.csv", schema, multi_line)
             for name, schema in SCHEMAS.items()
         }
     )
@@ -110,15 +132,44 @@ def transactions_between(
     return stored.filter(wanted).select(*SCHEMAS["transactions"].names)
 
 
+class IntegrityError(ValueError):
+    """Staged tables that break the rules; ``violations`` lists (table, check, column, rows)."""
+
+    def __init__(self, violations: list[tuple]):
+        self.violations = violations
+        super().__init__("; ".join(f"{t}.{c}: {check} ({n} rows)" for t, check, c, n in violations))
+
+
 def ingest_csv(
-    spark: SparkSession, raw_folder: str, folder: str, mode: str = "overwrite"
+    spark: SparkSession,
+    raw_folder: str,
+    folder: str,
+    mode: str = "overwrite",
+    strict: bool = False,
+    multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """CSV to parquet, dimensions first. Returns the row counts and the integrity report."""
-    raw = read_csv_tables(spark, raw_folder).named()
+    """CSV to parquet, dimensions first. Returns the row counts and the integrity report.
+
+    The files are staged in the shared folder and audited there, together with what is stored already
+    if they are appended. Only then are the tables written; with ``strict`` a violated rule raises
+    :class:`IntegrityError` and leaves them as they were.
+    """
+    raw = read_csv_tables(spark, raw_folder, multi_line).named()
     raw["customers"] = with_defaults(raw["customers"])
-    write_tables(Tables(**raw), folder, mode)
-    stored = read_tables(spark, folder).named()
-    return table_row_counts(stored), integrity_audit(stored)
+    with scratch_folder(spark, "staged") as staging:
+        write_tables(Tables(**raw), staging)
+        staged = read_tables(spark, staging)
+        whole = staged.named()
+        if mode == "append":
+            for name, df in read_tables(spark, folder).named().items():
+                whole[name] = df.unionByName(whole[name])
+        audit = durable(integrity_audit(whole))
+        if strict:
+            broken = audit.filter(F.col("violations") > 0).collect()  # at most one row per rule
+            if broken:
+                raise IntegrityError([tuple(row) for row in broken])
+        write_tables(staged, folder, mode)
+    return table_row_counts(read_tables(spark, folder).named()), audit
 
 
 def create_tables(spark: SparkSession, database: str) -> None:
@@ -138,6 +189,11 @@ def create_tables(spark: SparkSession, database: str) -> None:
         )
 
 
+def table_comments(spark: SparkSession, database: str) -> dict[str, str]:
+    """Comment of each declared table, as the catalog has it."""
+    return {name: spark.catalog.getTable(f"`{database}`.`{name}`").description for name in SCHEMAS}
+
+
 def append_to_catalog(df: DataFrame, database: str, name: str) -> None:
     """Appends by column name; the month partition of transactions is derived."""
     clustered, _ = _laid_out(df, name)
@@ -197,3 +253,18 @@ def export_reports(reports: Mapping[str, DataFrame], folder: str) -> None:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared folder of the cluster."""
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A folder under the shared folder that is deleted at the end, also after an error."""
+    folder = fresh_folder(spark, purpose)
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)

@@ -1,5 +1,8 @@
+import csv
 import datetime
 import glob
+import os
+import re
 from unittest import mock
 
 import pytest
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 from helpers import accounts, customers, plan, revenue, transactions, values
 from ledgerloom import session
 from ledgerloom.operators.quality import table_row_counts
-from ledgerloom.plans import scoring
+from ledgerloom.plans import catalog, scoring
 from ledgerloom.sources import storage
 from ledgerloom.sources.schemas import COMMENTS, CUSTOMERS, SCHEMAS, Tables
 
@@ -39,6 +42,52 @@ def test_csv_round_trip_keeps_types_and_nulls(spark, small, tmp_path):
         assert rows(back.named()[name]) == rows(df)
 
 
+AWKWARD = [
+    'He said "hi", then left',
+    "two\nlines",
+    "carriage\r\nreturn",
+    "ends in a backslash\\",
+    'a \\" b',
+    "",
+    "  spaces around  ",
+    None,
+    '"',
+    ",",
+    "plain",
+]
+TEXTS = "id int, text string, tail string"
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_awkward_texts_come_back_from_csv(spark, tmp_path, partitions):
+    df = spark.createDataFrame([(k, text, "end") for k, text in enumerate(AWKWARD)], TEXTS).repartition(partitions)
+    storage.write_csv(df, f"{tmp_path}/own")
+    assert rows(storage.read_csv_table(spark, f"{tmp_path}/own", df.schema)) == rows(df)
+
+
+def test_csv_of_pythons_writer_and_for_its_reader(spark, tmp_path):
+    schema = spark.createDataFrame([], TEXTS).schema
+    texts = [text for text in AWKWARD if text]  # other writers don't tell empty from missing
+    with open(tmp_path / "other.csv", "w", newline="") as file:
+        writer = csv.writer(file)
+        writer.writerow(schema.names)
+        writer.writerows([k, text, "end"] for k, text in enumerate(texts))
+    back = storage.read_csv_table(spark, f"{tmp_path}/other.csv", schema)
+    # the reader takes every line end for a line feed
+    assert rows(back) == sorted((k, text.replace("\r\n", "\n"), "end") for k, text in enumerate(texts))
+    df = spark.createDataFrame([(k, text, "end") for k, text in enumerate(texts)], TEXTS).coalesce(1)
+    storage.write_csv(df, f"{tmp_path}/own")
+    (part,) = glob.glob(f"{tmp_path}/own/*.csv")
+    with open(part, newline="") as file:
+        assert list(csv.reader(file)) == [schema.names] + [[str(k), text, "end"] for k, text in enumerate(texts)]
+
+
+def test_plain_csv_can_be_split(spark, small, tmp_path):
+    storage.write_csv(small.transactions, f"{tmp_path}/t")
+    back = storage.read_csv_table(spark, f"{tmp_path}/t", small.transactions.schema, multi_line=False)
+    assert rows(back) == rows(small.transactions)
+
+
 def test_csv_with_a_bad_value_or_header_fails(spark, tmp_path):
     header = ",".join(CUSTOMERS.names)
     bad = tmp_path / "bad.csv"
@@ -83,6 +132,38 @@ def test_ingest_reports_counts_and_defaults_the_flag(spark, small, tmp_path):
     assert values(storage.read_tables(spark, stored).customers, "is_churned") == {(False,)}
 
 
+def test_strict_ingest_leaves_the_stored_tables_alone(spark, small, tmp_path):
+    raw, stored = f"{tmp_path}/raw", f"{tmp_path}/stored"
+    for name, df in small.named().items():
+        storage.write_csv(df, f"{raw}/{name}.csv")
+    storage.ingest_csv(spark, raw, stored, strict=True)
+    before = {name: rows(df) for name, df in storage.read_tables(spark, stored).named().items()}
+    stray = accounts(spark, [("A1", "C1", "P"), ("A9", "nobody", "P")])
+    storage.write_csv(stray, f"{raw}/accounts.csv")
+    for mode in ("overwrite", "append"):
+        with pytest.raises(storage.IntegrityError, match="accounts.customer_id") as broken:
+            storage.ingest_csv(spark, raw, stored, mode, strict=True)
+        assert broken.value.violations
+        assert {n: rows(df) for n, df in storage.read_tables(spark, stored).named().items()} == before
+    _, audit = storage.ingest_csv(spark, raw, stored)
+    assert audit.filter("violations > 0").count() > 0
+    assert storage.read_tables(spark, stored).accounts.count() == 2
+    assert not glob.glob(f"{session.shared_dir(spark)}/staged-*")
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["csv_round_trip", "ingested_row_counts", "stored_month_range", "appended_batches", "exported_churn_risk", "exported_monthly_revenue"],
+)
+def test_queries_leave_no_folder(spark, name):
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+    left = lambda: {f for f in os.listdir(session.shared_dir(spark)) if not re.fullmatch(r"[0-9a-f-]{36}", f)}
+    before = left()
+    assert catalog.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert left() == before
+
+
 def test_catalog_tables(spark, small):
     storage.create_tables(spark, "ledger_test")
     for name, df in small.named().items():
@@ -92,6 +173,7 @@ def test_catalog_tables(spark, small):
     stored = storage.read_catalog_tables(spark, "ledger_test").named()
     assert rows(stored["transactions"]) == rows(small.transactions)
     assert dict(values(table_row_counts(stored), "table_name", "row_count"))["transactions"] == 40
+    assert storage.table_comments(spark, "ledger_test") == COMMENTS
     storage.create_tables(spark, "ledger_test")
     assert spark.table("ledger_test.customers").count() == 0
 
@@ -147,7 +229,8 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert storage.fresh_folder(spark, "x").startswith(session.shared_dir(spark))
 
 
-def test_no_temporary_folder_on_a_cluster():
+@pytest.mark.parametrize(("named", "match"), [(None, "set spark.checkpoint.dir"), ("file:///tmp/x", "of its own"), ("/tmp/x", "of its own")])
+def test_no_machine_local_folder_on_a_cluster(spark, named, match):
     class Context:
         master = "yarn"
 
@@ -156,11 +239,12 @@ def test_no_temporary_folder_on_a_cluster():
 
     class Conf:
         def get(self, key, default=None):
-            return default
+            return named or default
 
     class Session:
         conf = Conf()
         sparkContext = Context()
+        _jvm, _jsc = spark._jvm, spark._jsc
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+    with pytest.raises(RuntimeError, match=match):
         session.shared_dir(Session())
