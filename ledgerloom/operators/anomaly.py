@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import count_as_decimal, ratio
-from ledgerloom.operators.quantiles import ordered_quantiles, ordered_value_counts
+from ledgerloom.functions.numbers import count_as_decimal, floor_div, ratio
+
+#: decimals that count of a floating-point value
+FLOAT_DIGITS = 6
 
 
 def zscore_outliers(
@@ -23,12 +24,20 @@ def zscore_outliers(
 
     The baseline rows may be fewer than the scored ones. Mean and deviation are a one-row scalar
     subquery, so there is no join. A constant baseline has no outliers.
+
+    Values and their squares are summed as decimals, so the order of the partial sums can't change the
+    statistics. Floating-point values are summed to ``FLOAT_DIGITS`` decimals.
     """
     base = df if baseline is None else df.filter(baseline)
-    statistics = base.agg(
+    value = F.col(column)
+    if not dict(df.dtypes)[column].startswith("decimal"):
+        value = value.cast(f"decimal(18,{FLOAT_DIGITS})")
+    sums = base.agg(F.count(value).alias("n"), F.sum(value).alias("s"), F.sum(value * value).alias("q"))
+    n, s, q = (F.col(c).cast("double") for c in ("n", "s", "q"))
+    statistics = sums.select(
         F.struct(
-            (F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))).alias("mean"),
-            F.stddev_samp(F.col(column).cast("double")).alias("deviation"),
+            (s / F.nullif(n, F.lit(0.0))).alias("mean"),
+            F.sqrt((q - s * s / F.nullif(n, F.lit(0.0))) / F.nullif(n - 1, F.lit(0.0))).alias("deviation"),
         )
     ).scalar()
     z = (F.col(column).cast("double") - F.col("_baseline.mean")) / F.nullif(
@@ -42,26 +51,86 @@ def zscore_outliers(
     )
 
 
+def value_bin(value: Column) -> Column:
+    """A bin that grows with the value: 32 bins for each doubling of 1 + its size, on either side of 0."""
+    size = F.log2(1 + F.abs(value.cast("double")))
+    return (F.signum(value.cast("double")) * F.floor(32 * size)).cast("int")
+
+
 def value_profile(
-    df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    dimension: DataFrame | None = None,
+    on: str | None = None,
 ) -> DataFrame:
     """Rows, mean, exact median and maximum of ``value`` per key group.
 
-    The rows are reduced to counts of equal values (combined before the shuffle); all four figures
-    come from those counts, so the fact is read a single time.
+    Keys that ``df`` lacks come from ``dimension``, joined by its unique column ``on``. A first pass reduces
+    the rows to a histogram (count, sum and maximum per group and bin) before anything is shuffled, so a
+    hot group or a hot ``on`` key is a few hundred rows per task. That gives all figures but the median,
+    and the bins that hold the middle positions. A second pass looks only at rows in those bins and
+    counts their distinct values.
     """
-    counts = ordered_value_counts(df, keys, value, partitions)
-    present = F.when(F.col("_value").isNotNull(), F.col("_rows"))
-    totals = counts.groupBy("_key").agg(
+    own = [k for k in keys if k in df.columns]
+    by = own if dimension is None else [on, *own]
+    rows = df.select(*by, F.col(value).alias("_value"), value_bin(F.col(value)).alias("_bin"))
+
+    def placed(part: DataFrame) -> DataFrame:
+        if dimension is not None:
+            others = [k for k in keys if k not in own]
+            part = part.join(dimension.select(on, *others), on)
+        return part.withColumn("_key", F.struct(*keys) if keys else F.struct(F.lit(1).alias("all")))
+
+    bins = (
+        placed(
+            rows.groupBy(*by, "_bin").agg(
+                F.count(F.lit(1)).alias("_rows"), F.sum("_value").alias("_sum"), F.max("_value").alias("_max")
+            )
+        )
+        .groupBy("_key", "_bin")
+        .agg(F.sum("_rows").alias("_rows"), F.sum("_sum").alias("_sum"), F.max("_max").alias("_max"))
+    )
+    present = F.when(F.col("_bin").isNotNull(), F.col("_rows"))
+    totals = bins.groupBy("_key").agg(
         F.sum("_rows").alias("rows"),
         ratio(F.sum("_sum"), count_as_decimal(F.sum(present))).alias("mean"),
-        F.max("_value").alias("maximum"),
+        F.max("_max").alias("maximum"),
+    )
+    # one row per group and bin: at most a few hundred for a group
+    in_group = Window.partitionBy("_key")
+    before = in_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    start, n = F.col("_start"), F.col("_n")
+    low, high = floor_div(n - 1, F.lit(2)), floor_div(n, F.lit(2))
+    wanted = (
+        bins.filter(F.col("_bin").isNotNull())
+        .withColumns({"_n": F.sum("_rows").over(in_group), "_start": F.coalesce(F.sum("_rows").over(before), F.lit(0))})
+        .filter((high >= start) & (low < start + F.col("_rows")))
+        .select("_key", "_bin", "_start", "_n")
     )
-    medians = ordered_quantiles(counts, [Fraction(1, 2)])
+    # two bins of each group at most, so the rows are cut before they are joined with the dimension
+    parts = [F.col(f"_key.{k}").alias(k) for k in own]
+    here = wanted.select(F.struct(*parts, F.col("_bin").alias("_bin")).alias("_cell")).distinct()
+    near = rows.withColumn("_cell", F.struct(*own, "_bin")).join(here, "_cell", "left_semi")
+    counts = (
+        placed(near.groupBy(*by, "_bin", "_value").agg(F.count(F.lit(1)).alias("_rows")))
+        .groupBy("_key", "_bin", "_value")
+        .agg(F.sum("_rows").alias("_rows"))
+        .join(wanted, ["_key", "_bin"])
+    )
+    upto = Window.partitionBy("_key", "_bin").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    end = start + F.sum("_rows").over(upto)
+    places = counts.withColumn("_end", end)
+
+    def at(position: Column) -> Column:
+        hit = (position >= F.col("_end") - F.col("_rows")) & (position < F.col("_end"))
+        return F.max(F.when(hit, F.col("_value")))
+
+    medians = places.groupBy("_key").agg(at(low).alias("_low"), at(high).alias("_high"))
     return totals.join(medians, "_key", "left").select(
         *[F.col("_key")[k].alias(k) for k in keys],
         "rows",
         "mean",
-        F.col("_quantiles")[0].alias("median"),
+        (F.col("_low") + (F.col("_high") - F.col("_low")) / 2).alias("median"),
         "maximum",
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_of, tenure_months
 from ledgerloom.functions.numbers import mean_of
+from ledgerloom.session import durable
 
 
 def next_day(transactions: DataFrame, day: str = "transaction_date") -> Column:
@@ -69,26 +70,38 @@ def churn_profile(customers: DataFrame) -> DataFrame:
     )
 
 
-def inactivity(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Last completed transaction and number of them per customer."""
-    per_account = (
-        transactions.filter(F.col("status") == "completed")
-        .groupBy("account_id")
-        .agg(
-            F.max("transaction_date").alias("last_txn_date"),
-            F.count("transaction_id").alias("total_txns"),
-        )
+def inactivity_rollup(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Per customer, NULL for unknown accounts: last day of any transaction, last and number of completed ones."""
+    completed = F.col("status") == "completed"
+    per_account = transactions.groupBy("account_id").agg(
+        F.max("transaction_date").alias("last_any"),
+        F.max(F.when(completed, F.col("transaction_date"))).alias("last_txn_date"),
+        F.count_if(completed).alias("rows"),
+        F.count(F.when(completed, F.col("transaction_id"))).alias("total_txns"),
     )
     return (
-        per_account.join(accounts.select("account_id", "customer_id"), "account_id")
+        per_account.join(accounts.select("account_id", "customer_id"), "account_id", "left")
         .groupBy("customer_id")
         .agg(
+            F.max("last_any").alias("last_any"),
             F.max("last_txn_date").alias("last_txn_date"),
+            F.sum("rows").alias("rows"),
             F.sum("total_txns").alias("total_txns"),
         )
     )
 
 
+def inactivity(transactions: DataFrame, accounts: DataFrame) -> tuple[DataFrame, Column]:
+    """Last completed transaction and number of them per customer; the last day of any transaction.
+
+    The last day is carried along in the roll-up, which is written once, so the fact is read once.
+    """
+    per_customer = durable(inactivity_rollup(transactions, accounts))
+    known = per_customer.filter(F.col("customer_id").isNotNull() & (F.col("rows") > 0))
+    last_day = per_customer.agg(F.max("last_any")).scalar()
+    return known.drop("last_any", "rows"), last_day
+
+
 # Fixed values of the inactivity labels.
 HIGH, MEDIUM, LOW, HEALTHY = "High Risk 🔴", "Medium Risk 🟡", "Low Risk 🟢", "Healthy ✅"
 

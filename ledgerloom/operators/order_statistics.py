@@ -154,6 +154,40 @@ def rank_buckets(
     ).drop("_cuts")
 
 
+def global_ntile(
+    df: DataFrame, buckets: int, values: Mapping[str, Column], tiebreak: str, partitions: int | None = None
+) -> DataFrame:
+    """Adds ``NTILE(buckets) OVER (ORDER BY value NULLS LAST, tiebreak)`` for each new column of ``values``.
+
+    Only (value, tiebreak) is sorted, once for all columns; ``df`` is read twice.
+    """
+    return rank_buckets(df, values, tiebreak, ntile_ends(buckets), partitions)
+
+
+def rank_quantile_buckets(
+    df: DataFrame, buckets: int, values: Mapping[str, Column], tiebreak: str, partitions: int | None = None
+) -> DataFrame:
+    """Quantile bucket (1 = lowest) of the rank of each value, ties ranked by ``tiebreak``.
+
+    Ranks 1..n have the quantile edges ``1 + (n-1)*j/buckets``, closed on the right. That differs from NTILE
+    when n is no multiple. A single row has no distinct edges and raises. Only (value, tiebreak) is
+    sorted, once for all columns; ``df`` is read twice.
+    """
+    cuts = order_statistics(
+        df, values, tiebreak, {name: quantile_ends(buckets) for name in values}, partitions
+    )
+    with_cuts = df.withColumn("_cuts", cuts.select(F.struct(*cuts.columns)).scalar())
+    single = F.raise_error(F.lit(NOT_UNIQUE)).cast("bigint")
+    return with_cuts.withColumns(
+        {
+            name: F.when(F.col("_cuts.total") == 1, single).otherwise(
+                _bucket(cuts, name, column, tiebreak, buckets - 1)
+            )
+            for name, column in values.items()
+        }
+    ).drop("_cuts")
+
+
 def _bucket(cuts: DataFrame, name: str, column: Column, tiebreak: str, ends: int) -> Column:
     kind = cuts.schema[f"{name}_0"].dataType["value"].dataType
     own = sort_key(column.cast(kind), F.col(tiebreak))
@@ -167,13 +201,17 @@ def recency_and_rank_buckets(
     tiebreak: str,
     buckets: int,
     partitions: int | None = None,
+    duplicates: str = "raise",
 ) -> DataFrame:
     """Quantile buckets of one column by value and of others by rank, from one global sort.
 
     ``by_value`` and ``by_rank`` map new bucket columns to their source columns. Results equal
-    ``quantile_bucket`` and ``rank_quantile_bucket``; equal edges raise. No source value may be NULL.
-    ``df`` is read twice: hand in a stored or durable frame.
+    ``quantile_bucket`` and ``rank_quantile_buckets``. Equal edges of the values raise; with
+    ``duplicates="drop"`` their empty bins merge, and ``<name>_bins`` tells how many are left. No source
+    value may be NULL. ``df`` is read twice: hand in a stored or durable frame.
     """
+    if duplicates not in ("raise", "drop"):
+        raise ValueError("duplicates must be 'raise' or 'drop'")
     name, column = by_value
     measures = {name: F.col(column), **{new: F.col(old) for new, old in by_rank.items()}}
     # The first and the last place are edges too: equal ones have to be noticed.
@@ -193,15 +231,21 @@ def recency_and_rank_buckets(
         low, high = place(2 * j - 2), place(2 * j - 1)
         edges.append(low + (high - low) * ((j * (total - 1)) % buckets / buckets))
     value = F.col(column).cast("double")
-    inner = F.lit(1).cast("bigint")
-    for edge in edges:
-        inner = inner + (edge < value).cast("bigint")
     all_edges = [place(2 * buckets - 2), *edges, place(2 * buckets - 1)]
     equal = F.lit(False)
     for left, right in zip(all_edges, all_edges[1:]):
         equal = equal | (left == right)
+    # an edge counts unless it equals the one before it or the last one, whose bin is empty then
+    inner, bins = F.lit(1).cast("bigint"), F.lit(1).cast("bigint")
+    for left, edge in zip(all_edges, edges):
+        counts = (edge > left) & (edge < all_edges[-1])
+        inner = inner + ((edge < value) & counts).cast("bigint")
+        bins = bins + counts.cast("bigint")
     raised = F.raise_error(F.lit(NOT_UNIQUE)).cast("bigint")
-    columns = {name: F.when(equal, raised).otherwise(inner)}
+    if duplicates == "raise":
+        columns = {name: F.when(equal, raised).otherwise(inner)}
+    else:
+        columns = {name: inner, f"{name}_bins": bins}
     for new in by_rank:
         columns[new] = _bucket(cuts, new, measures[new], tiebreak, buckets - 1)
     return with_cuts.withColumns(columns).drop("_cuts")

@@ -79,41 +79,3 @@ def ntile_of(position: Column, total: Column, buckets: int) -> Column:
     return F.when(position <= in_larger, floor_div(position + small, small + 1)).otherwise(
         larger_buckets + floor_div(position - in_larger + small - 1, small)
     )
-
-
-def global_ntile(
-    df: DataFrame,
-    buckets: int,
-    order: Sequence[Column],
-    name: str = "ntile",
-    partitions: int | None = None,
-) -> DataFrame:
-    """Adds ``NTILE(buckets) OVER (ORDER BY order)``; ``order`` must end in a unique column."""
-    ranked = global_row_number(df, order, "_row", "_rows", partitions)
-    tile = ntile_of(F.col("_row"), F.col("_rows"), buckets)
-    return ranked.withColumn(name, tile).drop("_row", "_rows")
-
-
-def rank_quantile_bucket(
-    df: DataFrame,
-    column: str,
-    buckets: int,
-    tiebreak: str,
-    name: str = "bucket",
-    partitions: int | None = None,
-) -> DataFrame:
-    """Quantile bucket (1 = lowest) of the rank of ``column``, ties ranked by ``tiebreak``.
-
-    Ranks 1..n have the quantile edges ``1 + (n-1)*j/buckets``, closed on the right, so the bucket is
-    ``ceil(buckets*(rank-1)/(n-1))``, at least 1. That differs from NTILE when n is no multiple. A
-    single row has no distinct edges and raises.
-    """
-    order = [F.col(column).asc_nulls_last(), F.col(tiebreak).asc_nulls_last()]
-    ranked = global_row_number(df, order, "_row", "_rows", partitions)
-    step = F.col("_rows") - 1
-    above = buckets * (F.col("_row") - 1)
-    bucket = F.greatest(F.lit(1).cast("bigint"), floor_div(above + step - 1, step))
-    single = F.raise_error(F.lit("Bin edges must be unique")).cast("bigint")
-    return ranked.withColumn(
-        name, F.when(step == 0, single).otherwise(bucket)
-    ).drop("_row", "_rows")

@@ -14,14 +14,12 @@ from ledgerloom.operators.order_statistics import (
 )
 from ledgerloom.session import durable
 
-# Segment names and the lowest total of each.
+# Segment names.
 CHAMPIONS, LOYAL, POTENTIAL = "Champions", "Loyal Customers", "Potential Loyalists"
 AT_RISK, OTHERS = "At Risk", "Others"
 SEGMENTS = (CHAMPIONS, LOYAL, POTENTIAL, AT_RISK, OTHERS)
-SEGMENT_FLOORS = {CHAMPIONS: 13, LOYAL: 10, POTENTIAL: 7}
 
-# Churn points, risk bins and labels.
-RECENCY_POINTS = {90: 3, 60: 2, 30: 1}
+# Risk bins and labels.
 RISK_EDGES = (-1, 2, 4, 10)
 RISK_LABELS = ("Low Risk", "Medium Risk", "High Risk")
 
@@ -33,10 +31,13 @@ CUSTOMER_COLUMNS = ("first_name", "last_name", "region", "is_churned")
 
 def rfm_segment(total: Column, r_score: Column) -> Column:
     """By total score; low totals split on recency."""
-    label = F.when(total >= SEGMENT_FLOORS[CHAMPIONS], CHAMPIONS)
-    for name in (LOYAL, POTENTIAL):
-        label = label.when(total >= SEGMENT_FLOORS[name], name)
-    return label.when(r_score <= 2, AT_RISK).otherwise(OTHERS)
+    return (
+        F.when(total >= 13, CHAMPIONS)
+        .when(total >= 10, LOYAL)
+        .when(total >= 7, POTENTIAL)
+        .when(r_score <= 2, AT_RISK)
+        .otherwise(OTHERS)
+    )
 
 
 def rfm_base(accounts: DataFrame, cleaned: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -75,11 +76,14 @@ def rfm_base(accounts: DataFrame, cleaned: DataFrame, as_of: Column | None = Non
     )
 
 
-def rfm_scores(base: DataFrame, partitions: int | None = None) -> DataFrame:
+def rfm_scores(
+    base: DataFrame, partitions: int | None = None, duplicates: str = "raise"
+) -> DataFrame:
     """Scores 1 to 5, 5 best: recency by value quantiles, frequency and monetary by rank quantiles.
 
     One global sort for all three. ``base`` is read twice, so it should be durable, as
-    :func:`rfm_base` makes it.
+    :func:`rfm_base` makes it. Many customers with the same recency can make two quantiles equal; that
+    raises, or with ``duplicates="drop"`` leaves fewer recency scores, 5 still the best.
     """
     bucketed = recency_and_rank_buckets(
         base,
@@ -88,16 +92,22 @@ def rfm_scores(base: DataFrame, partitions: int | None = None) -> DataFrame:
         "customer_id",
         5,
         partitions,
+        duplicates,
     )
-    scored = bucketed.withColumn("r_score", 6 - F.col("r_bucket")).drop("r_bucket")
+    scored = bucketed.withColumn("r_score", 6 - F.col("r_bucket")).drop("r_bucket", "r_bucket_bins")
     return scored.withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 
-def rfm_segments(base: DataFrame, customers: DataFrame, partitions: int | None = None) -> DataFrame:
+def rfm_segments(
+    base: DataFrame,
+    customers: DataFrame,
+    partitions: int | None = None,
+    duplicates: str = "raise",
+) -> DataFrame:
     """Scored and labelled customers with their attributes; customers without activity are absent."""
     segment = rfm_segment(F.col("rfm_total"), F.col("r_score"))
     return (
-        rfm_scores(base, partitions)
+        rfm_scores(base, partitions, duplicates)
         .withColumns({"segment": segment, "monetary": F.round("monetary", 2).cast(MONEY_SUM)})
         .join(customers.select("customer_id", *CUSTOMER_COLUMNS), "customer_id")
         .select(
@@ -115,33 +125,42 @@ def rfm_segments(base: DataFrame, customers: DataFrame, partitions: int | None =
     )
 
 
-def rfm_ntile_base(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Last date, number and sum of completed non-fee transactions per customer.
-
-    The plain report form: no currency conversion, copies included, NULL types dropped.
-    """
-    per_account = (
-        transactions.filter(
-            (F.col("status") == "completed") & (F.col("transaction_type") != "fee")
-        )
-        .groupBy("account_id")
-        .agg(
-            F.max("transaction_date").alias("last_transaction"),
-            F.count("transaction_id").alias("frequency"),
-            F.sum("amount").alias("monetary"),
-        )
+def rfm_ntile_rollup(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Per customer, NULL for unknown accounts: last day of any transaction, figures of the counted ones."""
+    counted = (F.col("status") == "completed") & (F.col("transaction_type") != "fee")
+    per_account = transactions.groupBy("account_id").agg(
+        F.max("transaction_date").alias("last_any"),
+        F.max(F.when(counted, F.col("transaction_date"))).alias("last_transaction"),
+        F.count_if(counted).alias("rows"),
+        F.count(F.when(counted, F.col("transaction_id"))).alias("frequency"),
+        F.sum(F.when(counted, F.col("amount"))).alias("monetary"),
     )
     return (
-        per_account.join(accounts.select("account_id", "customer_id"), "account_id")
+        per_account.join(accounts.select("account_id", "customer_id"), "account_id", "left")
         .groupBy("customer_id")
         .agg(
+            F.max("last_any").alias("last_any"),
             F.max("last_transaction").alias("last_transaction"),
+            F.sum("rows").alias("rows"),
             F.sum("frequency").alias("frequency"),
             F.sum("monetary").alias("monetary"),
         )
     )
 
 
+def rfm_ntile_base(transactions: DataFrame, accounts: DataFrame) -> tuple[DataFrame, Column]:
+    """Last date, number and sum of completed non-fee transactions per customer; the data's last day.
+
+    The plain report form: no currency conversion, copies included, NULL types dropped. The last day is
+    that of any transaction; it is carried along in the roll-up, which is written once, so the fact is
+    read once.
+    """
+    per_customer = durable(rfm_ntile_rollup(transactions, accounts))
+    base = per_customer.filter(F.col("customer_id").isNotNull() & (F.col("rows") > 0))
+    last_day = per_customer.agg(F.max("last_any")).scalar()
+    return base.drop("last_any", "rows"), last_day
+
+
 def rfm_ntile(
     base: DataFrame, as_of: Column, best_is_high: bool = False, partitions: int | None = None
 ) -> DataFrame:
@@ -171,11 +190,9 @@ def rfm_ntile(
 
 def churn_points(rfm: DataFrame) -> DataFrame:
     """Risk points and label of every scored customer known not to have churned."""
-    recency = F.lit(0)
-    for days in sorted(RECENCY_POINTS):
-        recency = F.when(F.col("recency") > days, RECENCY_POINTS[days]).otherwise(recency)
+    idle = F.col("recency")
     points = (
-        recency
+        F.when(idle > 90, 3).when(idle > 60, 2).when(idle > 30, 1).otherwise(0)
         + F.when(F.col("frequency") < 5, 2).otherwise(0)
         + F.when(F.col("r_score") <= 2, 2).otherwise(0)
         + F.when(F.col("m_score") <= 2, 1).otherwise(0)

@@ -36,8 +36,12 @@ def value_counts(
 def lookup_with_default(
     df: DataFrame, dim: DataFrame, on: str, column: str, default: object
 ) -> DataFrame:
-    """Adds ``dim[column]`` by key, ``default`` where the key has no row or no value."""
-    return df.join(dim.select(on, column), on, "left").withColumn(
+    """Adds ``dim[column]`` by key, ``default`` where the key has no row or no value.
+
+    A key that ``dim`` repeats gives its smallest value; rows are never multiplied.
+    """
+    found = dim.groupBy(on).agg(F.min(column).alias(column))
+    return df.join(found, on, "left").withColumn(
         column, F.coalesce(F.col(column), F.lit(default))
     )
 

@@ -81,17 +81,9 @@ def first_last_trend(
     )
 
 
-def before_last_period(totals: DataFrame, period: str = "month") -> DataFrame:
-    """Without the last, possibly partial period.
-
-    ``totals`` is grouped by period, so finding the last one takes no second pass over the fact.
-    """
-    everything = Window.partitionBy(F.lit(1))
-    return (
-        totals.withColumn("_last", F.max(period).over(everything))
-        .filter(F.col(period) < F.col("_last"))
-        .drop("_last")
-    )
+def up_to_period(totals: DataFrame, last: str | None, period: str = "month") -> DataFrame:
+    """Without the periods after ``last``; all of them if that is None."""
+    return totals if last is None else totals.filter(F.col(period) <= last)
 
 
 def account_months(transactions: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import as_number, month_index, padded_id, tenure_months
+from ledgerloom.functions import as_number, half_even, month_index, padded_id, tenure_months
 from ledgerloom.operators import anomaly, customers, quality, segmentation, shares, timeseries
 from ledgerloom.operators.cleaning import (
     TRANSACTION_ORDER,
@@ -17,9 +19,10 @@ from ledgerloom.operators.cleaning import (
     fill_missing,
     normalise_currency,
 )
+from ledgerloom.operators.order_statistics import global_ntile, rank_quantile_buckets
 from ledgerloom.operators.quantiles import quantile_bucket
-from ledgerloom.operators.ranking import global_ntile, rank_quantile_bucket
 from ledgerloom.plans import reports, scoring
+from ledgerloom.session import durable
 from ledgerloom.sources import star, storage
 from ledgerloom.sources.schemas import CUSTOMERS, MONTHLY_REVENUE, Tables
 
@@ -70,15 +73,14 @@ def _recency_buckets(t: Tables) -> DataFrame:
 
 
 def _rank_scores(t: Tables) -> DataFrame:
-    base = scoring.rfm_base(t)
-    scored = rank_quantile_bucket(base, "frequency", 5, "customer_id", "f_score")
-    scored = rank_quantile_bucket(scored, "monetary", 5, "customer_id", "m_score")
+    measures = {"f_score": F.col("frequency"), "m_score": F.col("monetary")}
+    scored = rank_quantile_buckets(scoring.rfm_base(t), 5, measures, "customer_id")
     return scored.select("customer_id", "frequency", "f_score", "m_score")
 
 
 def _balance_quintiles(t: Tables) -> DataFrame:
-    order = [F.col("balance").desc_nulls_last(), F.col("account_id").asc()]
-    tiled = global_ntile(t.accounts.select("account_id", "balance"), 5, order, "quintile")
+    held = t.accounts.select("account_id", "balance")
+    tiled = global_ntile(held, 5, {"quintile": -F.col("balance")}, "account_id")
     return tiled.withColumn("balance", as_number(F.col("balance")))
 
 
@@ -111,6 +113,27 @@ def _padded_ids(t: Tables) -> DataFrame:
     return t.customers.select("customer_id", padded_id("CUST", number, 5).alias("short_id"))
 
 
+def _table_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four tables declared in a catalog, then their comments with the rows of the data bound to them."""
+    database = f"declared_{uuid.uuid4().hex}"
+    try:
+        storage.create_tables(spark, database)
+        comments = storage.table_comments(spark, database)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    said = F.create_map(*[F.lit(part) for pair in comments.items() for part in pair])
+    counts = quality.table_row_counts(star.StarTables(spark, sf_dir).named())
+    return counts.withColumn("table_comment", said[F.col("table_name")])
+
+
+def _half_even_profile(t: Tables) -> DataFrame:
+    """A quarter of each balance, rounded to cents with ties to the even one, summed by product."""
+    quarter = F.col("balance").cast("decimal(18,4)") * F.lit(Decimal("0.25"))
+    return t.accounts.groupBy("product_name").agg(
+        as_number(F.sum(half_even(quarter, 2))).alias("quarter_balances")
+    )
+
+
 def _event_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = star.star_table(spark, sf_dir, "events")
     return anomaly.zscore_outliers(events, "value").withColumn("z_score", F.round("z_score", 4))
@@ -118,60 +141,64 @@ def _event_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers written as CSV and read back with declared types."""
-    folder = storage.fresh_folder(spark, "customers-csv")
-    storage.write_csv(star.customers(spark, sf_dir), folder)
-    back = storage.read_csv_table(spark, folder, CUSTOMERS)
-    return back.withColumns(
-        {c: F.col(c).cast("bigint") for c in ("age", "credit_score", "annual_income")}
-    )
+    with storage.scratch_folder(spark, "customers-csv") as folder:
+        storage.write_csv(star.customers(spark, sf_dir), folder)
+        back = storage.read_csv_table(spark, folder, CUSTOMERS)
+        return durable(
+            back.withColumns(
+                {c: F.col(c).cast("bigint") for c in ("age", "credit_score", "annual_income")}
+            )
+        )
 
 
 def _ingested_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four tables through CSV files into parquet, dimensions first, then counted."""
-    raw, stored = (storage.fresh_folder(spark, name) for name in ("raw", "stored"))
-    for name, df in star.StarTables(spark, sf_dir).named().items():
-        storage.write_csv(df, f"{raw}/{name}.csv")
-    counts, _ = storage.ingest_csv(spark, raw, stored)
-    return counts
+    with storage.scratch_folder(spark, "raw") as raw, storage.scratch_folder(spark, "stored") as stored:
+        for name, df in star.StarTables(spark, sf_dir).named().items():
+            storage.write_csv(df, f"{raw}/{name}.csv")
+        counts, _ = storage.ingest_csv(spark, raw, stored)
+        return durable(counts)
 
 
 def _stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions stored by month, then a span of months read back."""
-    folder = storage.fresh_folder(spark, "transactions")
-    storage.write_table(star.transactions(spark, sf_dir), folder, "transactions")
-    return _transaction_rows(storage.transactions_between(spark, folder, *STORED_MONTHS))
+    with storage.scratch_folder(spark, "transactions") as folder:
+        storage.write_table(star.transactions(spark, sf_dir), folder, "transactions")
+        return durable(_transaction_rows(storage.transactions_between(spark, folder, *STORED_MONTHS)))
 
 
 def _appended_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly revenue recreated with the earlier months, then the later ones appended."""
-    folder = storage.fresh_folder(spark, "monthly-revenue")
-    revenue = star.monthly_revenue(spark, sf_dir)
-    early = F.col("month") < BATCH_MONTH
-    storage.write_table(revenue.filter(early), folder, "monthly_revenue", "overwrite")
-    storage.write_table(revenue.filter(~early), folder, "monthly_revenue", "append")
-    stored = storage.read_table(spark, folder, "monthly_revenue")
-    return stored.groupBy("month").agg(
-        F.count(F.lit(1)).alias("rows"), as_number(F.sum("revenue")).alias("revenue")
-    )
+    with storage.scratch_folder(spark, "monthly-revenue") as folder:
+        revenue = star.monthly_revenue(spark, sf_dir)
+        early = F.col("month") < BATCH_MONTH
+        storage.write_table(revenue.filter(early), folder, "monthly_revenue", "overwrite")
+        storage.write_table(revenue.filter(~early), folder, "monthly_revenue", "append")
+        stored = storage.read_table(spark, folder, "monthly_revenue")
+        return durable(
+            stored.groupBy("month").agg(
+                F.count(F.lit(1)).alias("rows"), as_number(F.sum("revenue")).alias("revenue")
+            )
+        )
 
 
 def _exported_churn_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four exports written; the churn export read back."""
-    folder = storage.fresh_folder(spark, "exports")
-    exports = scoring.run_exports(star.StarTables(spark, sf_dir), folder)
-    back = storage.read_csv_table(spark, f"{folder}/churn_risk", exports.churn_risk.schema)
-    return _churn_rows(back)
+    with storage.scratch_folder(spark, "exports") as folder:
+        exports = scoring.run_exports(star.StarTables(spark, sf_dir), folder)
+        back = storage.read_csv_table(spark, f"{folder}/churn_risk", exports.churn_risk.schema)
+        return durable(_churn_rows(back))
 
 
 def _exported_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole monthly table exported as CSV and read back."""
-    folder = storage.fresh_folder(spark, "exports")
-    revenue = star.monthly_revenue(spark, sf_dir)
-    storage.export_reports({"monthly_revenue": revenue}, folder)
-    back = storage.read_csv_table(spark, f"{folder}/monthly_revenue", MONTHLY_REVENUE)
-    return back.withColumns(
-        {c: as_number(F.col(c)) for c in ("revenue", "fee_charged")}
-    )
+    with storage.scratch_folder(spark, "exports") as folder:
+        revenue = star.monthly_revenue(spark, sf_dir)
+        storage.export_reports({"monthly_revenue": revenue}, folder)
+        back = storage.read_csv_table(spark, f"{folder}/monthly_revenue", MONTHLY_REVENUE)
+        return durable(
+            back.withColumns({c: as_number(F.col(c)) for c in ("revenue", "fee_charged")})
+        )
 
 
 def queries() -> dict[str, Query]:
@@ -247,4 +274,6 @@ def queries() -> dict[str, Query]:
         "month_index": on(_month_numbers),
         "padded_ids": on(_padded_ids),
         "event_value_outliers": _event_outliers,
+        "table_comments": _table_comments,
+        "half_even_balances": on(_half_even_profile),
     }

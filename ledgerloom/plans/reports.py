@@ -39,11 +39,11 @@ def revenue_mom(t: Tables) -> DataFrame:
     )
 
 
-def product_trend(t: Tables) -> DataFrame:
-    """First against last month per product, without the last, partial month of the data."""
+def product_trend(t: Tables, last_month: str | None = None) -> DataFrame:
+    """First against last month per product. ``last_month`` ends the series before the data does."""
     totals = timeseries.period_totals(t.monthly_revenue, "product_name", "month")
     return (
-        timeseries.first_last_trend(timeseries.before_last_period(totals))
+        timeseries.first_last_trend(timeseries.up_to_period(totals, last_month))
         .select(
             "product_name",
             _money("first_total", "first_month_revenue"),
@@ -107,10 +107,10 @@ def cohort_retention(t: Tables) -> DataFrame:
 
 def rfm_ntile(t: Tables, as_of: Column | None = None, best_is_high: bool = False) -> DataFrame:
     staying = t.customers.filter(~F.col("is_churned")).select("customer_id", _name(), "region")
-    base = segmentation.rfm_ntile_base(t.transactions, t.accounts).join(staying, "customer_id")
-    as_of = customers.next_day(t.transactions) if as_of is None else as_of
+    base, last_day = segmentation.rfm_ntile_base(t.transactions, t.accounts)
+    as_of = F.date_add(last_day, 1) if as_of is None else as_of
     return (
-        segmentation.rfm_ntile(base, as_of, best_is_high)
+        segmentation.rfm_ntile(base.join(staying, "customer_id"), as_of, best_is_high)
         .select(
             "customer_id",
             "customer_name",
@@ -156,31 +156,40 @@ def anomalies(t: Tables, threshold: float = 3.0, top: int = 50) -> DataFrame:
     outliers = anomaly.zscore_outliers(
         completed, "amount", F.col("transaction_type") != "fee", threshold
     )
+    order = (
+        F.desc("z_score"),
+        F.desc("amount"),
+        "transaction_id",
+        "account_id",
+        "transaction_date",
+        "transaction_type",
+        "currency",
+        F.asc_nulls_last("merchant_category"),
+    )
+    owners = t.accounts.select("account_id", "customer_id").join(
+        t.customers.select("customer_id", _name()), "customer_id"
+    )
+    # only outliers of known owners count; the names are fetched for the rows of the report alone
+    first = (
+        outliers.withColumn("z_score", F.round("z_score", 2))
+        .join(owners, "account_id", "left_semi")
+        .orderBy(*order)
+        .limit(top)
+    )
     return (
-        outliers.join(t.accounts.select("account_id", "customer_id"), "account_id")
-        .join(t.customers.select("customer_id", "first_name", "last_name"), "customer_id")
+        first.join(owners, "account_id")
         .select(
             "transaction_id",
             "account_id",
-            _name(),
+            "customer_name",
             "transaction_date",
             "transaction_type",
             as_number(F.col("amount")).alias("amount"),
             "currency",
             "merchant_category",
-            F.round("z_score", 2).alias("z_score"),
-        )
-        .orderBy(
-            F.desc("z_score"),
-            F.desc("amount"),
-            "transaction_id",
-            "account_id",
-            "transaction_date",
-            "transaction_type",
-            "currency",
-            F.asc_nulls_last("merchant_category"),
+            "z_score",
         )
-        .limit(top)
+        .orderBy(*order)
     )
 
 
@@ -230,24 +239,11 @@ def monthly_active_users(t: Tables) -> DataFrame:
     return timeseries.active_by_period(activity).withColumnRenamed("active", "mau").orderBy("month")
 
 
-def product_amounts(t: Tables) -> DataFrame:
-    """Completed amounts with product and type.
-
-    The one row-level join of the fact: the product must be known before equal amounts can be counted.
-    Adaptive execution splits a hot account's partition.
-    """
-    completed = t.transactions.filter(F.col("status") == "completed").select(
-        "account_id", "transaction_type", "amount"
-    )
-    return completed.join(t.accounts.select("account_id", "product_name"), "account_id").drop(
-        "account_id"
-    )
-
-
 def transaction_values(t: Tables) -> DataFrame:
     """Count, mean, exact median and maximum by product and type."""
+    completed = t.transactions.filter(F.col("status") == "completed")
     profile = anomaly.value_profile(
-        product_amounts(t), ["product_name", "transaction_type"], "amount"
+        completed, ["product_name", "transaction_type"], "amount", t.accounts, "account_id"
     )
     return profile.select(
         "product_name",
@@ -260,10 +256,11 @@ def transaction_values(t: Tables) -> DataFrame:
 
 
 def churn_inactivity(t: Tables, as_of: Column | None = None, top: int = 100) -> DataFrame:
-    as_of = customers.next_day(t.transactions) if as_of is None else as_of
+    last_seen, last_day = customers.inactivity(t.transactions, t.accounts)
+    as_of = F.date_add(last_day, 1) if as_of is None else as_of
     days = F.datediff(as_of, F.col("last_txn_date")).cast("bigint")
     quiet = (
-        customers.inactivity(t.transactions, t.accounts)
+        last_seen
         .withColumn("days_inactive", days)
         .filter(F.col("days_inactive") > 30)
     )
@@ -395,13 +392,14 @@ def region_q4_per_customer(t: Tables, year: int) -> DataFrame:
     ).orderBy(F.desc_nulls_first("q4_revenue_per_customer"), "region")
 
 
-def product_mix_growth(t: Tables) -> DataFrame:
-    """Growth from the first to the last complete month, in total and by product.
+def product_mix_growth(t: Tables, last_month: str | None = None) -> DataFrame:
+    """Growth from the first to the last month, in total and by product.
 
-    The fact is reduced once to product and month; the total row is summed from those.
+    The fact is reduced once to product and month; the total row is summed from those. ``last_month``
+    ends the series before the data does.
     """
     totals = timeseries.period_totals(t.monthly_revenue, "product_name", "month")
-    lines = timeseries.before_last_period(totals).select(
+    lines = timeseries.up_to_period(totals, last_month).select(
         F.explode(F.array(F.col("product_name"), F.lit("All products"))).alias("product_name"),
         "month",
         "total",

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import as_number
 from ledgerloom.operators import segmentation, shares
-from ledgerloom.operators.cleaning import TRANSACTION_ORDER, clean_transactions
+from ledgerloom.operators.cleaning import clean_transactions
 from ledgerloom.session import durable
 from ledgerloom.sources.schemas import Tables
 from ledgerloom.sources.storage import export_reports
 
+# The columns of the churn export.
 CHURN_COLUMNS = (
     "customer_id",
     "first_name",
@@ -27,9 +28,16 @@ CHURN_COLUMNS = (
 )
 
 
-# What segmentation reads of a transaction, in the order that picks the first copy. It is a prefix of
-# the full order, so the texts need not be sorted and shuffled along.
-SCORED_COLUMNS = TRANSACTION_ORDER[:6]
+# What segmentation reads of a transaction, in the order that picks the first copy. The full order
+# goes on with texts that segmentation doesn't read; copies that differ only there are alike here.
+SCORED_COLUMNS = (
+    "transaction_date",
+    "account_id",
+    "transaction_type",
+    "amount",
+    "currency",
+    "status",
+)
 
 
 def rfm_base(t: Tables, as_of: Column | None = None) -> DataFrame:
@@ -38,9 +46,16 @@ def rfm_base(t: Tables, as_of: Column | None = None) -> DataFrame:
     return segmentation.rfm_base(t.accounts, cleaned, as_of)
 
 
-def rfm_segments(t: Tables, as_of: Column | None = None) -> DataFrame:
-    """Segments of all customers with activity, churned ones included."""
-    return segmentation.rfm_segments(rfm_base(t, as_of), t.customers)
+def rfm_segments(
+    t: Tables, as_of: Column | None = None, duplicates: str = "raise"
+) -> DataFrame:
+    """Segments of all customers with activity, churned ones included.
+
+    Building the frame computes the customers' roll-up and writes it. Hand the result (or that of
+    :func:`build_exports`) to all reports that need it instead of building it for each.
+    ``duplicates="drop"`` allows equal recency quantiles.
+    """
+    return segmentation.rfm_segments(rfm_base(t, as_of), t.customers, duplicates=duplicates)
 
 
 def churn_risk(rfm: DataFrame) -> DataFrame:
@@ -95,9 +110,11 @@ class Exports:
         return dict(vars(self))
 
 
-def build_exports(t: Tables, as_of: Column | None = None) -> Exports:
+def build_exports(
+    t: Tables, as_of: Column | None = None, duplicates: str = "raise"
+) -> Exports:
     """The whole chain; the segments are written once and feed the other reports."""
-    rfm = durable(rfm_segments(t, as_of))
+    rfm = durable(rfm_segments(t, as_of, duplicates))
     return Exports(
         rfm_segments=rfm,
         churn_risk=churn_risk(rfm),
@@ -106,7 +123,9 @@ def build_exports(t: Tables, as_of: Column | None = None) -> Exports:
     )
 
 
-def run_exports(t: Tables, folder: str, as_of: Column | None = None) -> Exports:
-    exports = build_exports(t, as_of)
+def run_exports(
+    t: Tables, folder: str, as_of: Column | None = None, duplicates: str = "raise"
+) -> Exports:
+    exports = build_exports(t, as_of, duplicates)
     export_reports(exports.named(), folder)
     return exports

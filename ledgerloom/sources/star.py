@@ -58,10 +58,10 @@ def _customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         star_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     key = F.col("c_custkey")
-    churned = F.col("last_order") < F.to_date(F.lit(CHURN_CUTOFF))
+    churned = F.coalesce(F.col("last_order") < F.to_date(F.lit(CHURN_CUTOFF)), F.lit(False))
     return (
         star_table(spark, sf_dir, "customer")
-        .join(span, "c_custkey")
+        .join(span, "c_custkey", "left")  # customers without orders have no dates
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             key,

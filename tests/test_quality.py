@@ -91,6 +91,18 @@ def test_zscore_uses_the_baseline_for_mean_and_deviation(spark):
     assert got[0]["z_score"] == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "double"])
+def test_zscore_does_not_depend_on_partitions(spark, kind):
+    source = spark.range(20_000).selectExpr(
+        "id", f"cast(abs(hash(id)) % 100000 / 100 + if(id % 997 = 0, 90000, 0) as {kind}) as v"
+    )
+    results = {
+        tuple(sorted(map(tuple, anomaly.zscore_outliers(source.repartition(n), "v", threshold=2.0).collect())))
+        for n in (1, 3, 7, 64)
+    }
+    assert len(results) == 1 and len(results.pop()) > 10
+
+
 def test_zscore_is_one_sided_and_survives_a_constant_baseline(spark):
     low = spark.createDataFrame([(1.0,)] * 30 + [(1.1,), (-500.0,)], "v double")
     assert anomaly.zscore_outliers(low, "v").count() == 0
@@ -104,7 +116,7 @@ def test_value_profile_with_ties_nulls_and_even_counts(spark):
 
     rows = [("a", "1.00"), ("a", "1.00"), ("a", "1.01"), ("a", "9.99"), ("b", "5.00"), ("b", None), (None, "2.00")]
     source = spark.createDataFrame([(k, v and Decimal(v)) for k, v in rows], "k string, v decimal(12,2)")
-    got = {r["k"]: r for r in anomaly.value_profile(source, ["k"], "v", 3).collect()}
+    got = {r["k"]: r for r in anomaly.value_profile(source, ["k"], "v").collect()}
     assert got["a"]["rows"] == 4 and got["a"]["median"] == Decimal("1.005")
     assert got["a"]["mean"] == Decimal("3.25") and got["a"]["maximum"] == Decimal("9.99")
     assert (got["b"]["rows"], got["b"]["mean"], got["b"]["median"]) == (2, 5, 5)

@@ -4,12 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.quantiles import exact_quantiles, quantile_bucket
-from ledgerloom.operators.ranking import (
-    global_ntile,
-    global_row_number,
-    ntile_of,
-    rank_quantile_bucket,
-)
+from ledgerloom.operators.order_statistics import global_ntile, rank_quantile_buckets
+from ledgerloom.operators.ranking import global_row_number, ntile_of
 
 SIZES = [1, 2, 4, 5, 7, 12, 53]
 
@@ -34,8 +30,7 @@ def sql_ntile(n, k):
 @pytest.mark.parametrize("n", SIZES)
 def test_ntile_matches_sql(spark, n, partitions):
     numbers = tied(n)
-    order = [F.col("v").desc(), F.col("id").asc()]
-    got = global_ntile(frame(spark, numbers), 5, order, "tile", partitions)
+    got = global_ntile(frame(spark, numbers), 5, {"tile": -F.col("v")}, "id", partitions)
     tiles = {row["id"]: row["tile"] for row in got.collect()}
     ids = sorted(range(n), key=lambda i: (-numbers[i], i))
     assert [tiles[f"C{i:04d}"] for i in ids] == sql_ntile(n, 5)
@@ -61,14 +56,28 @@ def test_nulls_go_where_the_order_says(spark):
 @pytest.mark.parametrize("n", [2, 4, 5, 7, 12, 53, 101])
 def test_rank_buckets_match_pandas(spark, n):
     numbers = tied(n)
-    got = rank_quantile_bucket(frame(spark, numbers), "v", 5, "id", "b", 4).orderBy("id")
+    got = rank_quantile_buckets(frame(spark, numbers), 5, {"b": F.col("v")}, "id", 4).orderBy("id")
     ranks = pd.Series(numbers).rank(method="first")
     assert [r["b"] for r in got.collect()] == (pd.qcut(ranks, 5, labels=False) + 1).tolist()
 
 
 def test_rank_bucket_of_one_row_raises(spark):
     with pytest.raises(Exception, match="Bin edges must be unique"):
-        rank_quantile_bucket(frame(spark, [3]), "v", 5, "id").collect()
+        rank_quantile_buckets(frame(spark, [3]), 5, {"b": F.col("v")}, "id").collect()
+
+
+def test_several_columns_take_one_sort(spark, monkeypatch):
+    from ledgerloom.operators import order_statistics
+
+    sorted_frames = []
+    real = order_statistics.range_ordered
+    monkeypatch.setattr(
+        order_statistics, "range_ordered", lambda df, *rest: sorted_frames.append(df.columns) or real(df, *rest)
+    )
+    wide = frame(spark, tied(53)).withColumns({"w": F.col("v") * 3, "text": F.repeat(F.lit("x"), 100)})
+    got = rank_quantile_buckets(wide, 5, {"a": F.col("v"), "b": -F.col("w")}, "id")
+    assert got.count() == 53
+    assert [set(columns) for columns in sorted_frames] == [{"_tie", "_measure", "_value", "_missing"}]
 
 
 @pytest.mark.parametrize("partitions", [None, 5])
@@ -121,9 +130,8 @@ def test_quantiles_of_a_hot_value(spark):
 
 def test_empty_input(spark):
     empty = frame(spark, [1]).limit(0)
-    order = [F.col("v").asc(), F.col("id").asc()]
-    assert global_ntile(empty, 5, order).count() == 0
-    assert rank_quantile_bucket(empty, "v", 5, "id").count() == 0
+    assert global_ntile(empty, 5, {"b": F.col("v")}, "id").count() == 0
+    assert rank_quantile_buckets(empty, 5, {"b": F.col("v")}, "id").count() == 0
     assert quantile_bucket(empty, "v", 5).count() == 0
     assert exact_quantiles(empty, "v", ["1/2"], ["id"]).count() == 0
 

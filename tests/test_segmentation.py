@@ -82,39 +82,51 @@ def rfm_tables(spark):
     return tables(spark, people, [(f"A{c}", f"C{c:02d}", "P") for c in range(61)], rfm_rows())
 
 
-def brute_force():
-    frame = pd.DataFrame(
-        [(*r, *("CAD",)[len(r) - 5 :]) if len(r) == 5 else r for r in rfm_rows()],
-        columns=["id", "account", "day", "kind", "amount", "currency"],
-    )
-    frame = frame.sort_values("day", kind="stable").drop_duplicates("id")
-    frame["day"] = pd.to_datetime(frame["day"])
-    frame["amount"] = frame["amount"].map(lambda a: Decimal(str(a)))
-    usd = frame["currency"] == "USD"
-    frame.loc[usd, "amount"] = frame.loc[usd, "amount"].map(lambda a: a * Decimal("1.36"))
-    snapshot = frame["day"].max() + pd.Timedelta(days=1)
-    kept = frame[(frame["kind"] != "fee") & (frame["account"] != "nowhere")]
-    out = kept.groupby(kept["account"].map(lambda a: f"C{int(a[1:]):02d}")).agg(
-        recency=("day", lambda d: (snapshot - d.max()).days),
-        frequency=("id", "count"),
-        monetary=("amount", "sum"),
-    )
-    out["r"] = pd.qcut(out["recency"], 5, labels=[5, 4, 3, 2, 1]).astype(int)
-    for column, name in (("frequency", "f"), ("monetary", "m")):
-        ranks = out[column].astype(float).rank(method="first")
-        out[name] = pd.qcut(ranks, 5, labels=[1, 2, 3, 4, 5]).astype(int)
-    return out
-
-
-def test_segments_match_brute_force(spark):
-    expected = brute_force()
+def place_scores(numbers):
+    """Scores 1 to 5 by place in the sorted list of (number, customer)."""
+    order = sorted((number, customer) for customer, number in numbers.items())
+    last = len(order) - 1
+    return {customer: max(1, -(-5 * place // last)) for place, (_, customer) in enumerate(order)}
+
+
+def value_scores(numbers):
+    """Scores 5 (low) to 1 between the values a fifth, two fifths ... up the sorted list."""
+    order = sorted(numbers.values())
+    edges = []
+    for fifth in range(1, 5):
+        whole, part = divmod(fifth * (len(order) - 1), 5)
+        edges.append(order[whole] + (order[min(whole + 1, len(order) - 1)] - order[whole]) * part / 5)
+    return {customer: 5 - sum(edge < number for edge in edges) for customer, number in numbers.items()}
+
+
+def expected_scores():
+    earliest = {}
+    for key, account, when, kind, amount, *currency in rfm_rows():
+        if key not in earliest or when < earliest[key][1]:
+            rate = Decimal("1.36") if currency == ["USD"] else 1
+            earliest[key] = (account, when, kind, Decimal(str(amount)) * rate)
+    last_day = day(max(when for _, when, _, _ in earliest.values()))
+    seen, spent = {}, {}
+    for account, when, kind, amount in earliest.values():
+        if kind != "fee" and account != "nowhere":
+            customer = f"C{int(account[1:]):02d}"
+            seen.setdefault(customer, []).append(when)
+            spent[customer] = spent.get(customer, 0) + amount
+    recency = {c: (last_day - day(max(days))).days + 1 for c, days in seen.items()}
+    often = {c: len(days) for c, days in seen.items()}
+    scores = value_scores(recency), place_scores(often), place_scores(spent)
+    return {c: (recency[c], often[c], spent[c], *(score[c] for score in scores)) for c in seen}
+
+
+def test_segments_match_the_sorted_lists(spark):
+    expected = expected_scores()
     got = scoring.rfm_segments(rfm_tables(spark)).collect()
     assert len(got) == len(expected) == 60
     for row in got:
-        want = expected.loc[row["customer_id"]]
-        assert (row["recency"], row["frequency"]) == (want["recency"], want["frequency"])
-        assert row["monetary"] == want["monetary"].quantize(Decimal("0.01"), "ROUND_HALF_UP")
-        assert (row["r_score"], row["f_score"], row["m_score"]) == (want["r"], want["f"], want["m"])
+        recency, frequency, monetary, *scores = expected[row["customer_id"]]
+        assert (row["recency"], row["frequency"]) == (recency, frequency)
+        assert row["monetary"] == monetary.quantize(Decimal("0.01"), "ROUND_HALF_UP")
+        assert [row["r_score"], row["f_score"], row["m_score"]] == scores
 
 
 def test_scores_do_not_depend_on_partitions(spark):
@@ -126,6 +138,21 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert one == many
 
 
+def test_tied_recency_raises_or_merges(spark):
+    """Most customers were active on the last day: quantiles of the recency are equal."""
+    rows = [(f"T{c}-{n}", f"A{c}", f"2023-01-{20 if c < 12 else c:02d}", "deposit", c + n) for c in range(20) for n in range(1 + c % 3)]
+    people = [(f"C{c:02d}", "R", "2022-01-01", False, None) for c in range(20)]
+    t = tables(spark, people, [(f"A{c}", f"C{c:02d}", "P") for c in range(20)], rows)
+    with pytest.raises(Exception, match="Bin edges must be unique"):
+        scoring.rfm_segments(t).collect()
+    merged = {r["customer_id"]: r["r_score"] for r in scoring.rfm_segments(t, duplicates="drop").collect()}
+    days = {f"C{c:02d}": 1 if c < 12 else 21 - c for c in range(20)}
+    bins = pd.qcut(pd.Series(days), 5, labels=False, duplicates="drop")
+    assert merged == {c: 5 - b for c, b in bins.items()}
+    exports = scoring.build_exports(t, duplicates="drop")
+    assert exports.churn_risk.count() == 20 and exports.kpi_summary.count() == 1
+
+
 def test_fees_set_the_snapshot_but_not_the_activity(spark):
     t = rfm_tables(spark)
     base = {r["customer_id"]: r for r in scoring.rfm_base(t).collect()}
@@ -182,5 +209,5 @@ def test_missing_types_are_no_fee_here_but_drop_out_of_the_plain_report(spark):
     held = accounts(spark, [("A1", "C1", "P")])
     txns = transactions(spark, rows)
     assert seg.rfm_base(held, txns).first()["frequency"] == 1
-    assert seg.rfm_ntile_base(txns, held).count() == 0
+    assert seg.rfm_ntile_base(txns, held)[0].count() == 0
     assert day("2023-01-03") > day("2023-01-02")

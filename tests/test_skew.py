@@ -1,6 +1,7 @@
 """One account, customer, id and amount hold a third of the rows; results stay whole."""
 
 import random
+import re
 from decimal import Decimal
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, tables
 from ledgerloom.operators.cleaning import TRANSACTION_ORDER, cleaning_profile, dedupe_keep_first
+from ledgerloom.operators import anomaly
 from ledgerloom.plans import reports, scoring
 
 SIZE = 3000
@@ -98,20 +100,20 @@ def test_monthly_users_and_inactivity(t, frame):
     assert {r["customer_id"]: r["total_txns"] for r in got} == idle.to_dict()
 
 
-def test_adaptive_execution_splits_the_hot_account(spark, t, setting, tmp_path):
-    """The row-level join of the value report, with thresholds scaled down to the test's size."""
+def test_the_hot_account_is_reduced_before_it_is_joined(t, spark, tmp_path):
+    """A third of the rows is one account: what meets the dimension is a few rows per task, not the rows."""
     path = str(tmp_path / "transactions")
     many = t.transactions.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("n")
     many.repartition(16).write.parquet(path)
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    setting("spark.sql.shuffle.partitions", "16")
-    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "16KB")
-    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
-    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
-    big = tables(spark, [], [], [])
-    big = type(big)(t.customers, t.accounts, spark.read.parquet(path), big.monthly_revenue)
-    grouped = reports.product_amounts(big).groupBy("product_name", "transaction_type").count()
-    rows = grouped.collect()
-    assert "skew=true" in plan(grouped)
-    assert sum(r["count"] for r in rows) == 60 * sum(r[7] == "completed" for r in skewed_rows())
+    big = type(t)(t.customers, t.accounts, spark.read.parquet(path), t.monthly_revenue)
+    report = reports.transaction_values(big)
+    rows = report.collect()
+    assert sum(r["txn_count"] for r in rows) == 60 * sum(r[7] == "completed" for r in skewed_rows())
+    completed = big.transactions.filter("status = 'completed'")
+    text = plan(anomaly.value_profile(completed, ["product_name", "transaction_type"], "amount", big.accounts, "account_id"))
+    assert "rangepartitioning" not in text and "Checkpoint" not in text
+    # below every join with the dimension the rows are grouped already
+    for at in (m.start() for m in re.finditer(r"Join \[account_id", text)):
+        assert "HashAggregate(keys=[account_id" in text[at:].split("FileScan")[0]
+    single = {(r["product_name"], r["transaction_type"]): r["median_amount"] for r in reports.transaction_values(t).collect()}
+    assert {(r["product_name"], r["transaction_type"]): r["median_amount"] for r in rows} == single

@@ -76,9 +76,10 @@ def test_trend_boundaries(spark):
     assert growth["up"] == Decimal("11.0") and growth["from zero"] is None
 
 
-def test_partial_last_period_is_left_out(spark):
-    rows = [("2023-01", "A", "C", "P", "R", 1), ("2023-02", "A", "C", "P", "R", 2)]
-    assert values(ts.before_last_period(revenue(spark, rows)), "month") == {("2023-01",)}
+def test_periods_are_cut_only_on_request(spark):
+    rows = revenue(spark, [("2023-01", "A", "C", "P", "R", 1), ("2023-02", "A", "C", "P", "R", 2)])
+    assert values(ts.up_to_period(rows, None), "month") == {("2023-01",), ("2023-02",)}
+    assert values(ts.up_to_period(rows, "2023-01"), "month") == {("2023-01",)}
 
 
 def test_month_spine_edges(spark):
