@@ -1,14 +1,15 @@
 """Line dedup: levelled sorted runs of line hashes, compacted periodically.
 
 A line's key is the line without ASCII white space at its ends, A-Z in lower case. Keys of at least
-``LEAST_CHARS`` code points count. Documents come in batches. The keys of a batch (128-bit hash, number
+``LEAST_CHARS`` code points count. Documents come in batches, largest ids first. The keys of a batch (128-bit hash, number
 of documents, largest id that holds it) are sorted by hash and written as a run of level 0; when a
 level has ``fan`` runs they are merged into one run of the next level, so a store of n batches has
 at most ``fan`` runs on each of log(n) levels. :meth:`LineRuns.add` merge-anti-joins a new batch with the
 runs and gives back its keys that no earlier batch had.
 
-:func:`dedup_lines` adds all batches, then merge-joins the lines once more with the runs: keys in at
-least ``LEAST_DOCS`` documents lose all their lines except in the largest id that holds them.
+The holder of such a first key with the largest id is the one that keeps its lines, as later batches
+have smaller ids; all other (document, key) pairs are repeats. After the last batch the repeats are
+merge-joined with the runs: those of keys in at least ``LEAST_DOCS`` documents lose their lines.
 
 Scale: the text is read once for the hashes and once for the result; between, only hashes move. Keys are
 counted before the shuffle (a line in a third of all documents is a few rows per task) and runs hold one
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shared_dir
@@ -118,20 +119,31 @@ class LineRuns:
         return unseen
 
 
+def _batch_of(doc_id: Column, docs: DataFrame, batches: int) -> Column:
+    """The batch of an id, 0 for the largest ids; batches are ranges of ids of about equal numbers of rows."""
+    shares = [k / batches for k in range(1, batches)]
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    cuts = (docs.agg(F.percentile_approx(own, shares).alias("cuts")).first().cuts or []) if shares else []
+    return sum(((doc_id <= cut).cast("int") for cut in cuts), F.lit(0))
+
+
 def dropped_keys(
     docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES, fan: int = FAN
 ) -> DataFrame:
-    """doc_id and the keys (array of 16-byte hashes) whose lines this document loses."""
+    """doc_id and the keys (their hashes) whose lines this document loses."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/line-runs-{uuid.uuid4().hex}"
-    hashed = line_hashes(docs, least_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
+    hashed = line_hashes(docs, least_chars).withColumn("batch", _batch_of(F.col("doc_id"), docs, batches))
     hashed.write.partitionBy("batch").parquet(f"{folder}/lines")
     lines = spark.read.schema("doc_id long, h1 long, h2 long, batch int").parquet(f"{folder}/lines")
-    store = LineRuns(spark, f"{folder}/runs", fan)
+    store, repeats = LineRuns(spark, f"{folder}/runs", fan), None
     for batch in range(batches):
-        store.add(lines.where(F.col("batch") == batch).drop("batch"))
-    common = store.merged().where(F.col("n_docs") >= least_docs).select("h1", "h2", "keeper")
-    lost = lines.drop("batch").join(common, ["h1", "h2"]).where(F.col("doc_id") < F.col("keeper"))
+        own = lines.where(F.col("batch") == batch).drop("batch")
+        first = store.add(own).select("h1", "h2", F.col("keeper").alias("doc_id"))
+        again = own.join(first, ["h1", "h2", "doc_id"], "left_anti")
+        repeats = again if repeats is None else repeats.unionByName(again)
+    common = store.merged().where(F.col("n_docs") >= least_docs).select("h1", "h2")
+    lost = repeats.join(common, ["h1", "h2"])
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
 
 
