@@ -7,28 +7,42 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import durable
 
+#: rows of two or three numbers that are worth a task of their own
+ROWS_PER_TASK = 200_000
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """``df`` written once, in as many partitions as its rows are worth: small results make few small files."""
+    done = durable(df)
+    return done.coalesce(max(1, -(-done.count() // ROWS_PER_TASK)))
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes in ``edges`` (a, b); a component is named by its smallest node.
 
-    Alternates two steps until nothing changes: every node hands its larger neighbours to its smallest
-    neighbour, then its smaller ones. Paths shorten by about half each time. Edges at one node are reduced
-    to their minimum before any shuffle; every step is written to the shared folder.
+    Alternates two steps until all components are stars: every node hands its larger neighbours to its
+    smallest neighbour, then its smaller ones. Paths shorten by about half each time. Edges at one node
+    are reduced to their minimum before any shuffle, and the joins are ones that adaptive execution can
+    split at a hot node; every round is written to the shared folder.
     """
-    stars = durable(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    while True:
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    u, v, m = F.col("u"), F.col("v"), F.col("m")
+    apart = edges.where(F.col("a") != F.col("b"))
+    stars = compact(apart.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    while not _are_stars(stars):
+        both = stars.unionByName(stars.select(v.alias("u"), u.alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where(F.col("u") != F.col("v")).distinct()
+        large = both.join(least, "u").where((v > u) & (v != m)).select(v.alias("u"), m.alias("v"))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        stars = durable(small.where(F.col("u") != F.col("v")).distinct())
-        # the same edges give the same sums; every step lowers a sum or changes nothing
-        now = stars.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if before == now:
-            break
-        before = now
-    nodes = stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        small = large.join(down, "u").select(F.explode(F.array("u", "v")).alias("u"), m.alias("v"))
+        stars = compact(small.where(u != v).distinct())
+    centres = stars.select(v.alias("node"), v.alias("component")).distinct()
+    return stars.select(u.alias("node"), v.alias("component")).unionByName(centres)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each larger end has one edge and is no smaller end."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    roles = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.where(F.col("up") + F.col("down") > 1).isEmpty()

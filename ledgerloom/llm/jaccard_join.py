@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import compact, connected_components
 from ledgerloom.session import durable
 
 BLOCK = 256
@@ -234,8 +234,11 @@ def block_links(
     return links
 
 
-def _verified(blocks: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) within each block; rows: block columns, rep, component, asks, member, vals."""
+def _verified(blocks: DataFrame, num: int, den: int, whole: bool = False) -> DataFrame:
+    """Links (a, b) within each block; rows: block columns, rep, component, asks, member, vals.
+
+    With ``whole`` a block is a family, and every member (b) is given once, with its component (a).
+    """
     keys = ["family", "block", "part"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,6 +246,11 @@ def _verified(blocks: DataFrame, num: int, den: int) -> DataFrame:
 
         def found() -> pa.RecordBatch:
             links = block_links(asks, members, num, den)
+            if whole:
+                roots = _Union([key for key, _, _ in members])
+                for a, b in links:
+                    roots.join(a, b)
+                links = [(roots.find(key), key) for key in roots.up]
             pair = np.array(links, np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=["a", "b"])
 
@@ -281,23 +289,32 @@ def _hash_part(column: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(column), parts).cast("int")
 
 
-def _family_links(documents: DataFrame, candidates: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Verified links (a, b) that connect what is connected by links inside the families of candidates."""
+def _family_components(documents: DataFrame, candidates: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """(rep, component) by verified links inside the families of candidates; what is alone may be missing."""
     families = connected_components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("family"))
     sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("k"))
-    families = durable(families.join(sizes, "family"))
+    families = compact(families.join(sizes, "family"))
     sets = durable(_member_sets(documents, families, size).join(families, "rep").withColumn("component", F.col("rep")))
-    yes, no = F.lit(True), F.lit(False)
+    yes = F.lit(True)
     small = sets.where(F.col("k") <= SMALL).withColumns({"block": F.lit(0), "part": F.lit(0), "asks": yes, "member": yes})
+    found = _verified(small, num, den, whole=True).select(F.col("b").alias("rep"), F.col("a").alias("component"))
+    large_families = families.where(F.col("k") > SMALL)
+    if large_families.isEmpty():
+        return found
     large = sets.where(F.col("k") > SMALL).withColumns(
         {"blocks": F.ceil(F.col("k") / BLOCK).cast("long"), "part": F.lit(0)}
     )
-    large_families = families.where(F.col("k") > SMALL)
-    links = durable(_verified(small.unionByName(_against_pivots(large, large, large_families, 0), allowMissingColumns=True), num, den))
+    return found.unionByName(_large_components(large, large_families, num, den))
+
+
+def _large_components(large: DataFrame, large_families: DataFrame, num: int, den: int) -> DataFrame:
+    """(rep, component) in families of more than one block."""
+    yes, no = F.lit(True), F.lit(False)
+    links = compact(_verified(_against_pivots(large, large, large_families, 0), num, den))
     seed, work_before = 1, None
     while True:
         labels = connected_components(links).withColumnRenamed("node", "rep")
-        now = durable(
+        now = compact(
             large_families.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         )
         parts = now.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -306,7 +323,7 @@ def _family_links(documents: DataFrame, candidates: DataFrame, size: int, num: i
         open_ = now.join(main.where(F.col("rest") > 0), "family")
         work = open_.agg(F.sum("rest").alias("w")).first().w or 0  # pairs left to compare
         if not work:
-            return links
+            return now.select("rep", "component")
         labelled = large.drop("component").join(open_.select("rep", "component", "main", "rest"), "rep")
         rest = labelled.where(F.col("component") != F.col("main"))
         if work <= FINAL_PAIRS or (work_before is not None and work > 0.8 * work_before):
@@ -319,9 +336,10 @@ def _family_links(documents: DataFrame, candidates: DataFrame, size: int, num: i
                 "part", F.explode(F.sequence(F.lit(0), (pieces - 1).cast("int")))
             )
             crossing = asking.withColumns({"asks": yes, "member": no}).unionByName(asked.withColumns({"asks": no, "member": yes}))
-            return links.unionByName(_verified(crossing, num, den))
+            last = connected_components(links.unionByName(_verified(crossing, num, den)))
+            return last.select(F.col("node").alias("rep"), "component")
         more = _verified(_against_pivots(labelled, rest, large_families, seed), num, den)
-        links = durable(links.unionByName(more))
+        links = compact(links.unionByName(more))
         seed, work_before = seed + 1, work
 
 
@@ -348,18 +366,20 @@ def linked_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     sets = durable(document_sets(documents, size, num, den))
     full = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = durable(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")))
-    # classes that share an id are one node
-    member_of = full.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"]).select("doc_id", "rep")
-    several = member_of.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where(F.col("low") < F.col("high"))
-    same_id = member_of.join(several, "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))
     signed = full.join(classes.select(F.col("rep").alias("doc_id"), "f1", "f2"), ["doc_id", "f1", "f2"], "left_semi").select(
         F.col("doc_id").alias("rep"), F.explode("sigs").alias("sig")
     )
     shared = signed.groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where(F.col("low") < F.col("high"))
     meeting = signed.join(shared.select("sig", "low"), "sig").where(F.col("rep") != F.col("low"))
     candidates = meeting.select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _family_links(documents, candidates, size, num, den)
-    components = connected_components(links.unionByName(same_id)).withColumnRenamed("node", "rep")
+    components = _family_components(documents, candidates, size, num, den)
+    several = full.groupBy("doc_id").agg(F.min("f1").alias("low"), F.max("f1").alias("high")).where(F.col("low") < F.col("high"))
+    several = compact(several.select("doc_id"))
+    if not several.isEmpty():  # classes that share an id are one node
+        of_several = full.join(several, "doc_id", "left_semi").join(classes, ["f1", "f2", "n"])
+        same_id = of_several.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        links = components.select(F.col("component").alias("a"), F.col("rep").alias("b"))
+        components = connected_components(links.unionByName(same_id)).withColumnRenamed("node", "rep")
     named = classes.join(components, "rep", "left").select(
         "f1", "f2", "n", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )
