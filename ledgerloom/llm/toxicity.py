@@ -32,7 +32,7 @@ BITS = 17
 SIZES = (3, 4, 5, 6)
 WINDOW = 2
 DIMENSIONS = 8
-LIMITS = {0: 2000, 1: 1000}
+LIMITS = {0: 4000, 1: 1000}
 PART_BYTES = 500_000
 THRESHOLD = 0.3
 #: a label that the half-trained model gives less than this chance counts as an error
@@ -127,7 +127,7 @@ def _bags(grams: Grams, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarra
     return np.concatenate(ids or [np.zeros(0, np.int32)]), np.concatenate(bags or [np.zeros(0, np.int64)])
 
 
-def train(rows: Sequence[tuple[str, int]], epochs: int = 10, whole: int = 3, trusted: int = 5, rate: float = 0.15) -> tuple[np.ndarray, float] | None:
+def train(rows: Sequence[tuple[str, int]], epochs: int = 8, whole: int = 3, trusted: int = 5, rate: float = 0.05) -> tuple[np.ndarray, float] | None:
     """One number for each bucket and the bias of the trained model; None unless both labels occur."""
     if len({y for _, y in rows}) < 2:
         return None
