@@ -13,7 +13,8 @@ space, blocks in page order joined by a line feed.
 
 Labelled pages are a bounded sample (``SAMPLE`` pages, drawn by hash); without any, words weigh 1
 and tags -1. One pass in Arrow batches, no shuffle. Null or empty html and pages without words in text give an
-empty string. Pages may be cut anywhere; an unfinished tag at the end is no text.
+empty string. Pages may be cut anywhere; an unfinished tag at the end is no text. Equal regions are settled by
+the first. Repeated pages get equal texts; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations

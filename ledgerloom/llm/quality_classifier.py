@@ -7,7 +7,8 @@ one pair shared by all tokens. The score is a sparse dot product through the log
 Labels come from a bounded sample (``limits``: rows of each label); training is one pass of numpy over
 it, ``epochs`` times. Scoring is a column expression over whole texts, in Arrow batches, without any
 shuffle. Null and empty texts have no features: they get the score of the bias alone. Without labels
-of both kinds the score is 1 for every text (nothing is known to be bad).
+of both kinds the score is 1 for every text (nothing is known to be bad). Repeated rows get equal scores, an
+empty table gives none, and other columns don't matter.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Scoring needs no shuffle: for a trained model the softmax of an average is an av
 per n-gram, added up over Arrow batches in numpy, piece by piece, over whole texts.
 
 Null and empty texts and texts without letters or digits have no window and score 0. Without labels of
-both kinds all scores are 0 (nothing is known to be toxic). Repeated rows get equal scores.
+both kinds all scores are 0 (nothing is known to be toxic). Repeated rows get equal scores, an empty table
+gives none, and other columns don't matter.
 """
 
 from __future__ import annotations
