@@ -6,6 +6,8 @@ Jaccard similarity ``num/den`` or more differ in at most H shingles, so with mor
 one segment at least is equal in both. Each set is indexed by a hash of each segment's subset. A segment
 may be indexed with its one-deletion neighbourhood instead (the subset and the subset without each one
 of its shingles): then sets that differ in one shingle there still meet, and the segment counts twice.
+A set indexes only as many segments, from the first on, as its own size and that of its largest
+possible partner in the band require; partners of either size then have enough in common.
 
 :func:`allocation` picks, for each band, how many segments get neighbourhoods and how many spare segments
 there are, by the cost of signatures and of the chance meetings that it expects among as many sets as
@@ -14,9 +16,10 @@ segments in which two linked sets agree, more than s, one is not empty. (A set w
 indexes all, so two such sets meet as well.)
 
 Copies are joined first: equal sets form a class, and its smallest document stands for it. Classes that
-share a signature are candidates; connected candidates form a family. Families are worked off in blocks of
-bounded size: small ones whole, in large ones every member against the pivots of the family and then,
-block by block, what is not linked yet against everything. Two documents link when
+share a signature are candidates; connected candidates form a family, and each size class of a family with the
+next larger one a unit. Units are worked off in blocks of bounded size: small ones whole, in large ones every
+member against pivots of the unit and then, block by block, what is not linked yet against
+everything. In a block, sets that share a signature are compared. Two documents link when
 ``den * intersection >= num * union`` of the exact sets. A chain of links is enough to know a
 component, so no group ever emits all its pairs.
 
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -46,12 +50,16 @@ from ledgerloom.session import durable
 
 BLOCK = 256
 PIVOTS = 16
-SMALL = 64
+SMALL = 256
 BAND_RATIO = 1.5
 #: cost of comparing two sets, in units of one signature
 COMPARE = 4.0
 #: so many pairs may be compared at once instead of another round of pivots
 FINAL_PAIRS = 20_000_000
+#: a list of at most so many ids, or signatures with an id each, is sent to all executors (some 50 MB); then neither
+#: texts nor signatures move. Longer lists are joined by shuffle.
+SENT_IDS = 2_000_000
+SENT_SIGNATURES = 2_000_000
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,7 +100,8 @@ def allocation(low: int, high: int, sets: int, num: int, den: int) -> tuple[int,
     """(segments, segments with neighbourhoods, spare segments) of a band of sizes low..high."""
     need = most_difference(2 * high, num, den) + 1
     best = None
-    for deletions, spare in [(0, s) for s in (0, 1, 2, 4, 8)] + [(need // 2, 0), ((need + 1) // 2, 0)]:
+    spares = {0, 1, 2, 4, 8} | {need * k // 24 for k in range(1, 13)}
+    for deletions, spare in [(0, s) for s in sorted(spares)] + [(need // 2, 0), ((need + 1) // 2, 0)]:
         segments = max(deletions, need - deletions) + spare  # 2 * deletions + the others >= need + spare
         share = min(low / segments, 60.0)  # shingles of a small set in a segment
         signatures = segments + deletions * high / segments
@@ -136,11 +145,17 @@ class Signer:
     def signatures(self, values: np.ndarray) -> np.ndarray:
         """Of the set's own band, and of larger bands in which it may have partners."""
         size = len(values)
-        own, last = self._band(size), self._band(size * self.den // self.num)
-        return np.concatenate([self._of_band(values, band) for band in range(own, last + 1)])
+        partner = size * self.den // self.num
+        own, last = self._band(size), self._band(partner)
+        return np.concatenate(
+            [self._of_band(values, band, min(partner, self.starts[band + 1] - 1)) for band in range(own, last + 1)]
+        )
 
-    def _of_band(self, values: np.ndarray, band: int) -> np.ndarray:
+    def _of_band(self, values: np.ndarray, band: int, partner: int) -> np.ndarray:
         segments, deletions, spare = self.allocate(band)
+        # so many segments have to be in the index of both; those with neighbourhoods, the first ones, count twice
+        need = most_difference(len(values) + partner, self.num, self.den) + 1 + spare
+        used = -(-need // 2) if need <= 2 * deletions else need - deletions
         place = (mix(values + np.uint64(band + 1)) >> np.uint64(32)) % np.uint64(segments)
         order = np.argsort(place, kind="stable")
         place, parts = place[order], mix(values[order] ^ _SEED)
@@ -151,25 +166,38 @@ class Signer:
         tags = mix(np.arange(segments, dtype=np.uint64) + np.uint64((band + 1) << 32))
         filled = np.zeros(segments, bool)
         filled[place] = True
-        whole = mix(sums + tags)
+        filled[used:] = True  # not looked at
+        whole = mix(sums + tags)[:used]
         if (~filled).sum() <= spare:
-            whole = whole[filled]
+            whole = whole[filled[:used]]
         if not deletions:
             return whole
-        near = place < deletions
+        near = place < min(deletions, used)
         return np.concatenate([whole, mix(sums[place[near]] - parts[near] + tags[place[near]])])
 
 
-def document_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+@dataclass(frozen=True)
+class Join:
+    """The parameters: shingles of ``size`` words, similarity ``num/den``, in a corpus of ``corpus`` documents."""
+
+    size: int
+    num: int
+    den: int
+    corpus: int
+
+    def signer(self) -> Signer:
+        return Signer(self.corpus, self.num, self.den)
+
+
+def document_sets(docs: DataFrame, join: Join) -> DataFrame:
     """doc_id, n, f1, f2 (a 128-bit fingerprint of the set), sigs."""
-    signer_of = (max(1, docs.count()), num, den)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(*signer_of)
+        signer = join.signer()
         for batch in batches:
             sizes, prints, sigs, ends = [], [], [], [0]
             for text in batch.column("text"):
-                values = shingle_set(text.as_py() or "", size)
+                values = shingle_set(text.as_py() or "", join.size)
                 sizes.append(len(values))
                 prints.append((np.sum(mix(values ^ _SEED)), np.sum(mix(values + _SEED))))
                 if len(values):
@@ -206,52 +234,47 @@ class _Union:
         return x != y
 
 
-def block_links(
-    asks: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int, np.ndarray]], num: int, den: int
-) -> list[tuple[int, int]]:
+Set = tuple[int, int, np.ndarray, np.ndarray]  # id, component, sorted hashes, signatures
+
+
+def block_links(asks: list[Set], members: list[Set], num: int, den: int) -> list[tuple[int, int]]:
     """Links (id, id) between asking sets and members that connect different components.
 
-    A set is (id, component, sorted hashes). Pairs that other links of the block connect are left out.
+    Only sets with a signature in common are compared. Pairs that other links of the block connect are
+    left out.
     """
     links: list[tuple[int, int]] = []
-    if not members:
-        return links
-    joined = _Union([c for _, c, _ in asks] + [c for _, c, _ in members])
-    sizes = np.array([len(v) for _, _, v in members])
-    flat = np.concatenate([v for _, _, v in members])
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    for key, component, values in asks:
-        open_ = np.array([joined.find(c) for _, c, _ in members]) != joined.find(component)
-        open_ &= (den * sizes >= num * len(values)) & (num * sizes <= den * len(values))
-        if not open_.any():
-            continue
-        at = np.minimum(np.searchsorted(values, flat), len(values) - 1)
-        common = np.add.reduceat((values[at] == flat).astype(np.int64), starts)
-        linked = open_ & (den * common >= num * (sizes + len(values) - common))
-        for k in np.flatnonzero(linked):
-            if joined.join(component, members[k][1]):
-                links.append((min(key, members[k][0]), max(key, members[k][0])))
+    holders: dict[int, list[int]] = {}
+    for k, (_, _, _, signatures) in enumerate(members):
+        for signature in signatures.tolist():
+            holders.setdefault(signature, []).append(k)
+    joined = _Union([c for _, c, _, _ in asks] + [c for _, c, _, _ in members])
+    for key, component, values, signatures in asks:
+        near = {k for signature in signatures.tolist() for k in holders.get(signature, ())}
+        for k in sorted(near):
+            other, own, theirs, _ = members[k]
+            if joined.find(own) == joined.find(component):
+                continue
+            low, high = sorted((len(values), len(theirs)))
+            if den * low < num * high:
+                continue
+            at = np.minimum(np.searchsorted(values, theirs), len(values) - 1)
+            common = int((values[at] == theirs).sum())
+            if den * common >= num * (low + high - common):
+                joined.join(component, own)
+                links.append((min(key, other), max(key, other)))
     return links
 
 
-def _verified(blocks: DataFrame, num: int, den: int, whole: bool = False) -> DataFrame:
-    """Links (a, b) within each block; rows: block columns, rep, component, asks, member, vals.
-
-    With ``whole`` a block is a family, and every member (b) is given once, with its component (a).
-    """
-    keys = ["family", "block", "part"]
+def _verified(blocks: DataFrame, join: Join) -> DataFrame:
+    """Links (a, b) within each block; rows: block columns, rep, component, asks, member, vals."""
+    keys = ["unit", "block", "part"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, asks, members = None, [], []
+        current, asks, members, signer = None, [], [], join.signer()
 
         def found() -> pa.RecordBatch:
-            links = block_links(asks, members, num, den)
-            if whole:
-                roots = _Union([key for key, _, _ in members])
-                for a, b in links:
-                    roots.join(a, b)
-                links = [(roots.find(key), key) for key in roots.up]
-            pair = np.array(links, np.int64).reshape(-1, 2)
+            pair = np.array(block_links(asks, members, join.num, join.den), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=["a", "b"])
 
         for batch in batches:
@@ -262,73 +285,90 @@ def _verified(blocks: DataFrame, num: int, den: int, whole: bool = False) -> Dat
                         yield found()
                     current, asks, members = key, [], []
                 values = batch.column("vals")[k].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                signatures = signer.signatures(values)
                 if asking:
-                    asks.append((rep, component, values))
+                    asks.append((rep, component, values, signatures))
                 if member:
-                    members.append((rep, component, values))
+                    members.append((rep, component, values, signatures))
         if current is not None:
             yield found()
 
-    dealt = blocks.select(*keys, "rep", "component", "asks", "member", "vals").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    columns = [*keys, "rep", "component", "asks", "member", "vals"]
+    dealt = blocks.select(*columns).repartition(*keys).sortWithinPartitions(*keys, "rep")
     return dealt.mapInArrow(rows, "a long, b long")
 
 
-def _member_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """rep, vals of the documents that stand for a class in a family."""
+def _sent(df: DataFrame, most: int) -> DataFrame:
+    """``df`` written once, and broadcast if it has at most ``most`` rows; a longer one is joined by shuffle."""
+    done = compact(df)
+    return F.broadcast(done) if done.count() <= most else done
+
+
+def _sets_of(documents: DataFrame, units: DataFrame, join: Join) -> DataFrame:
+    """The sets of the documents in ``units`` (rep, unit, k), each its own component for now."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py() or "", size).view(np.int64) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "vals"])
+            sets = [shingle_set(t.as_py() or "", join.size).view(np.int64) for t in batch.column("text")]
+            kept = [batch.column(c) for c in ("rep", "unit", "k")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.list_(pa.int64()))], names=["rep", "unit", "k", "vals"])
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep"), "rep", "left_semi")
-    return chosen.mapInArrow(rows, "rep long, vals array<long>")
+    chosen = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(units, "rep")
+    schema = "rep long, unit long, k long, vals array<long>"
+    return chosen.select("rep", "unit", "k", "text").mapInArrow(rows, schema).withColumn("component", F.col("rep"))
 
 
 def _hash_part(column: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(column), parts).cast("int")
 
 
-def _family_components(documents: DataFrame, candidates: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """(rep, component) by verified links inside the families of candidates; what is alone may be missing."""
+def _family_links(documents: DataFrame, sizes: DataFrame, candidates: DataFrame, join: Join) -> DataFrame:
+    """Verified links (a, b), enough to connect what links connect.
+
+    ``sizes``: rep and n of each class; ``candidates``: pairs (a, b) that connect all that share a signature.
+    """
     families = connected_components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("k"))
-    families = compact(families.join(sizes, "family"))
-    sets = durable(_member_sets(documents, families, size).join(families, "rep").withColumn("component", F.col("rep")))
+    # the larger of two linked sets is in the size class of the smaller one or in the next
+    width = math.log(join.den / join.num) * (1 + 1e-9) if join.den > join.num else 1.0
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
+    own = families.join(sizes, "rep").withColumn("step", step)
+    # a unit is a size class of a family together with the next larger one
+    named = own.withColumn("class", F.explode(F.array("step", F.col("step") - 1)))
+    named = named.select("rep", F.xxhash64("family", "class").alias("unit"), (F.col("class") == F.col("step")).alias("lower")).distinct()
+    counts = named.groupBy("unit").agg(F.count(F.lit(1)).alias("k"), F.count_if("lower").alias("low"))
+    units = compact(named.join(counts.where((F.col("low") > 0) & (F.col("k") > 1)), "unit").select("rep", "unit", "k"))
     yes = F.lit(True)
-    small = sets.where(F.col("k") <= SMALL).withColumns({"block": F.lit(0), "part": F.lit(0), "asks": yes, "member": yes})
-    found = _verified(small, num, den, whole=True).select(F.col("b").alias("rep"), F.col("a").alias("component"))
-    large_families = families.where(F.col("k") > SMALL)
-    if large_families.isEmpty():
-        return found
-    large = sets.where(F.col("k") > SMALL).withColumns(
+    small = _sets_of(documents, _sent(units.where(F.col("k") <= SMALL), SENT_IDS), join)
+    links = _verified(small.withColumns({"block": F.lit(0), "part": F.lit(0), "asks": yes, "member": yes}), join)
+    large_units = units.where(F.col("k") > SMALL)
+    if large_units.isEmpty():
+        return links
+    large = durable(_sets_of(documents, _sent(large_units, SENT_IDS), join)).withColumns(
         {"blocks": F.ceil(F.col("k") / BLOCK).cast("long"), "part": F.lit(0)}
     )
-    return found.unionByName(_large_components(large, large_families, num, den))
+    return links.unionByName(_large_links(large, large_units, join))
 
 
-def _large_components(large: DataFrame, large_families: DataFrame, num: int, den: int) -> DataFrame:
-    """(rep, component) in families of more than one block."""
+def _large_links(large: DataFrame, large_units: DataFrame, join: Join) -> DataFrame:
+    """Verified links in units of more than one block."""
     yes, no = F.lit(True), F.lit(False)
-    links = compact(_verified(_against_pivots(large, large, large_families, 0), num, den))
+    links = compact(_verified(_against_pivots(large, large, large_units, 0), join))
     seed, work_before = 1, None
     while True:
         labels = connected_components(links).withColumnRenamed("node", "rep")
-        now = compact(
-            large_families.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        )
-        parts = now.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
-        main = parts.groupBy("family").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
-        main = main.select("family", F.col("main.component").alias("main"), (F.col("all") - F.col("main.n")).alias("rest"))
-        open_ = now.join(main.where(F.col("rest") > 0), "family")
-        work = open_.agg(F.sum("rest").alias("w")).first().w or 0  # pairs left to compare
+        now = compact(large_units.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+        parts = now.groupBy("unit", "component").agg(F.count(F.lit(1)).alias("n"))
+        main = parts.groupBy("unit").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
+        main = main.select("unit", F.col("main.component").alias("main"), (F.col("all") - F.col("main.n")).alias("rest"))
+        open_ = now.join(main.where(F.col("rest") > 0), "unit")
+        work = open_.agg(F.sum("rest").alias("w")).first().w or 0  # pairs left, whether or not they share a signature
         if not work:
-            return now.select("rep", "component")
-        labelled = large.drop("component").join(open_.select("rep", "component", "main", "rest"), "rep")
+            return links
+        labelled = large.drop("component").join(open_.select("rep", "unit", "component", "main", "rest"), ["rep", "unit"])
         rest = labelled.where(F.col("component") != F.col("main"))
         if work <= FINAL_PAIRS or (work_before is not None and work > 0.8 * work_before):
             # everything that isn't in the main component against all members, block by block
-            pieces = F.ceil(F.col("rest") / SMALL).cast("long")
+            pieces = F.ceil(F.col("rest") / BLOCK).cast("long")
             asking = rest.withColumn("part", _hash_part("rep", pieces)).withColumn(
                 "block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
             )
@@ -336,22 +376,21 @@ def _large_components(large: DataFrame, large_families: DataFrame, num: int, den
                 "part", F.explode(F.sequence(F.lit(0), (pieces - 1).cast("int")))
             )
             crossing = asking.withColumns({"asks": yes, "member": no}).unionByName(asked.withColumns({"asks": no, "member": yes}))
-            last = connected_components(links.unionByName(_verified(crossing, num, den)))
-            return last.select(F.col("node").alias("rep"), "component")
-        more = _verified(_against_pivots(labelled, rest, large_families, seed), num, den)
+            return links.unionByName(_verified(crossing, join))
+        more = _verified(_against_pivots(labelled, rest, large_units, seed), join)
         links = compact(links.unionByName(more))
         seed, work_before = seed + 1, work
 
 
-def _against_pivots(sets: DataFrame, members: DataFrame, families: DataFrame, seed: int) -> DataFrame:
-    """Blocks in which some pivots of each family, drawn by hash, ask the members."""
+def _against_pivots(sets: DataFrame, members: DataFrame, units: DataFrame, seed: int) -> DataFrame:
+    """Blocks in which some pivots of each unit, drawn by hash, ask the members."""
     draw = F.xxhash64(F.lit(seed), F.col("rep"))
     pivots = (
-        families.groupBy("family", F.pmod(draw, F.lit(PIVOTS)).alias("slot"))
+        units.groupBy("unit", F.pmod(draw, F.lit(PIVOTS)).alias("slot"))
         .agg(F.min_by("rep", draw).alias("rep"))
-        .select("rep")
+        .select("unit", "rep")
     )
-    asking = sets.join(pivots, "rep", "left_semi").withColumn(
+    asking = sets.join(pivots, ["rep", "unit"], "left_semi").withColumn(
         "block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
     )
     asked = members.withColumn("block", _hash_part("rep", F.col("blocks")))
@@ -363,23 +402,25 @@ def _against_pivots(sets: DataFrame, members: DataFrame, families: DataFrame, se
 def linked_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id with an equal set), component_id of every document."""
     documents = docs.select("doc_id", "text")
-    sets = durable(document_sets(documents, size, num, den))
+    join = Join(size, num, den, max(1, docs.count()))
+    sets = durable(document_sets(documents, join))
     full = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = durable(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")))
-    signed = full.join(classes.select(F.col("rep").alias("doc_id"), "f1", "f2"), ["doc_id", "f1", "f2"], "left_semi").select(
-        F.col("doc_id").alias("rep"), F.explode("sigs").alias("sig")
-    )
-    shared = signed.groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where(F.col("low") < F.col("high"))
-    meeting = signed.join(shared.select("sig", "low"), "sig").where(F.col("rep") != F.col("low"))
+    # what doesn't stand for its class is left out by a list of it, which is shorter than what does
+    narrow = full.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"])
+    copies = _sent(narrow.where(F.col("doc_id") != F.col("rep")).select("doc_id", "f1", "f2").distinct(), SENT_IDS)
+    reps = full.join(copies, ["doc_id", "f1", "f2"], "left_anti")
+    signed = reps.select(F.col("doc_id").alias("rep"), F.explode("sigs").alias("sig"))
+    several_sets = signed.groupBy("sig").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    meeting = signed.join(_sent(several_sets.select("sig", "low"), SENT_SIGNATURES), "sig").where(F.col("rep") != F.col("low"))
     candidates = meeting.select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    components = _family_components(documents, candidates, size, num, den)
+    links = _family_links(documents, classes.select("rep", "n").distinct(), candidates, join)
     several = full.groupBy("doc_id").agg(F.min("f1").alias("low"), F.max("f1").alias("high")).where(F.col("low") < F.col("high"))
     several = compact(several.select("doc_id"))
     if not several.isEmpty():  # classes that share an id are one node
         of_several = full.join(several, "doc_id", "left_semi").join(classes, ["f1", "f2", "n"])
-        same_id = of_several.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-        links = components.select(F.col("component").alias("a"), F.col("rep").alias("b"))
-        components = connected_components(links.unionByName(same_id)).withColumnRenamed("node", "rep")
+        links = links.unionByName(of_several.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    components = connected_components(links).withColumnRenamed("node", "rep")
     named = classes.join(components, "rep", "left").select(
         "f1", "f2", "n", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )
@@ -398,7 +439,7 @@ def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -
     Documents without id stay.
     """
     found = durable(linked_components(docs, size, num, den))
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    gone = _sent(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), SENT_IDS)
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
