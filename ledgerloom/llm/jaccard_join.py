@@ -17,9 +17,10 @@ indexes all, so two such sets meet as well.)
 
 Copies are joined first: equal sets form a class, and its smallest document stands for it. Classes that
 share a signature are candidates; connected candidates form a family, and each size class of a family with the
-next larger one a unit. Units are worked off in blocks of bounded size: small ones whole, in large ones every
-member against pivots of the unit and then, block by block, what is not linked yet against
-everything. In a block, sets that share a signature are compared. Two documents link when
+next larger one a unit. Two linked sets agree in more than one segment where there are spare ones, so a unit falls
+into groups that share enough signatures. Groups are worked off in blocks of bounded size: small ones whole, in
+large ones every member against pivots of the group and then, block by block, what is not linked yet
+against everything. In a block, sets that share a signature are compared. Two documents link when
 ``den * intersection >= num * union`` of the exact sets. A chain of links is enough to know a
 component, so no group ever emits all its pairs.
 
@@ -51,6 +52,8 @@ from ledgerloom.session import durable
 BLOCK = 256
 PIVOTS = 16
 SMALL = 256
+#: a unit of at most so many members is grouped by shared signatures first
+GROUPED = 8192
 BAND_RATIO = 1.5
 #: cost of comparing two sets, in units of one signature
 COMPARE = 4.0
@@ -144,14 +147,17 @@ class Signer:
 
     def signatures(self, values: np.ndarray) -> np.ndarray:
         """Of the set's own band, and of larger bands in which it may have partners."""
+        return self.signed(values)[0]
+
+    def signed(self, values: np.ndarray) -> tuple[np.ndarray, int]:
+        """The signatures, and how many of them a linked set shares at least."""
         size = len(values)
         partner = size * self.den // self.num
         own, last = self._band(size), self._band(partner)
-        return np.concatenate(
-            [self._of_band(values, band, min(partner, self.starts[band + 1] - 1)) for band in range(own, last + 1)]
-        )
+        parts = [self._of_band(values, band, min(partner, self.starts[band + 1] - 1)) for band in range(own, last + 1)]
+        return np.concatenate([part for part, _ in parts]), min(least for _, least in parts)
 
-    def _of_band(self, values: np.ndarray, band: int, partner: int) -> np.ndarray:
+    def _of_band(self, values: np.ndarray, band: int, partner: int) -> tuple[np.ndarray, int]:
         segments, deletions, spare = self.allocate(band)
         # so many segments have to be in the index of both; those with neighbourhoods, the first ones, count twice
         need = most_difference(len(values) + partner, self.num, self.den) + 1 + spare
@@ -168,12 +174,14 @@ class Signer:
         filled[place] = True
         filled[used:] = True  # not looked at
         whole = mix(sums + tags)[:used]
-        if (~filled).sum() <= spare:
+        empty, shared = int((~filled).sum()), 1
+        if empty <= spare:
             whole = whole[filled[:used]]
+            shared = 1 + spare - empty  # of the 1 + spare segments that agree at least, so many hold something
         if not deletions:
-            return whole
+            return whole, shared
         near = place < min(deletions, used)
-        return np.concatenate([whole, mix(sums[place[near]] - parts[near] + tags[place[near]])])
+        return np.concatenate([whole, mix(sums[place[near]] - parts[near] + tags[place[near]])]), 1
 
 
 @dataclass(frozen=True)
@@ -190,29 +198,30 @@ class Join:
 
 
 def document_sets(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n, f1, f2 (a 128-bit fingerprint of the set), sigs."""
+    """doc_id, n, f1, f2 (a 128-bit fingerprint of the set), sigs, least (how many a linked set shares)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = join.signer()
         for batch in batches:
-            sizes, prints, sigs, ends = [], [], [], [0]
+            sizes, prints, sigs, ends, least = [], [], [], [0], []
             for text in batch.column("text"):
                 values = shingle_set(text.as_py() or "", join.size)
                 sizes.append(len(values))
                 prints.append((np.sum(mix(values ^ _SEED)), np.sum(mix(values + _SEED))))
-                if len(values):
-                    sigs.append(signer.signatures(values))
-                ends.append(ends[-1] + (len(sigs[-1]) if len(values) else 0))
+                own, shared = signer.signed(values) if len(values) else (np.zeros(0, np.uint64), 1)
+                sigs.append(own)
+                least.append(shared)
+                ends.append(ends[-1] + len(own))
             flat = np.concatenate(sigs or [np.zeros(0, np.uint64)]).view(np.int64)
             pair = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), lists],
-                names=["doc_id", "n", "f1", "f2", "sigs"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), lists, pa.array(least, pa.int32())],
+                names=["doc_id", "n", "f1", "f2", "sigs", "least"],
             )
 
     return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
-        rows, "doc_id long, n long, f1 long, f2 long, sigs array<long>"
+        rows, "doc_id long, n long, f1 long, f2 long, sigs array<long>, least int"
     )
 
 
@@ -322,11 +331,65 @@ def _hash_part(column: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(column), parts).cast("int")
 
 
-def _family_links(documents: DataFrame, sizes: DataFrame, candidates: DataFrame, join: Join) -> DataFrame:
+def near_in_unit(members: list[tuple[int, int, list[int]]]) -> list[tuple[int, int]]:
+    """(rep, smallest rep of its group) of members (rep, least, shared signatures) that aren't alone.
+
+    Two members that share as many signatures as the more demanding of them asks of a linked set are in one
+    group, so linked sets always are.
+    """
+    holders: dict[int, list[int]] = {}
+    for k, (_, _, signatures) in enumerate(members):
+        for signature in set(signatures):
+            holders.setdefault(signature, []).append(k)
+    at = {signature: np.array(ks) for signature, ks in holders.items() if len(ks) > 1}
+    least = np.array([m for _, m, _ in members])
+    joined = _Union([rep for rep, _, _ in members])
+    for k, (rep, own, signatures) in enumerate(members):
+        met = [at[s] for s in set(signatures) if s in at]
+        if met:
+            common = np.bincount(np.concatenate(met), minlength=len(members))
+            for other in np.flatnonzero(common >= np.maximum(least, own)):
+                joined.join(rep, members[other][0])
+    groups = [(rep, joined.find(rep)) for rep in joined.up]
+    number: dict[int, int] = {}
+    for _, group in groups:
+        number[group] = number.get(group, 0) + 1
+    return [(rep, group) for rep, group in groups if number[group] > 1]
+
+
+def _groups(placed: DataFrame) -> DataFrame:
+    """rep, unit (now one group of a unit) from rep, unit, least, sigs; only short lists of numbers move."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, members = None, []
+
+        def found() -> pa.RecordBatch:
+            pair = np.array(near_in_unit(members), np.int64).reshape(-1, 2)
+            units = np.full(len(pair), current, np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(pair[:, 0].copy()), pa.array(units), pa.array(pair[:, 1].copy())], names=["rep", "unit", "head"]
+            )
+
+        for batch in batches:
+            for rep, unit, least, signatures in zip(*(batch.column(c).to_pylist() for c in ("rep", "unit", "least", "sigs"))):
+                if unit != current:
+                    if members:
+                        yield found()
+                    current, members = unit, []
+                members.append((rep, least, signatures))
+        if members:
+            yield found()
+
+    dealt = placed.select("rep", "unit", "least", "sigs").repartition("unit").sortWithinPartitions("unit")
+    return dealt.mapInArrow(rows, "rep long, unit long, head long").select("rep", F.xxhash64("unit", "head").alias("unit"))
+
+
+def _family_links(documents: DataFrame, sizes: DataFrame, meeting: DataFrame, join: Join) -> DataFrame:
     """Verified links (a, b), enough to connect what links connect.
 
-    ``sizes``: rep and n of each class; ``candidates``: pairs (a, b) that connect all that share a signature.
+    ``sizes``: rep, n and least of each class; ``meeting``: rep, sig and low, the smallest rep with the signature.
     """
+    candidates = meeting.where(F.col("rep") != F.col("low")).select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     families = connected_components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("family"))
     # the larger of two linked sets is in the size class of the smaller one or in the next
     width = math.log(join.den / join.num) * (1 + 1e-9) if join.den > join.num else 1.0
@@ -336,7 +399,14 @@ def _family_links(documents: DataFrame, sizes: DataFrame, candidates: DataFrame,
     named = own.withColumn("class", F.explode(F.array("step", F.col("step") - 1)))
     named = named.select("rep", F.xxhash64("family", "class").alias("unit"), (F.col("class") == F.col("step")).alias("lower")).distinct()
     counts = named.groupBy("unit").agg(F.count(F.lit(1)).alias("k"), F.count_if("lower").alias("low"))
-    units = compact(named.join(counts.where((F.col("low") > 0) & (F.col("k") > 1)), "unit").select("rep", "unit", "k"))
+    units = named.join(counts.where((F.col("low") > 0) & (F.col("k") > 1)), "unit").select("rep", "unit", "k")
+    # a unit may hang together by chance meetings; groups that share enough signatures are what is compared
+    units = compact(units)
+    signs = meeting.groupBy("rep").agg(F.collect_set("sig").alias("sigs"))
+    wide = units.where(F.col("k") > GROUPED)  # too many for one task: compared as they are
+    some = units.where(F.col("k") <= GROUPED).join(signs, "rep").join(sizes.select("rep", "least"), "rep")
+    grouped = _groups(some).unionByName(wide.select("rep", "unit")).distinct()
+    units = compact(grouped.join(grouped.groupBy("unit").agg(F.count(F.lit(1)).alias("k")), "unit"))
     yes = F.lit(True)
     small = _sets_of(documents, _sent(units.where(F.col("k") <= SMALL), SENT_IDS), join)
     links = _verified(small.withColumns({"block": F.lit(0), "part": F.lit(0), "asks": yes, "member": yes}), join)
@@ -412,9 +482,9 @@ def linked_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     reps = full.join(copies, ["doc_id", "f1", "f2"], "left_anti")
     signed = reps.select(F.col("doc_id").alias("rep"), F.explode("sigs").alias("sig"))
     several_sets = signed.groupBy("sig").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    meeting = signed.join(_sent(several_sets.select("sig", "low"), SENT_SIGNATURES), "sig").where(F.col("rep") != F.col("low"))
-    candidates = meeting.select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _family_links(documents, classes.select("rep", "n").distinct(), candidates, join)
+    meeting = durable(signed.join(_sent(several_sets.select("sig", "low"), SENT_SIGNATURES), "sig"))
+    sizes = reps.groupBy(F.col("doc_id").alias("rep"), "n").agg(F.min("least").alias("least"))
+    links = _family_links(documents, sizes, meeting, join)
     several = full.groupBy("doc_id").agg(F.min("f1").alias("low"), F.max("f1").alias("high")).where(F.col("low") < F.col("high"))
     several = compact(several.select("doc_id"))
     if not several.isEmpty():  # classes that share an id are one node

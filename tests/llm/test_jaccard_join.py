@@ -71,7 +71,7 @@ def test_components_equal_brute_force(spark, size, num, den, seed):
 
 @pytest.mark.parametrize("final", [0, 10**9])
 def test_large_families_by_blocks(spark, monkeypatch, final):
-    for name, value in (("SMALL", 4), ("BLOCK", 8), ("PIVOTS", 2), ("FINAL_PAIRS", final)):
+    for name, value in (("SMALL", 4), ("BLOCK", 8), ("PIVOTS", 2), ("FINAL_PAIRS", final), ("SENT_SIGNATURES", final), ("GROUPED", 30 if final else 8192)):
         monkeypatch.setattr(j, name, value)
     rows = variants(5, bases=3, copies=45, most_edits=9, lengths=(60, 90))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -93,7 +93,9 @@ def test_linked_sets_share_a_signature(num, den, sets):
                 continue
             values = random_.integers(0, 1 << 63, size + other - common, dtype=np.uint64)
             a, b = np.sort(values[:size]), np.sort(values[size - common :])
-            assert np.intersect1d(signer.signatures(a), signer.signatures(b)).size, (size, other)
+            (of_a, least_a), (of_b, least_b) = signer.signed(a), signer.signed(b)
+            assert min(least_a, least_b) >= 1
+            assert np.intersect1d(of_a, of_b).size >= max(least_a, least_b), (size, other)
 
 
 def test_allocations_use_every_means():
@@ -128,6 +130,15 @@ def test_edges(spark):
     assert j.one_of_each(edge.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("sent", [0, 10**6])
+def test_short_and_long_lists_of_ids(spark, monkeypatch, sent):
+    monkeypatch.setattr(j, "SENT_IDS", sent)
+    rows = variants(9, bases=5, copies=5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {k for k, (_, c) in by_hand(rows, 5, 80, 100).items() if k == c}
+    assert {r.doc_id for r in j.one_of_each(docs).collect()} == expected
+
+
 def test_repeated_rows_and_ids(spark):
     text, other = "a b c d e f g h i j k l", "m n o p q r s t u v w x"
     rows = [(1, text), (2, text), (2, other), (3, other), (3, other), (4, "alone here in the corpus it stands")]
