@@ -7,7 +7,7 @@ score of a text is that of its worst window. A misspelt word that training never
 n-grams with the word it stands for, hence most of its vector.
 
 Training takes a bounded sample of labelled rows (``limits`` rows of each label). Embeddings and softmax are
-learnt together; the first epochs average whole texts, later ones the worst window of every text.
+learnt together; the first epoch averages whole texts, later ones the worst window of every text.
 Scoring needs no shuffle: for a trained model the softmax of an average is an average of one number
 per n-gram, added up over Arrow batches in numpy, piece by piece, over whole texts.
 
@@ -128,7 +128,7 @@ def _bags(grams: Grams, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarra
     return np.concatenate(ids or [np.zeros(0, np.int32)]), np.concatenate(bags or [np.zeros(0, np.int64)])
 
 
-def train(rows: Sequence[tuple[str, int]], epochs: int = 8, whole: int = 3, trusted: int = 5, rate: float = 0.05) -> tuple[np.ndarray, float] | None:
+def train(rows: Sequence[tuple[str, int]], epochs: int = 8, whole: int = 1, trusted: int = 4, rate: float = 0.05) -> tuple[np.ndarray, float] | None:
     """One number for each bucket and the bias of the trained model; None unless both labels occur."""
     if len({y for _, y in rows}) < 2:
         return None
@@ -178,9 +178,13 @@ def train(rows: Sequence[tuple[str, int]], epochs: int = 8, whole: int = 3, trus
     return (embedding @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def _parts(rows: Sequence[tuple[str, int]], most: int = 100_000) -> list[tuple[int, list[str]]]:
-    """Neighbouring rows of together about ``most`` characters, with the number of the first."""
+def _parts(rows: Sequence[tuple[str, int]], most: int = 100_000, least: int = 15) -> list[tuple[int, list[str]]]:
+    """Neighbouring rows of together about ``most`` characters, with the number of the first.
+
+    Of small samples at least about ``least`` parts: each is a step of the training.
+    """
     parts: list[tuple[int, list[str]]] = []
+    most = min(most, sum(len(text) for text, _ in rows) // least)
     size = most
     for k, (text, _) in enumerate(rows):
         if size >= most:
