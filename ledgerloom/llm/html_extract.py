@@ -6,6 +6,11 @@ token's weight is the log-odds of lying inside that element, kept at its sign (w
 ``LEAST``, tags at most ``-LEAST``). Words inside elements that are never text (menus, forms, footers, adverts ...)
 score as those elements' tags do. One linear scan finds the contiguous region with the largest sum.
 
+An element is never text by its name, by the attribute hidden, or by a whole class, id or role token (``MARKS``).
+Tokens that only have such a word as a part (``with-sidebar``) cost a tag's weight and keep their text. Nothing
+around the article or main with the most words is left out for that, nor a marked element, form or head with more
+than half of the words of that article or, without one, of the page.
+
 The region then grows to whole blocks: to the innermost container (article, main, section, div, table cell or
 page) that holds it, and to the outermost article or main around that. Its blocks without the elements
 that are never text are the result: character references decoded, white space inside a block one
@@ -37,7 +42,7 @@ LEAST = 0.1
 MOST = 6.0
 
 # Element names and their roles.
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "object", "math", "noembed", "xmp")
+RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "object", "noembed", "xmp")
 NEVER_TEXT = frozenset((*RAW, "head", "nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "label", "input"))
 CONTAINERS = frozenset(("article", "main", "section", "div", "td", "th", "body", "html"))
 BLOCKS = frozenset(
@@ -48,38 +53,48 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: these end an open element of the same kind
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-#: words of class, id and role attributes that mark what is never text
+#: those of them that are told by their words too
+MAY_HOLD_PAGE = ("form", "head")
+#: whole tokens of class, id and role attributes that mark what is never text, with a hyphen for an underscore
 MARKS = frozenset(
     "ad ads adbox advert adverts advertisement advertisements banner banners promo promos promotion sponsor sponsored sidebar sidebars "
     "side-bar nav navbar navigation menu menus breadcrumb breadcrumbs footer header masthead comment comments reader-comments "
     "disqus replies cookie cookies cookie-notice consent notice notices popup modal newsletter subscribe signup share sharing social "
-    "related recommended widget toolbar search login pagination pager complementary contentinfo".split()
+    "related recommended widget toolbar search login pagination pager complementary contentinfo "
+    "ad-box ad-banner ad-container ad-slot ad-unit ad-wrapper banner-ad google-ad nav-bar nav-menu main-nav main-menu site-nav "
+    "top-nav site-header site-footer page-footer cookie-banner cookie-consent comment-list comment-form comments-area "
+    "share-buttons social-share social-links related-posts related-articles newsletter-signup".split()
 )
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<note>annotation(?:-xml)?)\b[^>]*>.*?(?:</(?P=note)\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<(?P<cut>/?[a-zA-Z][^<>]*)\Z|<\Z|</\Z",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none")
 _WHITE = re.compile(r"\s+")
 
 
-def never_text(name: str, rest: str) -> bool:
-    """Whether an element and all in it is no text by its name or its class, id and role."""
+def marks(name: str, rest: str) -> tuple[bool, bool]:
+    """Whether an element is never text by its name or attributes, and whether a part of a token hints at it."""
     if name in NEVER_TEXT:
-        return True
+        return True, True
     if not rest or name in ("article", "main", "body", "html"):
-        return False
-    for match in _ATTRIBUTE.finditer(rest):
-        value = (match[2] or match[3] or match[4] or "").lower()
-        for word in value.split():
-            if word in MARKS or not MARKS.isdisjoint(re.split(r"[-_]", word)):
-                return True
-    return bool(_HIDDEN.search(rest))
+        return False, False
+    hinted = False
+    for match in _ATTRIBUTE.finditer(rest.lower()):
+        key, value = match[1], match[2] or match[3] or match[4] or ""
+        if key in ("class", "id", "role"):
+            for word in value.replace("_", "-").split():
+                if word in MARKS:
+                    return True, True
+                hinted = hinted or not MARKS.isdisjoint(word.split("-"))
+        elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _NOT_SHOWN.search(value):
+            return True, True
+    return False, hinted
 
 
 class Page:
@@ -91,12 +106,28 @@ class Page:
         self.pieces: list[tuple[int, str]] = []  # text by token
         #: containers as [name, first token, last token, container around it]
         self.boxes: list[list] = [["page", 0, -1, -1]]
-        open_names: list[tuple[str, bool, int]] = []  # name, never text, own box or -1
-        dead = 0
+        #: elements that are never text unless they hold the page's text, as [element of them around it, told by name
+        #: alone, own token if inline or -1, outermost article or main around it or -1, words]
+        self.left_out: list[list] = []
+        self._runs: list[tuple[int, int, str]] = []  # token, innermost element left out or -1, text
+        self._words: Counter = Counter()  # by outermost article or main, and -1
+        self._around: dict[int, int] = {}  # outermost article or main: the innermost element left out around it
+        open_names: list[tuple[str, int, int, int]] = []  # name, own place in left_out or -1, own box or -1, article around
+        hold, area = -1, -1
+
+        def close() -> str:
+            nonlocal hold, area
+            name, mine, box, area = open_names.pop()
+            if mine >= 0:
+                hold = self.left_out[mine][0]
+            if box >= 0:
+                self.boxes[box][2] = len(self.tokens)
+            return name
+
         at = 0
         for match in _TAG.finditer(source):
             if match.start() > at:
-                self._text(source[at : match.start()], dead)
+                self._text(source[at : match.start()], hold, area)
             at = match.end()
             name = match["name"]
             if not name:
@@ -104,53 +135,84 @@ class Page:
                     self.tokens.append(("x", 1))
                 continue
             name = name.lower()
-            if name not in BLOCKS and not never_text(name, match["rest"]):
-                if name == "br" and not dead:
-                    self.pieces.append((len(self.tokens), " "))
+            never, hinted = marks(name, match["rest"])
+            if name not in BLOCKS and not never:
+                if name == "br":
+                    self._text(" ", hold, area)
                 if name in VOID or not match["close"]:
                     continue
             if match["close"]:
                 if not any(o[0] == name for o in open_names):
                     continue
-                while open_names:
-                    top = open_names.pop()
-                    dead -= top[1]
-                    if top[2] >= 0:
-                        self.boxes[top[2]][2] = len(self.tokens)
-                    if top[0] == name:
-                        break
+                while open_names and close() != name:
+                    pass
                 if name in BLOCKS:
                     self.tokens.append((name, 1))
                 continue
             ends = SIBLINGS.get(name, ())
             # a block ends an open paragraph, an item the item before it in the same list
             while open_names and (open_names[-1][0] == "p" and name in BLOCKS or open_names[-1][0] in ends):
-                dead -= open_names.pop()[1]
-            never = never_text(name, match["rest"])
-            self.tokens.append((f"{name}!" if never and name not in NEVER_TEXT else name, 1))
+                close()
+            self.tokens.append((f"{name}!" if hinted and name not in NEVER_TEXT else name, 1))
             if name in VOID or match["rest"].endswith("/"):
                 continue
-            box = -1
+            mine = box = -1
+            if never:
+                mine = len(self.left_out)
+                inline = -1 if name in BLOCKS else len(self.tokens) - 1
+                self.left_out.append([hold, name in NEVER_TEXT and name not in MAY_HOLD_PAGE, inline, area, 0])
             if name in CONTAINERS:
                 around = next((o[2] for o in reversed(open_names) if o[2] >= 0), 0)
                 box = len(self.boxes)
                 self.boxes.append([name, len(self.tokens) - 1, -1, around])
-            open_names.append((name, never, box))
-            dead += never
+            open_names.append((name, mine, box, area))
+            if mine >= 0:
+                hold = mine
+            if area < 0 and name in ("article", "main"):
+                area = box
+                self._around[area] = hold
         if at < len(source):
-            self._text(source[at:], dead)
+            self._text(source[at:], hold, area)
         for box in self.boxes:
             if box[2] < 0:
                 box[2] = len(self.tokens)
+        self._settle()
 
-    def _text(self, raw: str, dead: int) -> None:
+    def _text(self, raw: str, hold: int, area: int) -> None:
         number = len(raw.split())
-        if dead:
-            if number:
-                self.tokens.append(("x", number))
-        elif raw:
-            self.pieces.append((len(self.tokens), raw))
-            self.tokens.append(("w", number) if number else ("", 0))
+        self._runs.append((len(self.tokens), hold, raw))
+        self.tokens.append(("w", number) if number else ("", 0))
+        if not number:
+            return
+        inside, top = [], self._around.get(area, -1)
+        while hold != top:
+            inside.append(hold)
+            hold = self.left_out[hold][0]
+        # words of menus and the like say nothing about where the text is
+        if not any(self.left_out[k][1] for k in inside):
+            self._words[area] += number
+            for k in inside:
+                self.left_out[k][4] += number
+
+    def _settle(self) -> None:
+        """Decides what is left out: nothing around the largest article or main, nothing marked with most of the words."""
+        largest = max((k for k in self._around if self._words[k]), key=lambda k: self._words[k], default=-1)
+        kept, up = set(), self._around.get(largest, -1)
+        while up >= 0:
+            kept.add(up)
+            up = self.left_out[up][0]
+        dead = []
+        for k, (around, named, inline, area, number) in enumerate(self.left_out):
+            if not named and (area == largest or largest < 0) and 2 * number > self._words[largest]:
+                kept.add(k)
+            dead.append(k not in kept or around >= 0 and dead[around])
+            if k in kept and inline >= 0:
+                self.tokens[inline] = ("", 0)
+        for k, hold, raw in self._runs:
+            if hold < 0 or not dead[hold]:
+                self.pieces.append((k, raw))
+            elif self.tokens[k][1]:
+                self.tokens[k] = ("x", self.tokens[k][1])
 
     def labelled_box(self) -> list | None:
         """The one article or main element, if there is just one."""

@@ -45,6 +45,40 @@ def test_odd_markup():
     assert h.main_text("", WEIGHTS) == h.main_text("<p></p>", WEIGHTS) == h.main_text("<nav>menu</nav>", WEIGHTS) == ""
 
 
+@pytest.mark.parametrize(
+    "tag",
+    ["div class='content with-sidebar'", "div class=no-sidebar", "div id=x class='has_banner'", "div class='elementor-widget-text-editor'", "section class=related-work",
+     "div class='search-result-body'", "div class='flex hidden md:block'", "div title='the hidden truth'", "div data-class=ad", "div class=sidebar", "div style='display:none'", "form"],
+)
+def test_wrappers_keep_their_text(tag):
+    end = tag.split()[0]
+    body = "<p>Some words of the text</p><p>and a second part</p>"
+    menu = "<div class=ad>Buy now</div><nav>Home News</nav><p>"
+    for inner in (body, f"<article>{body}</article>", f"<main>{body}<div class=ad>Buy</div></main>"):
+        assert h.main_text(f"<body><{tag}>{inner}</{end}>{menu}", WEIGHTS) == "Some words of the text\nand a second part"
+    assert h.main_text(f"<body><article><{tag}>{body}</{end}><p>x</article>{menu}", WEIGHTS) == "Some words of the text\nand a second part\nx"
+
+
+def test_marked_elements_beside_the_text_stay_out():
+    comment = "<article class=comment-body><p>I like it very much</p></article>"
+    page = f"<article><p>Some words of the whole text here</p><section id=comments>{comment}</section></article><div class=widget>{comment}</div>"
+    assert h.main_text(page, WEIGHTS) == "Some words of the whole text here"
+    page = "<p>Some words of the text</p><div hidden>not seen</div><div style='color:red; display : none'>nor this</div><div aria-hidden=true>nor it</div>"
+    assert h.main_text(page, WEIGHTS) == "Some words of the text"
+    page = "<p>Some words <span class=ad><br></span>of the <span class=search-hit>text</span></p>"
+    assert h.main_text(page, WEIGHTS).replace("\n", " ") == "Some words of the text"
+
+
+def test_hinted_tags_are_negative():
+    kinds = [kind for kind, _ in h.Page("<div class=with-sidebar><p>words</p></div><div class=plain>x</div>").tokens]
+    assert kinds == ["div!", "p", "w", "p", "div", "div", "w", "div"]
+
+
+def test_math_is_text():
+    page = "<article><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='tex'>x=2</annotation></math> holds</p></article>"
+    assert h.main_text(page, WEIGHTS) == "Here x=2 holds"
+
+
 def test_region_is_the_best_of_all():
     page = h.Page(PAGE)
     gains = [n * WEIGHTS.get(kind, 1.0 if kind == "w" else -1.0) for kind, n in page.tokens]
