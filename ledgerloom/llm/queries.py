@@ -56,7 +56,11 @@ def filter_list(pages: DataFrame) -> DataFrame:
     withdrawn and comes back.
     """
     host = url_filters.host_of(F.col("url"))
-    keys = url_filters.lookup_keys(host, url_filters.first_path(F.col("url")))
+    path = url_filters.first_path(F.col("url"))
+    keys = F.array_union(
+        F.when((host != "") & (path != ""), F.array(F.concat_ws("/", host, path))).otherwise(F.array().cast("array<string>")),
+        url_filters.domains(host),
+    )
     named = pages.select(F.explode(keys).alias("key")).distinct()
     digit = [F.conv(F.substring(F.md5("key"), 2 * k + 1, 2), 16, 10).cast("int") for k in range(4)]
     listed = named.select("key", *[d.alias(f"d{k}") for k, d in enumerate(digit)]).where("d0 % 4 = 0")

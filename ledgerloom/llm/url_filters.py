@@ -1,7 +1,8 @@
 """URL filters: a temporal list join.
 
 A filter list is a table of dated entries: (key, category, effective date, action), where the action
-lists or unlists the key. Keys are hosts, parent domains, or a host with the first part of the path.
+lists or unlists the key. Keys are hosts or parent domains, alone or with the first part of the path. A capture
+is held against its host and every parent domain, however many labels they have, both alone and with its path.
 :func:`intervals` turns entries into validity intervals, and :func:`evaluate` runs an as-of join: every
 capture is held against the entries that were active on the day it was fetched.
 
@@ -21,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LISTED, UNLISTED = "list", "unlist"
-#: no parent domain beyond so many labels of a host is looked up
-MOST_LABELS = 5
+#: characters of a domain name in DNS, at most
+LONGEST = 253
 FOREVER = "9999-12-31"
 
 
@@ -37,18 +38,24 @@ def first_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
 
 
-def lookup_keys(host: Column, path: Column) -> Column:
-    """The keys of a capture: host/path, the host, and its parent domains of two labels or more."""
+def domains(host: Column) -> Column:
+    """The host and its parent domains of two labels or more; none without host."""
     labels = F.split(host, r"\.")
     size = F.size(labels)
+    # no name is longer than LONGEST, so a longer (broken) host has no more parents than fit
+    most = F.size(F.split(F.substring(host, -LONGEST, LONGEST), r"\."))
+    most = F.when(F.length(host) > LONGEST, most).otherwise(size)
     parents = F.transform(
-        F.sequence(F.lit(2), F.greatest(F.least(size, F.lit(MOST_LABELS)), F.lit(2))),
+        F.sequence(F.lit(2), F.greatest(most, F.lit(2))),
         lambda n: F.array_join(F.slice(labels, F.greatest(size - n + 1, F.lit(1)), n), "."),
     )
-    keys = F.array_union(F.array(host), parents)
-    return F.when(host == "", F.array().cast("array<string>")).when(
-        path != "", F.array_union(F.array(F.concat_ws("/", host, path)), keys)
-    ).otherwise(keys)
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_union(F.array(host), parents))
+
+
+def lookup_keys(host: Column, path: Column) -> Column:
+    """The keys of a capture: the host and all its parent domains, each with and without the path's first part."""
+    names = domains(host)
+    return F.when(path != "", F.array_union(names, F.transform(names, lambda name: F.concat_ws("/", name, path)))).otherwise(names)
 
 
 def intervals(entries: DataFrame) -> DataFrame:

@@ -77,6 +77,31 @@ def test_host(spark, url, host):
     assert df.select(u.host_of(F.col("url"))).first()[0] == host
 
 
+def test_every_parent_domain_with_and_without_path(spark):
+    hosts = ["example.com", "e.example.com", "b.c.d.e.example.com", "a.b.c.d.e.example.com", "z.a.b.c.d.e.example.com", ".".join("l" * 126) + ".zz"]
+    urls = [f"http://{host}{path}" for host in hosts for path in ("", "/ads/x", "/Ads", "/other")]
+    own = lambda host: [host.split(".", k)[-1] for k in range(host.count("."))]
+    names = sorted({name for host in hosts for name in own(host)})
+    listed = [name for k, name in enumerate(names) if k % 3] + [f"{name}/ads" for name in names]
+    rows = [(key, "spam", DAY("2024-01-01"), "list") for key in listed]
+    found = u.evaluate(
+        captures(spark, [(url, "2024-02-01") for url in urls]),
+        u.intervals(spark.createDataFrame(rows, "key string, category string, effective date, action string")),
+    ).collect()
+    assert len(found) == len(urls)
+    for r in found:
+        host, _, path = r.url.split("://")[1].partition("/")
+        first = path.split("/")[0]
+        expected = {key for name in own(host) for key in (name, f"{name}/{first}") if key in listed}
+        assert r.n_entries == len(expected) and r.matched_key == min(expected, default=None), r
+
+
+def test_broken_long_hosts_have_few_keys(spark):
+    df = spark.createDataFrame([("http://" + "a." * 50_000 + "bad.example/p",)], "url string")
+    keys = df.select(u.lookup_keys(u.host_of(F.col("url")), u.first_path(F.col("url")))).first()[0]
+    assert len(keys) < 300 and {"bad.example", "a.bad.example/p"} <= set(keys)
+
+
 def test_edges(spark):
     rows = [(None, "2024-03-20"), ("", "2024-03-20"), ("http://bad.example/", None), ("http://bad.example/", "2024-03-20"), ("http://bad.example/", "2024-03-20")]
     seen = captures(spark, rows).selectExpr("*", "1 as host", "2 as path", "3 as key", "4 as month", "5 as n_entries", "6 as hit")
