@@ -1,3 +1,4 @@
+import base64
 import random
 
 import edge
@@ -34,6 +35,18 @@ def test_bands():
     assert not verdict(text(19)) and verdict(text(20))
 
 
+@pytest.mark.parametrize(("chunks", "every", "tail", "kept"), [(10, 3, 0, False), (49, 3, 0, False), (9, 9, 0, False), (19, 19, 50, False), (20, 20, 50, True), (41, 20, 0, True)])
+def test_chunks_of_noise(chunks, every, tail, kept):
+    r = random.Random(chunks)
+    words = ["".join(r.choices("etaoinshrdlu", k=r.randrange(2, 9))) for _ in range(3000)]
+    prose = lambda n: " ".join(r.choices(words, k=n))[:n]
+    noise = lambda n: base64.b64encode(r.randbytes(n))[:n].decode()
+    text = "".join((noise if k % every == every - 1 else prose)(q.CHUNK) for k in range(chunks)) + prose(tail)
+    *_, failed, verdict, ratio, n_chunks, bad = q.measure(text, PACKER)
+    assert not failed and q.in_band(len(text), ratio) and (n_chunks, bad) == (chunks + (tail > 0), chunks // every)
+    assert verdict == kept
+
+
 def test_counts():
     n, chars, symbols, dups, repeats, failed, kept, *_ = q.measure("a #b\n\n a #b\na #b\n\x0b\n\x0b\n", PACKER)
     assert (n, chars, symbols, dups, repeats, failed, kept) == (6, 9, 3, 1, 0, True, False)
