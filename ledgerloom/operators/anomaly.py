@@ -6,11 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.numbers import count_as_decimal, floor_div, ratio
 
-#: decimals that count of a floating-point value
-FLOAT_DIGITS = 6
+#: decimals of up to so many digits have exact squares and sums of squares
+NARROW = 12
+#: the place of a value between the least (0) and the largest (1)
+PLACE = "decimal(19,18)"
 
 
 def zscore_outliers(
@@ -25,24 +28,19 @@ def zscore_outliers(
     The baseline rows may be fewer than the scored ones. Mean and deviation are a one-row scalar
     subquery, so there is no join. A constant baseline has no outliers.
 
-    Values and their squares are summed as decimals, so the order of the partial sums can't change the
-    statistics. Floating-point values are summed to ``FLOAT_DIGITS`` decimals.
+    Nothing cancels, whatever the mean, size or scale of the values, and sums are decimals, so the order of
+    the partial sums can't change the statistics. Infinite values and NaN are not in the baseline.
     """
     base = df if baseline is None else df.filter(baseline)
-    value = F.col(column)
-    if not dict(df.dtypes)[column].startswith("decimal"):
-        value = value.cast(f"decimal(18,{FLOAT_DIGITS})")
-    sums = base.agg(F.count(value).alias("n"), F.sum(value).alias("s"), F.sum(value * value).alias("q"))
-    n, s, q = (F.col(c).cast("double") for c in ("n", "s", "q"))
-    statistics = sums.select(
-        F.struct(
-            (s / F.nullif(n, F.lit(0.0))).alias("mean"),
-            F.sqrt((q - s * s / F.nullif(n, F.lit(0.0))) / F.nullif(n - 1, F.lit(0.0))).alias("deviation"),
-        )
-    ).scalar()
-    z = (F.col(column).cast("double") - F.col("_baseline.mean")) / F.nullif(
-        F.col("_baseline.deviation"), F.lit(0.0)
-    )
+    value, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        kind = T.DecimalType(20, 0)
+    elif not isinstance(kind, T.DecimalType):
+        kind = T.DoubleType()
+    value = value.cast(kind)
+    narrow = isinstance(kind, T.DecimalType) and kind.precision <= NARROW
+    statistics = (_of_narrow(base, value, kind) if narrow else _of_places(base, value)).scalar()
+    z = (_place(value, "_baseline") - F.col("_baseline.mean")) / F.nullif(F.col("_baseline.deviation"), F.lit(0.0))
     return (
         df.withColumn("_baseline", statistics)
         .withColumn(name, z)
@@ -51,6 +49,49 @@ def zscore_outliers(
     )
 
 
+def _place(value: Column, ends: str) -> Column:
+    return (value - F.col(f"{ends}.low")).cast("double") / F.nullif(F.col(f"{ends}.width"), F.lit(0.0))
+
+
+def _statistics(sums: DataFrame, low: Column, width: Column, squares: Column) -> DataFrame:
+    """One row: the line that values are measured on, mean and deviation there."""
+    n, s = F.col("n").cast("double"), F.col("s").cast("double")
+    deviation = F.sqrt(squares / F.nullif(n - 1, F.lit(0.0)))
+    return sums.select(
+        F.struct(low.alias("low"), width.alias("width"), (s / F.nullif(n, F.lit(0.0))).alias("mean"), deviation.alias("deviation"))
+    )
+
+
+def _of_narrow(base: DataFrame, value: Column, kind: T.DecimalType) -> DataFrame:
+    """One pass: squares around the rounded mean m, as q - m (2 s - n m) in exact decimals, less what rounding adds."""
+    sums = base.agg(F.count(value).alias("n"), F.sum(value).alias("s"), F.sum(value * value).alias("q"))
+    n, s, q = (F.col(c) for c in ("n", "s", "q"))
+    count = F.nullif(n.cast("double"), F.lit(0.0))
+    middle = (s.cast("double") / count).cast(kind)
+    off = s - n.cast("decimal(19,0)") * middle
+    around = q - middle * (s + off).cast(T.DecimalType(kind.precision + 11, kind.scale))
+    squares = around.cast("double") - off.cast("double") * off.cast("double") / count
+    return _statistics(sums, F.lit(0).cast(kind), F.lit(1.0), squares)
+
+
+def _of_places(base: DataFrame, value: Column) -> DataFrame:
+    """Two passes: the least and largest value, then the places of values between them (0 to 1) and their squares.
+
+    Both ends occur, so the squared deviations of the places sum to half or more.
+    """
+    finite = F.when(F.abs(value.cast("double")) < float("inf"), value)
+    low, high = F.min(finite), F.max(finite)
+    ends = base.agg(low.alias("low"), (high - low).cast("double").alias("width")).select(F.struct("low", "width")).scalar()
+    x = F.col("x")
+    sums = (
+        base.withColumn("_ends", ends)
+        .select(F.col("_ends"), _place(finite, "_ends").alias("x"))
+        .agg(F.first("_ends").alias("ends"), F.count(x).alias("n"), F.sum(x.cast(PLACE)).alias("s"), F.sum((x * x).cast(PLACE)).alias("q"))
+    )
+    n, s, q = (F.col(c).cast("double") for c in ("n", "s", "q"))
+    return _statistics(sums, F.col("ends.low"), F.col("ends.width"), q - s * s / F.nullif(n, F.lit(0.0)))
+
+
 def value_bin(value: Column) -> Column:
     """A bin that grows with the value: 32 bins for each doubling of 1 + its size, on either side of 0."""
     size = F.log2(1 + F.abs(value.cast("double")))

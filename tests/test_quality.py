@@ -111,6 +111,23 @@ def test_zscore_is_one_sided_and_survives_a_constant_baseline(spark):
     assert anomaly.zscore_outliers(constant.limit(0), "v").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(30,6)", "double", "bigint"])
+def test_zscore_far_from_zero(spark, kind):
+    source = spark.range(20_000).selectExpr(f"cast(1000000000 + id % 7 + if(id = 5000, 100, 0) as {kind}) as v")
+    values = [float(r.v) - 1e9 for r in source.collect()]
+    (got,) = anomaly.zscore_outliers(source, "v").collect()
+    assert float(got.v) == 1e9 + 102
+    assert got.z_score == pytest.approx((102 - statistics.mean(values)) / statistics.stdev(values), rel=1e-9)
+
+
+@pytest.mark.parametrize("unit", [1e-12, 1e-7, 1.0, 1e13, 1e200])
+def test_zscore_does_not_depend_on_the_unit(spark, unit):
+    values = [k % 5 for k in range(1000)] + [50]
+    source = spark.createDataFrame([(k * unit,) for k in values] + [(float("-inf"),), (None,)], "v double")
+    (got,) = anomaly.zscore_outliers(source, "v").collect()
+    assert got.z_score == pytest.approx((50 - statistics.mean(values)) / statistics.stdev(values), rel=1e-9)
+
+
 def test_value_profile_with_ties_nulls_and_even_counts(spark):
     from decimal import Decimal
 
