@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A word: a longest run of anything but ASCII white space. ``bytes.split()`` splits the same way.
 WORD = r"[^\x20\x09-\x0D]+"
+#: what lies between words
+WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -119,6 +119,46 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.component_id
 FROM sets s LEFT JOIN members m ON s.doc_id = m.doc_id
 """
 
+OP12 = r"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+               lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents),
+per AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY ALL),
+hashed AS (
+    SELECT run, times, xor(list_reduce(
+               list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                   lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [195, ord(x) - 64] END))),
+               lambda c, b: xor(c >> 8, steps[CAST(xor(c, b) & 255 AS BIGINT) + 1])), 4294967295) AS h
+    FROM per, crc),
+damaged AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) + 2 AS BIGINT))
+           ELSE run END AS word, times
+    FROM hashed),
+words AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+places AS (SELECT word, n, unnest(range(length(word))) AS k FROM words),
+cut AS (SELECT word, n, k, left(word, k) || substr(word, k + 2) AS short FROM places),
+near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.k = b.k AND a.short = b.short AND a.word <> b.word
+    UNION
+    SELECT w.word, w.n, c.word, c.n FROM words w JOIN cut c ON w.word = c.short
+    UNION
+    SELECT c.word, c.n, w.word, w.n FROM words w JOIN cut c ON w.word = c.short),
+best AS (SELECT word, n, count(*) AS n_near, min({'less': -other_n, 'other': other}) AS b FROM near GROUP BY word, n),
+forms AS (SELECT word, b.other AS form, -b.less AS form_n FROM best WHERE -b.less >= 5 * n),
+path AS (
+    SELECT word, form AS root FROM forms
+    UNION
+    SELECT p.word, f.form FROM path p JOIN forms f ON p.root = f.word),
+roots AS (SELECT word, root FROM path WHERE root NOT IN (SELECT word FROM forms))
+SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, CAST(coalesce(b.n_near, 0) AS BIGINT) AS n_near, f.form_n
+FROM words w LEFT JOIN best b USING (word) LEFT JOIN forms f USING (word) LEFT JOIN roots r USING (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -126,4 +166,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": OP5,
         "op6_url_filters": OP6,
         "op10_jaccard_join": OP10,
+        "op12_spelling_variants": OP12,
     }

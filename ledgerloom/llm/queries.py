@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,24 @@ from ledgerloom.llm import (
     jaccard_join,
     line_dedup,
     mixing,
+    packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
+    spelling_variants,
     token_counts,
     toxicity,
     url_filters,
 )
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import WORD_GAP, table, text_of
 from ledgerloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
+#: ends each packed document
+END_ID = 1
+#: of the hashes of a document's words, those that this divides lose a letter
+DAMAGED = 199
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +115,58 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text; in a tenth of the documents the words from some place on repeat with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n, a, p = F.floor(h / 10), F.size("w"), F.col("a"), F.col("p")
+    words = F.filter(F.split(text_of(), WORD_GAP), lambda word: word != "")
+    chosen = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    planted = chosen.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    planted = planted.withColumn("p", (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int"))
+    copies = F.ceil((n - a) / p).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(F.slice("w", a + 1, p), copies)), 1, n - a)
+    text = F.when(a.isNotNull(), F.array_join(F.concat(F.slice("w", 1, a), repeated), " "))
+    return planted.select("doc_id", F.coalesce(text, "text").alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("best")
+    return found.withColumn("best", F.array_min(order)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        (-best["less"]).alias("length"),
+        best["period"].alias("period"),
+        F.floor(-1000 * best["less"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def damaged(doc_id: int | None, word: str) -> str:
+    """The word, without one letter if a hash of document and word says so."""
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+    if h % DAMAGED:
+        return word
+    k = h % len(word)
+    return word[:k] + word[k + 1 :]
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.count_words(table(spark, sf_dir, "documents"), rewrite=damaged)
+    return spelling_variants.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_source_mixing,
@@ -119,5 +179,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_quality_classifier,
         op10_jaccard_join,
+        op11_periodic_runs,
+        op12_spelling_variants,
+        op13_packing,
     )
     return {query.__name__: query for query in listed}

@@ -12,7 +12,8 @@ Normalisation must keep the count; for byte-level tokenizers that is only null t
 or padding; special strings inside a text count as one token, its default), ``.model`` files by
 sentencepiece. A byte-level BPE file whose merges and ids give the usual ranks is encoded by tiktoken
 with ranks from the same file, four times as fast; texts beyond Latin letters go to the tokenizers
-library itself, because the two may know different versions of Unicode.
+library itself, because the two may know different versions of Unicode. Long texts are encoded in pieces cut before
+white space, where words of the splitting rule end anyway; a very long run of white space is one word and skips the rule.
 
 Scale: texts move once, to meet equal ones (partial aggregation leaves one copy per task); everything else
 is digests and counts. The result reads the cache, a table in the shared folder. A digest that a third
@@ -30,6 +31,7 @@ from collections.abc import Callable, Iterator
 from importlib.metadata import version
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +41,12 @@ from ledgerloom.llm.common import text_of
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long, n_bytes long"
 #: Fixed value: the splitting rule of the byte-level pre-tokenizer.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: long texts are encoded in pieces of about so many characters
+PIECE = 1 << 20
 _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
+#: longer runs of white space exceed the stack of the splitting rule; those up to ɏ that Unicode calls white space
+_LONG_WHITE = re.compile("[\t-\r \x85\xa0]{50000,}")
+_BEFORE_WHITE = re.compile(r"(?<=\S)(?=[\t-\r ])")
 
 
 def tokenizer_digest(path: str) -> str:
@@ -71,26 +78,27 @@ def _byte_ranks(spec: dict) -> dict[bytes, int] | None:
     return ranks if in_order and len(ranks) == 256 + len(merged) else None
 
 
-def counter(name: str, content: bytes) -> Callable[[list[str]], list[int]]:
-    """A function from texts to their numbers of tokens, built from the file's content."""
+def encoder(name: str, content: bytes) -> Callable[[str], np.ndarray]:
+    """A function from a text to its token ids, built from the file's content."""
     if name.endswith(".model"):
         import sentencepiece
 
         pieces = sentencepiece.SentencePieceProcessor(model_proto=content)
-        return lambda texts: [len(ids) for ids in pieces.encode(texts, num_threads=1)]
+        return lambda text: np.array(pieces.encode(text, num_threads=1), np.uint32)
     import tokenizers
 
     reference = tokenizers.Tokenizer.from_str(content.decode("utf-8"))
     reference.no_truncation()
     reference.no_padding()
 
-    def by_library(texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in reference.encode_batch(texts, add_special_tokens=False)]
+    def by_library(text: str) -> np.ndarray:
+        return np.array(reference.encode(text, add_special_tokens=False).ids, np.uint32)
 
     spec = json.loads(content)
     ranks = _byte_ranks(spec)
     added = spec.get("added_tokens", ())
-    if ranks is None or any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+    spaced = any(re.search(r"\s", t["content"]) for t in added)
+    if ranks is None or spaced or any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
         return by_library
     import tiktoken
 
@@ -98,13 +106,47 @@ def counter(name: str, content: bytes) -> Callable[[list[str]], list[int]]:
         "file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={t["content"]: t["id"] for t in added}
     )
 
-    def by_ranks(texts: list[str]) -> list[int]:
-        return [
-            by_library([text])[0] if _BEYOND_LATIN.search(text) else len(fast.encode(text, allowed_special="all"))
-            for text in texts
-        ]
+    def by_ranks(text: str) -> np.ndarray:
+        return fast.encode_to_numpy(text, allowed_special="all")
+
+    def white(run: str) -> np.ndarray:
+        """A run of white space that is one word of the splitting rule."""
+        return np.array(fast._encode_single_piece(run), np.uint32)
+
+    def ids(text: str) -> np.ndarray:
+        parts = []
+        for piece in _pieces(text):
+            if _BEYOND_LATIN.search(piece):
+                parts.append(by_library(piece))
+                continue
+            at = 0
+            for run in _LONG_WHITE.finditer(piece):
+                # its last sign belongs to what follows, if anything does
+                end = run.end() if run.end() == len(piece) else run.end() - 1
+                parts += [by_ranks(piece[at : run.start()]), white(piece[run.start() : end])]
+                at = end
+            parts.append(by_ranks(piece[at:]))
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+    return ids
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A long text cut before white space; the splitting rule never joins a sign to white space after it."""
+    at = 0
+    while len(text) - at > PIECE:
+        cut = _BEFORE_WHITE.search(text, at + PIECE)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
+
 
-    return by_ranks
+def counter(name: str, content: bytes) -> Callable[[list[str]], list[int]]:
+    """A function from texts to their numbers of tokens."""
+    encode = encoder(name, content)
+    return lambda texts: [len(encode(text)) for text in texts]
 
 
 def digest_of(column: str = "text"):

@@ -71,3 +71,28 @@ def test_cache_is_used_and_grows_by_the_misses(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert t.count_tokens(edge.empty(spark), PATH, str(tmp_path / "cache")).count() == 0
+
+
+@pytest.mark.parametrize("sign", [" ", "\n", "\t", "\r\n", " \xa0", "x", "#", "x "])
+def test_long_runs_of_one_sign(sign):
+    for number in (1000, 49_999, 50_000, 50_001, 1_000_000):
+        run = sign * (number // len(sign))
+        for text in (run, f"ab{run}cd 'll"):
+            assert FAST([text]) == [library(text)], (number, len(text))
+
+
+def test_many_million_spaces():
+    text = " " * 5_000_000
+    assert FAST([text]) == [library(text)] == [5_000_000]
+    assert FAST([f"word{' ' * 20_000_000}word"]) == [20_000_001]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("ab 1'sé\n\t\xa0　中"), max_size=80))
+def test_pieces_of_long_texts(text):
+    size, white = t.PIECE, t._LONG_WHITE
+    try:
+        t.PIECE, t._LONG_WHITE = 7, t.re.compile("[\t-\r \x85\xa0]{3,}")
+        assert FAST([text]) == [library(text)]
+    finally:
+        t.PIECE, t._LONG_WHITE = size, white
