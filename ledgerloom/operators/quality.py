@@ -46,57 +46,43 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 _CHECK = ("table_name", "check_name", "column_name", "violations")
 
 
-def _check(df: DataFrame, table: str, check: str, column: str, violations: Column) -> DataFrame:
-    return as_rows(df, {(table, check, column): violations}, _CHECK)
-
-
-def _repeated(df: DataFrame, column: str) -> DataFrame:
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1")
-    )
-
-
-def _orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Foreign key values without a parent, with their rows.
-
-    Child rows are counted per key first, so one hot key joins as one row. NULL passes, as in SQL.
-    """
-    used = (
-        child.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias(key))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    return used.join(parent.select(key), key, "left_anti")
-
-
 def integrity_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per key, uniqueness, reference and length rule with the number of violations.
 
-    Repeated keys count the values that occur more than once; the other checks count rows. Missing
-    keys and over-long texts of a table share one pass.
+    Repeated keys count the values that occur more than once; the other checks count rows. NULL is no reference and no
+    repeated value. Every table is read once: a row gives its own keys and the keys it refers to, each tagged with the
+    column whose values it is one of, and its missing and over-long values. All of them are counted by column and
+    value in one shuffle; a value with very many rows is one row a task before that.
     """
-    parts = []
+    mentions = []
+    counters: dict[tuple[str, ...], Column] = {}
+    domain, value, role = F.col("domain"), F.col("value"), F.col("role")
+
+    def tagged(where: Column, of: str, key: Column, as_: str) -> Column:
+        return F.when(where, F.struct(F.lit(of).alias("domain"), key.alias("value"), F.lit(as_).alias("role")))
+
     for table, df in tables.items():
-        counters: dict[tuple[str, ...], Column] = {}
+        said = []
         key = PRIMARY_KEYS.get(table)
-        if key:
-            counters[(table, "missing key", key)] = F.count_if(F.col(key).isNull())
-        for column, longest in TEXT_LENGTHS[table].items():
-            too_long = F.length(column) > longest
-            counters[(table, f"longer than {longest}", column)] = F.count_if(too_long)
-        parts.append(as_rows(df, counters, _CHECK))
-        unique = ([key] if key else []) + list(UNIQUE_COLUMNS.get(table, ()))
-        for column in unique:
-            repeated = _repeated(df, column)
-            parts.append(_check(repeated, table, "repeated value", column, F.count(F.lit(1))))
+        flags = {("missing key", key): F.col(key).isNull()} if key else {}
+        flags |= {(f"longer than {longest}", c): F.length(c) > longest for c, longest in TEXT_LENGTHS[table].items()}
+        for (check, column), wrong in flags.items():
+            counters[(table, check, column)] = F.sum(F.when(domain == f"{table} {check} {column}", F.col("wrong")))
+            said.append(tagged(F.coalesce(wrong, F.lit(False)), f"{table} {check} {column}", F.lit(""), "wrong"))
+        for column in ([key] if key else []) + list(UNIQUE_COLUMNS.get(table, ())):
+            repeated = (domain == f"{table}.{column}") & (F.col("own") > 1)
+            counters[(table, "repeated value", column)] = F.count_if(repeated)
+            said.append(tagged(F.col(column).isNotNull(), f"{table}.{column}", F.col(column), "own"))
+        for child, column, parent in FOREIGN_KEYS:
+            if child == table:
+                said.append(tagged(F.col(column).isNotNull(), f"{parent}.{PRIMARY_KEYS[parent]}", F.col(column), f"{child} {column}"))
+        mentions.append(df.select(F.inline(F.array_compact(F.array(*said)))))
     for child, column, parent in FOREIGN_KEYS:
-        lost = _orphans(tables[child], column, tables[parent], PRIMARY_KEYS[parent])
-        rows = F.coalesce(F.sum("rows"), F.lit(0))
-        parts.append(_check(lost, child, f"not in {parent}", column, rows))
-    return _union(parts)
+        lost = (domain == f"{parent}.{PRIMARY_KEYS[parent]}") & (F.col("own") == 0)
+        counters[(child, f"not in {parent}", column)] = F.sum(F.when(lost, F.col(f"{child} {column}")))
+    roles = ["own", "wrong", *[f"{child} {column}" for child, column, _ in FOREIGN_KEYS]]
+    per_value = _union(mentions).groupBy(domain, value).agg(*[F.count_if(role == name).alias(name) for name in roles])
+    return as_rows(per_value, {labels: F.coalesce(c, F.lit(0)) for labels, c in counters.items()}, _CHECK)
 
 
 def quality_audit(customers: DataFrame, transactions: DataFrame) -> DataFrame:

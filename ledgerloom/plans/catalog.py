@@ -21,7 +21,7 @@ from ledgerloom.operators.cleaning import (
 )
 from ledgerloom.operators.order_statistics import global_ntile, rank_quantile_buckets
 from ledgerloom.operators.quantiles import quantile_bucket
-from ledgerloom.plans import reports, scoring
+from ledgerloom.plans import incremental, reports, scoring
 from ledgerloom.session import durable
 from ledgerloom.sources import star, storage
 from ledgerloom.sources.schemas import CUSTOMERS, MONTHLY_REVENUE, Tables
@@ -276,4 +276,6 @@ def queries() -> dict[str, Query]:
         "event_value_outliers": _event_outliers,
         "table_comments": _table_comments,
         "half_even_balances": on(_half_even_profile),
+        # batches and stored state
+        **incremental.queries(),
     }

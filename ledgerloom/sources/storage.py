@@ -38,6 +38,11 @@ CSV_OPTIONS = {
 }
 
 
+#: The facts are large and have no line breaks in their texts, so their files are split over tasks. (One that has them fails
+#: the read; ``multi_line=True`` reads it, by one task a file.)
+MULTI_LINE = {"customers": True, "accounts": True, "transactions": False, "monthly_revenue": False}
+
+
 def read_csv_table(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
@@ -49,8 +54,7 @@ def read_csv_table(
     """
     # the reader puts ``nullValue`` in empty fields; a sign that no text holds tells them from empty texts
     options = {**CSV_OPTIONS, "nullValue": "\0", "emptyValue": "", "multiLine": str(multi_line).lower()}
-    if multi_line:
-        options.pop("lineSep")  # files of other writers may end lines with \r\n
+    options.pop("lineSep")  # files of other writers may end lines with \r\n
     return (
         spark.read.schema(schema)
         .options(**options)
@@ -64,11 +68,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv_tables(spark: SparkSession, folder: str, multi_line: bool = True) -> Tables:
-    """The four ``<folder>/<table>.csv`` files or folders."""
+def read_csv_tables(spark: SparkSession, folder: str, multi_line: bool | None = None) -> Tables:
+    """The four ``<folder>/<table>.csv`` files or folders; ``multi_line`` by table if it isn't given."""
     return Tables(
         **{
-            name: read_csv_table(spark, f"{folder}/{name}.csv", schema, multi_line)
+            name: read_csv_table(
+                spark, f"{folder}/{name}.csv", schema, MULTI_LINE[name] if multi_line is None else multi_line
+            )
             for name, schema in SCHEMAS.items()
         }
     )
@@ -146,13 +152,14 @@ def ingest_csv(
     folder: str,
     mode: str = "overwrite",
     strict: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """CSV to parquet, dimensions first. Returns the row counts and the integrity report.
 
     The files are staged in the shared folder and audited there, together with what is stored already
     if they are appended. Only then are the tables written; with ``strict`` a violated rule raises
-    :class:`IntegrityError` and leaves them as they were.
+    :class:`IntegrityError` and leaves them as they were. Files that come again are appended again;
+    :func:`ledgerloom.state.loads.load_batch` takes each batch once.
     """
     raw = read_csv_tables(spark, raw_folder, multi_line).named()
     raw["customers"] = with_defaults(raw["customers"])

@@ -1,0 +1,80 @@
+"""Running sums by range partitions against a plain loop."""
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import money
+from ledgerloom.operators.prefix_sums import open_by_day, running_sum
+from ledgerloom.state.partial_sums import PartialSums
+
+ROWS = "g string, d int, id long, v decimal(12,2)"
+
+
+def rows(seed=1, number=400):
+    pick = random.Random(seed)
+    return [
+        (
+            "hot" if k % 3 == 0 else pick.choice(["a", "b", None]),
+            None if k % 37 == 0 else pick.randrange(20),
+            k,
+            None if k % 11 == 0 else money(pick.randrange(-500, 900) / 100),
+        )
+        for k in range(number)
+    ]
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64, None])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_running_sum(spark, partitions, by):
+    given = rows()
+    out = running_sum(spark.createDataFrame(given, ROWS).repartition(5), "v", ["d", "id"], "r", by, partitions).collect()
+    totals, wanted = {}, {}
+    for g, d, k, v in sorted(given, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        key = g if by else 0
+        totals[key] = totals.get(key, 0) + (v or 0)
+        wanted[k] = totals[key]
+    assert {r.id: r.r for r in out} == wanted
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_open_by_day(spark, partitions):
+    pick = random.Random(3)
+    first = datetime.date(2023, 1, 1)
+    day = lambda n: None if n is None else first + datetime.timedelta(days=n)
+    lives = [(pick.choice("xy"), day(a), day(b)) for a, b in ((pick.randrange(40), pick.choice([None, pick.randrange(60)])) for _ in range(150))]
+    lives += [("x", None, day(3)), ("y", day(9), day(2)), ("z", day(5), day(5))]
+    df = spark.createDataFrame(lives, "p string, start date, stop date")
+    out = {(r.p, r.day): r.open for r in open_by_day(df, "start", "stop", ["p"], partitions).collect()}
+    valid = [(p, a, b) for p, a, b in lives if a and (b is None or b >= a)]
+    days = {(p, a) for p, a, _ in valid} | {(p, b + datetime.timedelta(days=1)) for p, _, b in valid if b}
+    assert out == {(p, d): sum(q == p and a <= d and (b is None or b >= d) for q, a, b in valid) for p, d in days}
+    assert open_by_day(df.limit(0), "start", "stop").count() == 0
+
+
+def test_partial_sums_of_any_span(spark, tmp_path):
+    pick = random.Random(8)
+    given = [(pick.randrange(12), pick.choice("ab"), None if k % 17 == 0 else money(10**9 + pick.randrange(300) / 100)) for k in range(600)]
+    state = PartialSums(spark, str(tmp_path / "s"), "v", {"month": T.IntegerType(), "who": T.StringType()})
+    for k in range(3):
+        part = spark.createDataFrame(given[k::3], "month int, who string, v decimal(12,2)")
+        assert state.add(str(k), part)
+        assert not state.add(str(k), part)
+        if k == 1:
+            state.compact()
+    for first, last in ((0, 11), (3, 5), (7, 7), (20, 30)):
+        values = [v for m, _, v in given if first <= m <= last and v is not None]
+        got = state.statistics(where=F.col("month").between(first, last)).collect()[0]
+        if not values:
+            assert (got.n, got.total, got["mean"], got.deviation) == (None, None, None, None)
+            continue
+        mean = sum(values) / len(values)
+        squares = sum((v - mean) ** 2 for v in values)
+        assert (got.n, got.total) == (len(values), sum(values))
+        assert got["mean"] == pytest.approx(float(mean), rel=1e-12)
+        assert got.deviation == pytest.approx(float((squares / (len(values) - 1)).sqrt()), rel=1e-9)
+    by_who = {r.who: r.n for r in state.statistics(F.col("who")).collect()}
+    assert by_who == {w: sum(x == w and v is not None for _, x, v in given) for w in "ab"}
