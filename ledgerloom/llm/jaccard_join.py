@@ -15,8 +15,10 @@ the corpus has. With s spare segments a set with at most s empty segments leaves
 segments in which two linked sets agree, more than s, one is not empty. (A set with more empty segments
 indexes all, so two such sets meet as well.)
 
-Copies are joined first: equal sets form a class, and its smallest document stands for it. Classes that
-share a signature are candidates; connected candidates form a family, and each size class of a family with the
+Copies are joined first: equal sets form a class, and its smallest document stands for it. With s spare segments two
+linked sets have more than s equal ones, so each looks up all but s of its signatures, and leaves out those that
+most sets have: the ones of common passages and of empty segments. Classes that
+share a signature they look up are candidates; connected candidates form a family, and each size class of a family with the
 next larger one a unit. Units are worked off in blocks of bounded size: small ones whole, in large ones every
 member against pivots of the unit and then, block by block, what is not linked yet against
 everything. In a block, sets that share a signature are compared. Two documents link when
@@ -45,6 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import text_of
 from ledgerloom.llm.components import compact, connected_components
 from ledgerloom.session import durable
 
@@ -143,15 +146,35 @@ class Signer:
         return allocation(low, high, max(1, self.sets // 10), self.num, self.den)
 
     def signatures(self, values: np.ndarray) -> np.ndarray:
-        """Of the set's own band, and of larger bands in which it may have partners."""
+        """Of the set's own band, and of larger bands in which it may have partners; one of two linked sets' is equal."""
+        return np.concatenate([self._compared(*parts) for parts in self._by_band(values)])
+
+    def indexed(self, values: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """By band: all signatures, and how many of the rarest have to be looked up.
+
+        Of the segments that two linked sets look at, more than the spare ones are equal. So if each set leaves out as many of its
+        signatures as there are spare segments, the same most frequent ones first, one equal pair is left.
+        """
+        found = []
+        for whole, _, near, spare in self._by_band(values):
+            own = np.concatenate([whole, near])
+            found.append((own, len(own) - spare if not len(near) else len(own)))
+        return found
+
+    @staticmethod
+    def _compared(whole: np.ndarray, filled: np.ndarray, near: np.ndarray, spare: int) -> np.ndarray:
+        if (~filled).sum() <= spare:
+            whole = whole[filled]
+        return np.concatenate([whole, near])
+
+    def _by_band(self, values: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
         size = len(values)
         partner = size * self.den // self.num
         own, last = self._band(size), self._band(partner)
-        return np.concatenate(
-            [self._of_band(values, band, min(partner, self.starts[band + 1] - 1)) for band in range(own, last + 1)]
-        )
+        return [self._of_band(values, band, min(partner, self.starts[band + 1] - 1)) for band in range(own, last + 1)]
 
-    def _of_band(self, values: np.ndarray, band: int, partner: int) -> np.ndarray:
+    def _of_band(self, values: np.ndarray, band: int, partner: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """A signature of each segment looked at, whether it holds a shingle, those of the neighbourhoods, spare segments."""
         segments, deletions, spare = self.allocate(band)
         # so many segments have to be in the index of both; those with neighbourhoods, the first ones, count twice
         need = most_difference(len(values) + partner, self.num, self.den) + 1 + spare
@@ -166,14 +189,11 @@ class Signer:
         tags = mix(np.arange(segments, dtype=np.uint64) + np.uint64((band + 1) << 32))
         filled = np.zeros(segments, bool)
         filled[place] = True
-        filled[used:] = True  # not looked at
         whole = mix(sums + tags)[:used]
-        if (~filled).sum() <= spare:
-            whole = whole[filled[:used]]
         if not deletions:
-            return whole
+            return whole, filled[:used], whole[:0], spare
         near = place < min(deletions, used)
-        return np.concatenate([whole, mix(sums[place[near]] - parts[near] + tags[place[near]])])
+        return whole, filled[:used], mix(sums[place[near]] - parts[near] + tags[place[near]]), spare
 
 
 @dataclass(frozen=True)
@@ -190,29 +210,34 @@ class Join:
 
 
 def document_sets(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n, f1, f2 (a 128-bit fingerprint of the set), sigs."""
+    """doc_id, n, f1, f2 (a 128-bit fingerprint of the set); by band sigs, and the number of them to be looked up."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = join.signer()
         for batch in batches:
-            sizes, prints, sigs, ends = [], [], [], [0]
+            sizes, prints, sigs, wanted, ends, bands_ = [], [], [], [], [0], [0]
             for text in batch.column("text"):
                 values = shingle_set(text.as_py() or "", join.size)
                 sizes.append(len(values))
                 prints.append((np.sum(mix(values ^ _SEED)), np.sum(mix(values + _SEED))))
-                if len(values):
-                    sigs.append(signer.signatures(values))
-                ends.append(ends[-1] + (len(sigs[-1]) if len(values) else 0))
+                for own, number in signer.indexed(values) if len(values) else ():
+                    sigs.append(own)
+                    wanted.append(number)
+                    ends.append(ends[-1] + len(own))
+                bands_.append(len(wanted))
             flat = np.concatenate(sigs or [np.zeros(0, np.uint64)]).view(np.int64)
             pair = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            by_band = pa.StructArray.from_arrays(
+                [pa.array(wanted, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["wanted", "sigs"]
+            )
+            lists = pa.ListArray.from_arrays(pa.array(bands_, pa.int32()), by_band)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), lists],
-                names=["doc_id", "n", "f1", "f2", "sigs"],
+                names=["doc_id", "n", "f1", "f2", "bands"],
             )
 
     return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
-        rows, "doc_id long, n long, f1 long, f2 long, sigs array<long>"
+        rows, "doc_id long, n long, f1 long, f2 long, bands array<struct<wanted: int, sigs: array<long>>>"
     )
 
 
@@ -399,6 +424,26 @@ def _against_pivots(sets: DataFrame, members: DataFrame, units: DataFrame, seed:
     )
 
 
+def _candidates(reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect all classes which share one of the signatures they look up.
+
+    Signatures are ordered by their number of sets. Those of one set only come first and are counted, not kept, so a set with as
+    many of them as it looks up has no candidates.
+    """
+    by_band = reps.select(F.col("doc_id").alias("rep"), "f1", "f2", F.inline(F.transform("bands", lambda x, k: F.struct(x.alias("own"), k.alias("k")))))
+    by_band = by_band.withColumn("left_out", F.col("own.wanted") - F.size("own.sigs"))
+    signed = by_band.select("rep", "f1", "f2", "k", "left_out", F.explode("own.sigs").alias("sig"))
+    repeated = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    shared = signed.join(_sent(repeated, SENT_SIGNATURES), "sig")
+    per = shared.groupBy("rep", "f1", "f2", "k", "left_out").agg(F.sort_array(F.collect_list(F.struct("sets", "sig"))).alias("shared"))
+    left = F.size("shared") + F.col("left_out")  # of a set's signatures, those it shares come last
+    kept = per.where(left > 0).select("rep", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
+    meeting = compact(kept.select("rep", F.col("s.sig").alias("sig")))
+    lowest = meeting.groupBy("sig").agg(F.min("rep").alias("low"))
+    pairs = meeting.join(lowest, "sig").where(F.col("rep") != F.col("low"))
+    return pairs.select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
+
+
 def linked_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id with an equal set), component_id of every document."""
     documents = docs.select("doc_id", "text")
@@ -410,10 +455,7 @@ def linked_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     narrow = full.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"])
     copies = _sent(narrow.where(F.col("doc_id") != F.col("rep")).select("doc_id", "f1", "f2").distinct(), SENT_IDS)
     reps = full.join(copies, ["doc_id", "f1", "f2"], "left_anti")
-    signed = reps.select(F.col("doc_id").alias("rep"), F.explode("sigs").alias("sig"))
-    several_sets = signed.groupBy("sig").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    meeting = signed.join(_sent(several_sets.select("sig", "low"), SENT_SIGNATURES), "sig").where(F.col("rep") != F.col("low"))
-    candidates = meeting.select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
+    candidates = _candidates(reps)
     links = _family_links(documents, classes.select("rep", "n").distinct(), candidates, join)
     several = full.groupBy("doc_id").agg(F.min("f1").alias("low"), F.max("f1").alias("high")).where(F.col("low") < F.col("high"))
     several = compact(several.select("doc_id"))
@@ -434,15 +476,43 @@ def linked_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
 
 
 def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents, all columns, without those that are linked to a smaller id; of repeated ids one row stays.
+    """The documents, all columns, one of each component: the one with the smallest id.
 
-    Documents without id stay.
+    Rows are told apart by id and text: rows with the same id and other texts are documents of their own, and only the row whose own
+    text is a copy goes. Rows that are equal in id and text are one document; the one with the smallest hash of all columns
+    stays. Documents without id are treated alike: they go if they are linked to one with an id or a smaller hash of their text.
     """
-    found = durable(linked_components(docs, size, num, den))
-    gone = _sent(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), SENT_IDS)
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    twice = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(twice)
+    own = F.xxhash64(F.lit("row"), "doc_id", text_of())
+    known = F.col("doc_id").isNotNull()
+    texts = docs.where(known).groupBy("doc_id").agg(F.min(own).alias("one"), F.max(own).alias("other"))
+    several = compact(texts.where(F.col("one") < F.col("other")).select(F.col("doc_id").alias("_several")))
+    several = F.broadcast(several) if several.count() <= SENT_IDS else several
+    # an id with one text is its own key, so that the smallest key of a component is its smallest id
+    alone = known & F.col("_several").isNull()
+    row = F.struct(*docs.columns).alias("row")
+    keyed = docs.join(several, F.col("doc_id") == F.col("_several"), "left").select(
+        F.when(alone, F.col("doc_id").cast("long")).otherwise(own).alias("doc_id"), "text", F.col("doc_id").alias("_id"), row
+    )
+    found = durable(linked_components(keyed, size, num, den).select("doc_id", "component_id"))
+    linked = found.where(F.col("doc_id") != F.col("component_id")).select("component_id").distinct()
+    members = found.join(linked, "component_id", "left_semi").distinct()
+    ids = keyed.where(~F.coalesce(F.col("_id").cast("long") == F.col("doc_id"), F.lit(False))).select("doc_id", F.col("_id").cast("long").alias("_id"))
+    ids = _sent(ids.distinct(), SENT_IDS)  # of rows without id and of repeated ids
+    named = members.join(ids.withColumn("_other", F.lit(True)), "doc_id", "left")
+    rank = F.struct(
+        F.when(F.col("_other"), F.col("_id").isNull()).otherwise(F.lit(False)).alias("nameless"),
+        F.when(F.col("_other"), F.col("_id")).otherwise(F.col("doc_id")).alias("id"),
+        F.col("doc_id").alias("key"),
+    )
+    best = named.groupBy("component_id").agg(F.min(rank)["key"].alias("best"))
+    gone = members.join(best, "component_id").where(F.col("doc_id") != F.col("best")).select("doc_id").distinct()
+    kept = keyed.join(_sent(gone, SENT_IDS), "doc_id", "left_anti")
+    twice = _sent(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), SENT_IDS)
+    hashed = [F.col("row")[c] for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    first = F.min_by("row", F.xxhash64(*hashed))
+    names = [F.col("row")[c].alias(c) for c in docs.columns]
+    if twice.isEmpty():
+        return kept.select(*names)
+    once = kept.join(twice, "doc_id", "left_anti").select("row")
+    of_many = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(first.alias("row"))
+    return once.unionByName(of_many.select("row")).select(*names)

@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import edge
 import numpy as np
@@ -96,6 +96,56 @@ def test_linked_sets_share_a_signature(num, den, sets):
             assert np.intersect1d(signer.signatures(a), signer.signatures(b)).size, (size, other)
 
 
+@pytest.mark.parametrize(("num", "den"), [(9, 10), (4, 5)])
+def test_linked_sets_share_one_of_their_rarest_signatures(num, den):
+    """Among sets that share passages with many others, at the largest difference that still links."""
+    random_ = np.random.default_rng(11)
+    signer = j.Signer(30_000, num, den)
+    passages = random_.integers(0, 1 << 63, (4, 60), dtype=np.uint64)
+    pairs, sets = [], []
+    for size in (20, 40, 63, 100, 117, 140, 200, 333) * 4:
+        other = int(random_.integers(size, size * den // num + 1))
+        common = -(-num * (size + other) // (num + den))
+        if common > size:
+            continue
+        values = random_.integers(0, 1 << 63, size + other - common, dtype=np.uint64)
+        shared = passages[int(random_.integers(4))][: size // 2]
+        at = int(random_.integers(0, size - len(shared) + 1))
+        values[at : at + len(shared)] = shared
+        pairs.append((len(sets), len(sets) + 1))
+        sets += [np.unique(values[:size]), np.unique(values[size - common :])]
+    # sets that hold nothing but passages, so that those signatures are the most frequent
+    sets += [np.unique(passages.ravel()[k : k + 90]) for k in range(0, 150, 3)]
+    by_set = [signer.indexed(s) for s in sets]
+    found = Counter(sig for bands in by_set for own, _ in bands for sig in own.tolist())
+
+    def looked_up(k):
+        return {sig for own, wanted in by_set[k] for sig in sorted(own.tolist(), key=lambda x: (found[x], x))[:wanted]}
+
+    assert any(wanted < len(own) for bands in by_set for own, wanted in bands)
+    for a, b in pairs:
+        assert looked_up(a) & looked_up(b), (len(sets[a]), len(sets[b]))
+
+
+def test_passages_that_many_share_make_no_candidates(spark):
+    """Documents that share half of their words, but are not linked."""
+    r = random.Random(3)
+    passage = [f"p{k}" for k in range(70)]
+    rows = []
+    for k in range(300):
+        own = [f"x{r.randrange(10**6)}" for _ in range(70)]
+        rows.append((k, " ".join(own[:30] + passage + own[30:])))
+    rows += [(1000 + k, text.replace(" p5 ", " q5 ")) for k, text in rows[:40]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = j.Join(5, 80, 100, 100_000)
+    sets = j.document_sets(docs, join)
+    pairs = {(r.a, r.b) for r in j._candidates(sets).collect()}
+    assert {(k, 1000 + k) for k in range(40)} <= pairs
+    # without the choice of the rarest, the passage would connect all of them
+    assert len({k for pair in pairs for k in pair if 40 <= k < 1000}) < 130
+    assert {x.doc_id: x.component_id for x in j.linked_components(docs).collect()} == {k: k % 1000 for k, _ in rows}
+
+
 def test_allocations_use_every_means():
     chosen = [j.allocation(low, int(low * 1.5), 10**8, 9, 10) for low in (2, 10, 20, 40, 80, 200, 1000)]
     assert any(d for _, d, _ in chosen) and any(s for _, _, s in chosen)
@@ -123,6 +173,7 @@ def test_edges(spark):
     assert out.set_index("doc_id").n_shingles[[2, 3, 4]].tolist() == [0, 0, 0]
     kept = j.one_of_each(docs)
     assert kept.columns == docs.columns
+    # 6 is a copy of 1, and there twice; rows without id are documents of their own
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "5", "9", "10", "None", "None"])
     assert j.linked_components(edge.empty(spark)).count() == 0
     assert j.one_of_each(edge.empty(spark)).count() == 0
@@ -134,7 +185,30 @@ def test_repeated_rows_and_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = {(r.doc_id, r.component_id) for r in j.linked_components(docs).collect()}
     assert out == {(1, 1), (2, 1), (3, 1), (4, 4)}
-    assert sorted(r.doc_id for r in j.one_of_each(docs).collect()) == [1, 4]
+    # texts are told apart within an id: the copies of 1 and 2 go, no text is lost
+    assert sorted((r.doc_id, r.text) for r in j.one_of_each(docs).collect()) == [(1, text), (2, other), (4, rows[-1][1])]
+
+
+def test_only_the_row_whose_text_is_a_copy_goes(spark):
+    a, b, x, y = (" ".join(f"{c}{k}" for k in range(30)) for c in "abxy")
+    near = a.replace("a29", "other")
+    rows = [(3, a, 1), (7, a, 1), (7, b, 1), (8, x, 1), (8, y, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    assert sorted(map(tuple, j.one_of_each(docs).collect())) == [rows[0], rows[2], rows[3], rows[4]]
+    # equal rows are one, of rows equal in id and text one stays; a document without id goes if one with an id is near
+    more = [*rows, (8, x, 1), (8, x, 2), (None, near, 1), (None, " ".join(f"z{k}" for k in range(30)), 1), (None, None, 1), (None, None, 1)]
+    docs = spark.createDataFrame(more, "doc_id long, text string, n int").repartition(5)
+    kept = [tuple(r) for r in j.one_of_each(docs).collect()]
+    assert sorted(((r[0] or 0), r[1] or "") for r in kept) == sorted([(3, a), (7, b), (8, x), (8, y), (0, more[8][1]), (0, "")])
+    again = [tuple(r) for r in j.one_of_each(docs.repartition(3)).collect()]
+    assert sorted(kept, key=str) == sorted(again, key=str)
+
+
+def test_near_copies_without_id(spark):
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base), " ".join([*base, "tail"]), " ".join(["head", *base])]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert j.one_of_each(docs).count() == 1
 
 
 @pytest.mark.parametrize("seed", range(3))
