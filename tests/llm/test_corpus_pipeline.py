@@ -46,7 +46,7 @@ def test_one_of_each_group_stays(stages):
 
 
 def test_no_test_item_is_left(stages, small):
-    index = d.ItemIndex(list(pd.read_parquet(f"{small}/benchmark.parquet")[["item_id", "text"]].itertuples(index=False)))
+    index = d.matcher_of(list(pd.read_parquet(f"{small}/benchmark.parquet")[["item_id", "text"]].itertuples(index=False)))
     leaks = {k for k, text in zip(stages[3].doc_id, stages[3].text) if index.matches(text)}
     assert set(stages[4].doc_id) == set(stages[3].doc_id) - leaks
 
