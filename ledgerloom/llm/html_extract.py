@@ -7,9 +7,12 @@ token's weight is the log-odds of lying inside that element, kept at its sign (w
 score as those elements' tags do. One linear scan finds the contiguous region with the largest sum.
 
 An element is never text by its name, by the attribute hidden, or by a whole class, id or role token (``MARKS``).
-Tokens that only have such a word as a part (``with-sidebar``) cost a tag's weight and keep their text. Nothing
-around the article or main with the most words is left out for that, nor a marked element, form or head with more
-than half of the words of that article or, without one, of the page.
+Tokens that only have such a word as a part (``with-sidebar``) cost a tag's weight and keep their text. A marked element
+beside the text or inside of it stays out, however long it is; only one that holds the text is a wrapper. The text is
+the article or main with the most words that no marked element holds (words of marked elements inside don't count); on pages without,
+the words outside of marked elements. Only where there are none either do wrappers give way: those around the main or
+article with the most words, or else, from the outside in, the marked element, form or head with the most
+words until one has words of its own. Several articles come out together, if the region spans them, with what is between.
 
 The region then grows to whole blocks: to the innermost container (article, main, section, div, table cell or
 page) that holds it, and to the outermost article or main around that. Its blocks without the elements
@@ -106,20 +109,20 @@ class Page:
         self.pieces: list[tuple[int, str]] = []  # text by token
         #: containers as [name, first token, last token, container around it]
         self.boxes: list[list] = [["page", 0, -1, -1]]
-        #: elements that are never text unless they hold the page's text, as [element of them around it, told by name
-        #: alone, own token if inline or -1, outermost article or main around it or -1, words]
+        #: elements that are never text unless they hold it, as [element of them around it, whether it or one around it is
+        #: told by name alone, own token if inline or -1, words in no other of them]
         self.left_out: list[list] = []
         self._runs: list[tuple[int, int, str]] = []  # token, innermost element left out or -1, text
-        self._words: Counter = Counter()  # by outermost article or main, and -1
         self._around: dict[int, int] = {}  # outermost article or main: the innermost element left out around it
-        open_names: list[tuple[str, int, int, int]] = []  # name, own place in left_out or -1, own box or -1, article around
-        hold, area = -1, -1
+        self._plain: Counter = Counter()  # by outermost article or main, and -1: words in no element left out inside of it
+        open_names: list[tuple[str, int, int, int, int]] = []  # name, place in left_out or -1, element left out, box and article around
+        names_open: Counter = Counter()
+        hold, area, inner_box = -1, -1, 0
 
         def close() -> str:
-            nonlocal hold, area
-            name, mine, box, area = open_names.pop()
-            if mine >= 0:
-                hold = self.left_out[mine][0]
+            nonlocal hold, area, inner_box
+            name, box, hold, inner_box, area = open_names.pop()
+            names_open[name] -= 1
             if box >= 0:
                 self.boxes[box][2] = len(self.tokens)
             return name
@@ -142,7 +145,7 @@ class Page:
                 if name in VOID or not match["close"]:
                     continue
             if match["close"]:
-                if not any(o[0] == name for o in open_names):
+                if not names_open[name]:
                     continue
                 while open_names and close() != name:
                     pass
@@ -156,18 +159,16 @@ class Page:
             self.tokens.append((f"{name}!" if hinted and name not in NEVER_TEXT else name, 1))
             if name in VOID or match["rest"].endswith("/"):
                 continue
-            mine = box = -1
+            box = len(self.boxes) if name in CONTAINERS else -1
+            open_names.append((name, box, hold, inner_box, area))
+            names_open[name] += 1
             if never:
-                mine = len(self.left_out)
-                inline = -1 if name in BLOCKS else len(self.tokens) - 1
-                self.left_out.append([hold, name in NEVER_TEXT and name not in MAY_HOLD_PAGE, inline, area, 0])
-            if name in CONTAINERS:
-                around = next((o[2] for o in reversed(open_names) if o[2] >= 0), 0)
-                box = len(self.boxes)
-                self.boxes.append([name, len(self.tokens) - 1, -1, around])
-            open_names.append((name, mine, box, area))
-            if mine >= 0:
-                hold = mine
+                named = name in NEVER_TEXT and name not in MAY_HOLD_PAGE or hold >= 0 and self.left_out[hold][1]
+                self.left_out.append([hold, named, -1 if name in BLOCKS else len(self.tokens) - 1, 0])
+                hold = len(self.left_out) - 1
+            if box >= 0:
+                self.boxes.append([name, len(self.tokens) - 1, -1, inner_box])
+                inner_box = box
             if area < 0 and name in ("article", "main"):
                 area = box
                 self._around[area] = hold
@@ -182,29 +183,50 @@ class Page:
         number = len(raw.split())
         self._runs.append((len(self.tokens), hold, raw))
         self.tokens.append(("w", number) if number else ("", 0))
-        if not number:
-            return
-        inside, top = [], self._around.get(area, -1)
-        while hold != top:
-            inside.append(hold)
-            hold = self.left_out[hold][0]
+        if hold >= 0:
+            self.left_out[hold][3] += number
         # words of menus and the like say nothing about where the text is
-        if not any(self.left_out[k][1] for k in inside):
-            self._words[area] += number
-            for k in inside:
-                self.left_out[k][4] += number
+        if number and hold == self._around.get(area, -1) and not (hold >= 0 and self.left_out[hold][1]):
+            self._plain[area] += number
+
+    def _wrappers(self) -> set[int]:
+        """The elements of ``left_out`` that hold the page's text."""
+        held = {k: around for k, around in self._around.items() if self._plain[k]}
+        best = max((k for k in held if held[k] < 0), key=lambda k: self._plain[k], default=-1)
+        if best < 0:
+            best = next((k for k in held if self.boxes[k][0] == "main"), -1)
+        if best < 0 and self._plain[-1]:
+            return set()
+        if best < 0:
+            best = max(held, key=lambda k: self._plain[k], default=-1)
+        kept: set[int] = set()
+        if best >= 0:
+            up = held[best]
+            while up >= 0:
+                kept.add(up)
+                up = self.left_out[up][0]
+            return kept
+        # no words but in marked elements: the ones with the most of them, from the outside in
+        words = [0 if named else own for _, named, _, own in self.left_out]
+        inside: dict[int, list[int]] = {}
+        for k in range(len(words) - 1, -1, -1):  # an element comes before those inside of it
+            around = self.left_out[k][0]
+            inside.setdefault(around, []).append(k)
+            if around >= 0:
+                words[around] += words[k]
+        level = -1
+        while level < 0 or not self.left_out[level][3]:
+            level = max(reversed(inside.get(level, [])), key=lambda k: words[k], default=-1)
+            if level < 0 or not words[level]:
+                break
+            kept.add(level)
+        return kept
 
     def _settle(self) -> None:
-        """Decides what is left out: nothing around the largest article or main, nothing marked with most of the words."""
-        largest = max((k for k in self._around if self._words[k]), key=lambda k: self._words[k], default=-1)
-        kept, up = set(), self._around.get(largest, -1)
-        while up >= 0:
-            kept.add(up)
-            up = self.left_out[up][0]
+        """Decides which marked elements are left out."""
+        kept = self._wrappers()
         dead = []
-        for k, (around, named, inline, area, number) in enumerate(self.left_out):
-            if not named and (area == largest or largest < 0) and 2 * number > self._words[largest]:
-                kept.add(k)
+        for k, (around, _, inline, _) in enumerate(self.left_out):
             dead.append(k not in kept or around >= 0 and dead[around])
             if k in kept and inline >= 0:
                 self.tokens[inline] = ("", 0)

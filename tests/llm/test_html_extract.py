@@ -56,7 +56,10 @@ def test_wrappers_keep_their_text(tag):
     menu = "<div class=ad>Buy now</div><nav>Home News</nav><p>"
     for inner in (body, f"<article>{body}</article>", f"<main>{body}<div class=ad>Buy</div></main>"):
         assert h.main_text(f"<body><{tag}>{inner}</{end}>{menu}", WEIGHTS) == "Some words of the text\nand a second part"
-    assert h.main_text(f"<body><article><{tag}>{body}</{end}><p>x</article>{menu}", WEIGHTS) == "Some words of the text\nand a second part\nx"
+    # inside of an article that has words of its own a marked element is no wrapper
+    never = tag in ("div class=sidebar", "div style='display:none'", "form")
+    beside = h.main_text(f"<body><article><{tag}>{body}</{end}><p>x</article>{menu}", WEIGHTS)
+    assert beside == ("x" if never else "Some words of the text\nand a second part\nx")
 
 
 def test_marked_elements_beside_the_text_stay_out():
@@ -69,6 +72,62 @@ def test_marked_elements_beside_the_text_stay_out():
     assert h.main_text(page, WEIGHTS).replace("\n", " ") == "Some words of the text"
 
 
+FORTY = " ".join(f"word{k}" for k in range(40))
+
+
+@pytest.mark.parametrize(
+    "tag", ["section class=comments", "div id=reader-comments", "div class='x sidebar'", "div class=related-posts", "div class=cookie-banner", "form", "aside", "div hidden"]
+)
+@pytest.mark.parametrize("words", [30, 90, 3000])
+def test_marked_elements_never_come_out_however_long(tag, words):
+    end = tag.split()[0]
+    marked = f"<{tag}><p>{' other' * (words // 2)}</p><p>{' more' * (words // 2)}</p></{end}>"
+    for page in (
+        f"<article><p>{FORTY}</p>{marked}</article>",
+        f"<article>{marked}<p>{FORTY}</p></article>",
+        f"<article><p>{FORTY}</p></article>{marked}",
+        f"{marked}<main><p>{FORTY}</p></main>",
+        f"<div><p>{FORTY}</p></div>{marked}",
+        f"{marked}<p>{FORTY}</p>",
+        f"<div><p>{FORTY}</p>{marked}</div>",
+        f"<div class=sidebar><main><p>{FORTY}</p>{marked}</main></div>{marked}",
+        f"<div class=widget><article>{marked}</article></div><article><p>{FORTY}</p></article>",
+    ):
+        assert h.main_text(f"<html><body><nav>Home News</nav>{page}<footer>foot</footer></body></html>", WEIGHTS) == FORTY
+
+
+def test_wrappers_inside_wrappers():
+    page = f"<form><div class=sidebar><div class=ad>Buy</div><div hidden><p>{FORTY}</p><div class=promo>Buy this</div></div></div></form>"
+    assert h.main_text(page, WEIGHTS) == FORTY
+
+
+def test_several_articles():
+    other = FORTY.replace("word", "other")
+    assert h.main_text(f"<article><p>{FORTY}</p></article><article><p>{other}</p></article>", WEIGHTS) == f"{FORTY}\n{other}"
+    between = f"<article><p>{FORTY}</p></article><p>between</p><div class=ad>Buy</div><article><p>{other}</p></article>"
+    assert h.main_text(between, WEIGHTS) == f"{FORTY}\nbetween\n{other}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class=sidebar>" * 40_000 + "text " * 10,
+        "<div class=ad>x" * 40_000 + "</div>" * 40_000,
+        "<section><b></i></b></td>" * 40_000 + "words here",
+        "<div>" * 40_000 + "</span></p></td>" * 40_000 + "words",
+        "<ul><li>" * 60_000 + "a b c",
+        "<form><p>a<div hidden><span class=ad>" * 25_000,
+        "<article>" * 60_000 + "some text" + "</article>" * 60_000,
+    ],
+)
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    started = time.perf_counter()
+    h.main_text(page, WEIGHTS)
+    assert time.perf_counter() - started < 6  # 0.3 to 1.2 MB; two seconds each when nothing else runs
+
+
 def test_hinted_tags_are_negative():
     kinds = [kind for kind, _ in h.Page("<div class=with-sidebar><p>words</p></div><div class=plain>x</div>").tokens]
     assert kinds == ["div!", "p", "w", "p", "div", "div", "w", "div"]

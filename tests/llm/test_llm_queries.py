@@ -98,6 +98,31 @@ def test_extracted_text_of_every_page(spark, small):
         assert out.n_chars[row.page_id] == len(out.text[row.page_id])
 
 
+def test_text_does_not_depend_on_the_article_tag(small):
+    """Whole results of all pages with the tags removed, renamed, nested, doubled, and with marked elements around and inside."""
+    from ledgerloom.llm import html_extract
+
+    sources = read(small, "pages").html.tolist()
+    weights = html_extract.learn_weights(sources)
+    marked = f"<div class=comments><p>{'I like it. ' * 200}</p></div>"
+    for source in sources:
+        text = html_extract.main_text(source, weights)
+        before, inside, after = re.match(r"(.*?)<article>(.*?)(?:</article>(.*)|\Z)", source, re.S).groups("")
+        if "</article>" not in source:
+            continue
+        for changed in (
+            before + inside + after,
+            f"{before}<div>{inside}</div>{after}",
+            f"{before}<div class=content><div>{inside}</div></div>{after}",
+            f"{before}<article><article>{inside}</article></article>{after}",
+            f"{before}<main><article>{inside}</article></main>{after}",
+            f"{before}{marked}<article>{inside}{marked}</article>{marked}{after}",
+            f"{before}{marked}<div>{inside}{marked}</div>{marked}{after}",
+            f"<div class=sidebar>{before}<article>{inside}</article></div>{marked}{after}",
+        ):
+            assert html_extract.main_text(changed, weights) == text
+
+
 def test_token_counts_are_the_librarys(spark, small):
     library = tokenizers.Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
     out = result(spark, small, "op7_token_counts").set_index("doc_id")
