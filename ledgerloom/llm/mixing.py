@@ -14,12 +14,15 @@ the one at the end of the queue in part, so that a source yields its target to t
 the same rows.
 
 Scale: the text is read once for the word counts; those (id, source, size) are written to the shared
-folder. Sources and hash buckets are summed before any shuffle, so a source with a third of all rows is
-no hot spot; only the documents in the one bucket where a queue ends are ordered.
-
-Nulls: a null text has size 0, null sources are one source (last in order), a null id hashes as empty
-text. Sources of size 0 have target 0. Rows that are alike in id, source and size get equal turns in
-any order. An empty table gives an empty result. Other columns are ignored.
+folder. Sources and hash buckets are summed before any shuffle. The plan, a row per source, is counted: up to
+``SENT_SOURCES`` rows it is sent to all tasks, a longer one is joined by shuffle with the documents of heavy sources dealt into
+slices. Either way a source with a third of all rows fills no task; only the documents in the one bucket where a
+queue ends are ordered.
+
+Nulls: a null text has size 0, null sources are one source (last in order), a document without id queues by a
+hash of its text. Sources of size 0 have target 0. Rows that are alike in id, source and size get equal turns in
+any order. An empty table gives an empty result. Other columns are ignored by :func:`mix`;
+:func:`mixed_documents` keeps them all, but for those named like its results.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import WORD, text_of
+from ledgerloom.operators.hot_keys import split_join
 from ledgerloom.session import durable
 
 WEIGHTS = (5, 2, 1)
@@ -37,6 +41,9 @@ MAX_EPOCHS = 3
 SEED = "mix-1"
 #: hash buckets of a queue, as hex digits of the hash
 BUCKET_DIGITS = 4
+#: a plan of at most so many sources (some 100 bytes each) is sent to all tasks
+SENT_SOURCES = 100_000
+RESULTS = ("size", "source_size", "target", "taken", "epochs")
 
 
 def word_count(text: Column) -> Column:
@@ -77,17 +84,20 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoch
     )
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[int] = WEIGHTS,
-    max_epochs: int = MAX_EPOCHS,
-    share: float = 1.0,
-    seed: str = SEED,
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, epochs (whole repetitions) of every document."""
-    turn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = durable(docs.select("doc_id", "source", word_count(text_of()).alias("size")))
-    sized = sized.withColumns({"turn": turn, "bucket": F.substring(turn, 1, BUCKET_DIGITS)})
+def _named_source(source: str) -> dict[str, Column]:
+    """The source as columns that are never null."""
+    return {"nameless": F.col(source).isNull(), "named": F.coalesce(F.col(source), F.lit(""))}
+
+
+def _queued(docs: DataFrame, seed: str, *kept: Column) -> DataFrame:
+    """The kept columns, source (as ``_named_source``), size, and the turn and bucket of each document."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(text_of())))
+    sized = docs.select(*kept, "doc_id", "source", word_count(text_of()).alias("size"), F.md5(F.concat(F.lit(f"{seed}:"), key)).alias("turn"))
+    return sized.withColumns({**_named_source("source"), "bucket": F.substring("turn", 1, BUCKET_DIGITS)})
+
+
+def _plan(sized: DataFrame, weights: Sequence[int], max_epochs: int, share: float) -> DataFrame:
+    """Per source: its size, target, whole repetitions, and where its queue ends."""
     rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = (
         source_targets(sized, weights, max_epochs, share)
@@ -105,22 +115,51 @@ def mix(
         .where((F.col("ahead") < F.col("goal")) & (F.col("goal") <= F.col("ahead") + F.col("words")))
         .select("s", F.col("bucket").alias("last_bucket"), "ahead")
     )
-    plan = durable(
-        plan.join(ends, plan.source.eqNullSafe(ends.s), "left").drop("s").withColumnRenamed("source", "s")
-    )
-    planned = sized.join(plan, sized.source.eqNullSafe(plan.s)).drop("s")
+    ended = plan.join(ends, plan.source.eqNullSafe(ends.s), "left").drop("s").withColumns(_named_source("source"))
+    return durable(ended.drop("source"))
+
+
+def _taken(queued: DataFrame, plan: DataFrame) -> DataFrame:
+    """The documents with their source's plan and the words that the mix takes of each."""
+    keys = ["nameless", "named"]
+    if plan.count() <= SENT_SOURCES:
+        planned = queued.join(F.broadcast(plan), keys)
+    else:
+        planned = split_join(queued, plan, keys, "left", spread=["turn"])
     front = F.col("last_bucket").isNotNull() & (F.col("bucket") < F.col("last_bucket"))
     at_end = F.coalesce(F.col("bucket") == F.col("last_bucket"), F.lit(False))
-    queue = Window.partitionBy("source").orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    queue = Window.partitionBy(*keys).orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     missing = F.col("goal") - F.col("ahead") - F.coalesce(F.sum("size").over(queue), F.lit(0))
     ordered = planned.where(at_end).withColumn("more", F.greatest(F.lit(0), F.least(F.col("size"), missing)))
     others = planned.where(~at_end).withColumn("more", F.when(front, F.col("size")).otherwise(F.lit(0)))
-    return others.unionByName(ordered).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("epochs") * F.col("size") + F.col("more")).cast("long").alias("taken"),
-        "epochs",
-    )
+    taken = (F.col("epochs") * F.col("size") + F.col("more")).cast("long")
+    return others.unionByName(ordered).withColumn("taken", taken)
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    share: float = 1.0,
+    seed: str = SEED,
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, epochs (whole repetitions) of every document."""
+    sized = durable(_queued(docs, seed))
+    return _taken(sized, _plan(sized, weights, max_epochs, share)).select("doc_id", "source", *RESULTS)
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    share: float = 1.0,
+    seed: str = SEED,
+) -> DataFrame:
+    """Every document with all its columns and size, source_size, target, taken, epochs: the training mix itself.
+
+    Texts don't move while the plan is sent to all tasks, but for those in the bucket where a queue ends.
+    """
+    plan = _plan(durable(_queued(docs, seed)), weights, max_epochs, share)
+    taken = _taken(_queued(docs, seed, F.struct(*docs.columns).alias("row")), plan)
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in RESULTS]
+    return taken.select(*own, *RESULTS)

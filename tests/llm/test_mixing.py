@@ -54,9 +54,56 @@ def test_edges(spark):
     assert mixing.mix(edge.empty(spark)).count() == 0
 
 
-def test_main_path_is_native(spark):
+def test_main_path_is_native(spark, monkeypatch):
     from helpers import plan
 
     docs = edge.documents(spark)
     assert "Python" not in plan(mixing.mix(docs))
+    assert "Python" not in plan(mixing.mixed_documents(docs))
+    monkeypatch.setattr(mixing, "SENT_SOURCES", 0)
+    assert "Python" not in plan(mixing.mix(docs))
     assert docs.select(mixing.word_count(F.lit(" a b  c\x0bd\n"))).first()[0] == 3
+
+
+def hot_documents(spark):
+    return spark.range(3000).selectExpr(
+        "if(id % 7 = 6, null, id) as doc_id",
+        "repeat('w ', cast(id % 37 as int)) as text",
+        "case when id % 3 = 0 then 'hot' when id % 5 = 0 then null else concat('s', id % 11) end as source",
+        "'kept' as turn",
+        "id as n",
+    )
+
+
+def test_a_long_plan_is_joined_in_slices(spark, monkeypatch, setting):
+    docs = hot_documents(spark)
+    sent = sorted(map(str, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "SENT_SOURCES", 0)
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = mixing.mix(docs)
+    assert sorted(map(str, joined.collect())) == sent
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "12")
+    queued, plan = mixing._queued(docs, "x"), mixing._plan(mixing._queued(docs, "x"), (5, 2, 1), 3, 1.0)
+    keys = ["nameless", "named"]
+    rows = [r["count"] for r in mixing.split_join(queued, plan, keys, "left").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(rows) == 3000 and max(rows) < 700  # the hot source has 1,000
+
+
+def test_mixed_documents_keep_their_columns(spark):
+    docs = hot_documents(spark)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == [*docs.columns, *mixing.RESULTS]
+    narrow = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("t")).collect()
+    assert sorted(map(str, mixed.groupBy("source").agg(F.sum("taken").alias("t")).collect())) == sorted(map(str, narrow))
+    by_row = {r.n: (r.text, r.source, r.turn, r.size) for r in mixed.collect()}
+    assert by_row == {r.n: (r.text, r.source, r.turn, r.n % 37) for r in docs.collect()}
+    edge_docs = edge.documents(spark)
+    assert mixing.mixed_documents(edge_docs).count() == len(edge.ROWS)
+    assert set(mixing.mixed_documents(edge_docs).columns) == set(edge_docs.columns) | set(mixing.RESULTS)
+
+
+def test_documents_without_id_queue_by_their_texts(spark):
+    docs = spark.range(400).selectExpr("cast(null as long) as doc_id", "concat(repeat('w ', 9), id) as text", "'s' as source")
+    turns = mixing._queued(docs, "x").select("bucket").distinct().count()
+    assert turns > 300
