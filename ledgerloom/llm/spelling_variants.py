@@ -41,6 +41,7 @@ SHORTEST = 6
 RAREST = 5
 RATIO = 5
 BLOCK = 4096
+BLOCKS_PER_TASK = 8
 #: so many different words are counted in a task before they are handed on
 COUNTED = 300_000
 #: searches that advance together
@@ -265,7 +266,10 @@ def _dealt(vocabulary: DataFrame, block: int) -> DataFrame:
     dealt = whole.withColumn("part", F.explode(part))
     # a cut half has places of its own
     place = F.when(F.col("parts") > 1, F.xxhash64("key", "part")).otherwise(F.pmod(F.col("key"), F.lit(blocks)))
-    return dealt.select(place.alias("place"), "side", "asks", "word", "n").repartition("place", "side").sortWithinPartitions("place", "side", "asks")
+    # few bytes but much work: a number of tasks by blocks, not by size
+    tasks = max(1, blocks // BLOCKS_PER_TASK)
+    rows = dealt.select(place.alias("place"), "side", "asks", "word", "n")
+    return rows.repartition(tasks, "place", "side").sortWithinPartitions("place", "side", "asks")
 
 
 def near_pairs(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
