@@ -60,17 +60,20 @@ FROM marked GROUP BY r
 OP6 = r"""
 WITH hosts AS (
     SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched,
-           regexp_replace(regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.$', '') AS host,
+           regexp_replace(regexp_extract(lower(coalesce(url, '')),
+               '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]+\]|[^/?#:@\[\]]+)', 1), '\.$', '') AS host,
            regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS path
     FROM pages),
 labelled AS (SELECT *, string_split(host, '.') AS labels FROM hosts),
-wide AS (
-    SELECT page_id, fetched,
-           CASE WHEN host = '' THEN [] ELSE list_distinct(
-               CASE WHEN path <> '' THEN [host || '/' || path] ELSE [] END || [host] ||
-               list_transform(range(2, greatest(least(len(labels), 5), 2) + 1),
-                              lambda n: array_to_string(labels[greatest(len(labels) - n + 1, 1):], '.'))) END AS keys
+names AS (
+    SELECT page_id, fetched, path, CASE WHEN host = '' THEN []
+           WHEN regexp_full_match(host, '\d{1,3}(\.\d{1,3}){3}|\[.*\]') THEN [host]
+           ELSE list_distinct([host] || list_transform(range(2, len(labels) + 1), lambda n: array_to_string(labels[len(labels) - n + 1:], '.')))
+           END AS names
     FROM labelled),
+wide AS (
+    SELECT page_id, fetched, names || CASE WHEN path = '' THEN [] ELSE list_transform(names, lambda x: x || '/' || path) END AS keys
+    FROM names),
 keyed AS (SELECT page_id, fetched, unnest(keys) AS key FROM wide),
 named AS (
     SELECT key, CAST('0x' || substr(md5(key), 1, 2) AS INTEGER) AS d0, CAST('0x' || substr(md5(key), 3, 2) AS INTEGER) AS d1,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Callable
 
@@ -25,7 +24,8 @@ from ledgerloom.llm import (
     url_filters,
 )
 from ledgerloom.llm.common import WORD_GAP, table, text_of
-from ledgerloom.session import shared_dir
+from ledgerloom.session import durable
+from ledgerloom.sources.storage import scratch_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -58,17 +58,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_list(pages: DataFrame) -> DataFrame:
-    """Dated list entries derived from the hosts and domains of the pages.
+    """Dated list entries derived from all keys of the pages: hosts and parent domains, alone and with the first path part.
 
     The hash of a key says whether a list of its category names it, since when, and whether the entry is
     withdrawn and comes back.
     """
-    host = url_filters.host_of(F.col("url"))
-    path = url_filters.first_path(F.col("url"))
-    keys = F.array_union(
-        F.when((host != "") & (path != ""), F.array(F.concat_ws("/", host, path))).otherwise(F.array().cast("array<string>")),
-        url_filters.domains(host),
-    )
+    keys = url_filters.lookup_keys(url_filters.host_of(F.col("url")), url_filters.first_path(F.col("url")))
     named = pages.select(F.explode(keys).alias("key")).distinct()
     digit = [F.conv(F.substring(F.md5("key"), 2 * k + 1, 2), 16, 10).cast("int") for k in range(4)]
     listed = named.select("key", *[d.alias(f"d{k}") for k, d in enumerate(digit)]).where("d0 % 4 = 0")
@@ -97,9 +92,9 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    cache = f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}"
-    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), cache)
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+    with scratch_folder(spark, "token-cache") as cache:
+        counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), cache)
+        return durable(counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 A filter list is a table of dated entries: (key, category, effective date, action), where the action
 lists or unlists the key. Keys are hosts or parent domains, alone or with the first part of the path. A capture
 is held against its host and every parent domain, however many labels they have, both alone and with its path.
+Addresses (four numbers, or anything in brackets) have no parents.
 :func:`intervals` turns entries into validity intervals, and :func:`evaluate` runs an as-of join: every
 capture is held against the entries that were active on the day it was fetched.
 
@@ -24,12 +25,14 @@ from pyspark.sql import functions as F
 LISTED, UNLISTED = "list", "unlist"
 #: characters of a domain name in DNS, at most
 LONGEST = 253
+ADDRESS = r"^(\d{1,3}(\.\d{1,3}){3}|\[.*\])$"
 FOREVER = "9999-12-31"
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host without user, port and a last dot; empty if there is none."""
-    found = F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
+    """Lower-case host without user, port and a last dot, an address in brackets with them; empty if there is none."""
+    pattern = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]+\]|[^/?#:@\[\]]+)"
+    found = F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), pattern, 1)
     return F.regexp_replace(found, r"\.$", "")
 
 
@@ -39,7 +42,7 @@ def first_path(url: Column) -> Column:
 
 
 def domains(host: Column) -> Column:
-    """The host and its parent domains of two labels or more; none without host."""
+    """The host and its parent domains of two labels or more; none without host, and no parents of addresses."""
     labels = F.split(host, r"\.")
     size = F.size(labels)
     # no name is longer than LONGEST, so a longer (broken) host has no more parents than fit
@@ -49,7 +52,8 @@ def domains(host: Column) -> Column:
         F.sequence(F.lit(2), F.greatest(most, F.lit(2))),
         lambda n: F.array_join(F.slice(labels, F.greatest(size - n + 1, F.lit(1)), n), "."),
     )
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_union(F.array(host), parents))
+    alone = F.when(host == "", F.array().cast("array<string>")).when(host.rlike(ADDRESS), F.array(host))
+    return alone.otherwise(F.array_union(F.array(host), parents))
 
 
 def lookup_keys(host: Column, path: Column) -> Column:

@@ -17,6 +17,12 @@ ENTRIES = [
     (None, "spam", DAY("2024-01-01"), "list"),
     ("other.example", "spam", None, "list"),
     ("bad.example", "spam", DAY("2024-01-20"), "list"),
+    ("deep.example/ads", "spam", DAY("2024-01-15"), "list"),
+    ("c.d.e.f.deep.example", "adult", DAY("2024-01-25"), "list"),
+    ("1.7", "spam", DAY("2024-01-01"), "list"),
+    ("10.9.1.7", "malware", DAY("2024-02-01"), "list"),
+    ("[2001:db8::1]", "malware", DAY("2024-02-01"), "list"),
+    ("[2001", "spam", DAY("2024-01-01"), "list"),
 ]
 
 
@@ -25,14 +31,14 @@ def captures(spark, rows):
 
 
 def active(url, day):
-    """Replays the entries up to the day."""
+    """Replays the entries up to the day, for the host and all parent domains, with and without the path."""
     host, _, rest = url.split("://")[1].partition("/")
-    host = host.split("@")[-1].split(":")[0].lower()
-    labels = host.split(".")
-    keys = {host} | {".".join(labels[-n:]) for n in range(2, min(len(labels), 5) + 1)}
+    host = host.split("@")[-1].lower()
+    host = host.partition("]")[0] + "]" if host.startswith("[") else host.split(":")[0]
+    address = host.startswith("[") or host.replace(".", "").isdigit()
+    names = {host} | (set() if address else {host.split(".", k)[-1] for k in range(host.count("."))})
     first = rest.split("/")[0].split("?")[0].split("#")[0]
-    if first:
-        keys.add(f"{host}/{first}")
+    keys = names | {f"{name}/{first}" for name in names if first}
     on = {}
     for key, category, since, action in sorted((e for e in ENTRIES if None not in e), key=lambda e: (e[2], e[3])):
         if since <= day:
@@ -43,6 +49,8 @@ def active(url, day):
 def test_every_day_against_a_replay(spark):
     days = [DAY("2024-01-01") + datetime.timedelta(k) for k in range(0, 100)]
     urls = ["http://bad.example/x", "https://User@A.B.bad.EXAMPLE:80/y?z", "http://host.fine.example", "http://site.example/path/a", "http://site.example/pathology", "http://notbad.example/"]
+    urls += ["http://a.b.c.d.e.f.deep.example/ads/1", "http://deep.example/ads?x", "http://x.deep.example/ad", "http://192.168.1.7/", "http://10.9.1.7:80/x"]
+    urls += ["http://[2001:db8::1]/x", "http://[2001:DB8::1]:8080/", "http://u@[2001:aaaa::2]/y"]
     rows = [(url, day.isoformat()) for url in urls for day in days]
     out = u.evaluate(captures(spark, rows), u.intervals(entries(spark))).collect()
     assert len(out) == len(rows)
@@ -65,12 +73,14 @@ def test_intervals(spark):
         ("bad.example", "spam", DAY("2024-03-10"), forever),
         ("bad.example", "adult", DAY("2024-03-15"), forever),
         ("site.example/path", "malware", DAY("2024-01-05"), forever),
+        *((key, category, since, forever) for key, category, since, _ in ENTRIES[-6:]),
     }
 
 
 @pytest.mark.parametrize(
     ("url", "host"),
-    [("http://A.b.C/x", "a.b.c"), ("https://u:p@h.org:8080?q", "h.org"), ("ftp://x.y.#f", "x.y"), ("no url", ""), ("", ""), (None, ""), ("http:///p", "")],
+    [("http://A.b.C/x", "a.b.c"), ("https://u:p@h.org:8080?q", "h.org"), ("ftp://x.y.#f", "x.y"), ("no url", ""), ("", ""), (None, ""), ("http:///p", ""),
+     ("http://[2001:DB8::1]/x", "[2001:db8::1]"), ("https://u:p@[::1]:8080/", "[::1]"), ("http://[2001", "")],
 )
 def test_host(spark, url, host):
     df = spark.createDataFrame([(url,)], "url string")
