@@ -2,18 +2,16 @@
 
 Toxic documents go; lines that many documents share stay in one of them; one document of each group of near
 copies stays (five-word shingles, similarity of 0.8 or more); documents that hold a test item go; what is
-left is mixed by source.
+left is mixed by source: all its columns, with the words that the mix takes of each document.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import decontamination, jaccard_join, line_dedup, mixing, toxicity
 from ledgerloom.llm.common import table
-from ledgerloom.session import shared_dir
+from ledgerloom.sources.storage import delete_folder, fresh_folder
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +31,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return mixing.mixed_documents(docs)
 
 
 STAGES = [
@@ -49,9 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
+    folder = fresh_folder(spark, "corpus")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:  # what the stage has read; the last one's rows stay for whoever reads the result
+            delete_folder(spark, f"{folder}/{before}")
+        before = name
     return docs
