@@ -1,7 +1,6 @@
 """Column expressions: everything here takes and returns a Spark ``Column``."""
 
 from ledgerloom.functions.dates import (
-    days_between,
     is_quarter_four,
     month_index,
     month_of,
@@ -13,7 +12,6 @@ from ledgerloom.functions.numbers import as_number, half_even, mean_of, percent,
 __all__ = [
     "as_number",
     "bin_fixed",
-    "days_between",
     "full_name",
     "half_even",
     "is_quarter_four",

@@ -16,10 +16,6 @@ def month_index(day: Column, base_year: int) -> Column:
     return (F.year(day) - base_year) * 12 + F.month(day)
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    return F.datediff(later, earlier)
-
-
 def is_quarter_four(month: Column) -> Column:
     """True when a ``'YYYY-MM'`` month is October, November or December."""
     return month.endswith("-10") | month.endswith("-11") | month.endswith("-12")

@@ -13,8 +13,9 @@ from ledgerloom.operators.ranking import global_row_number
 from ledgerloom.operators.segmentation import rfm_ntile_rollup
 from ledgerloom import session
 from ledgerloom.operators import customers, segmentation
+from ledgerloom.operators.quality import integrity_audit
 from ledgerloom.plans import catalog, reports
-from ledgerloom.sources import storage
+from ledgerloom.sources import star, storage
 from ledgerloom.sources.schemas import SCHEMAS, Tables
 
 LAZY = sorted(
@@ -166,3 +167,19 @@ def test_layout_is_rebalanced_by_month(stored):
     clustered, by = storage._laid_out(stored.transactions, "transactions")
     assert by == ["transaction_month"]
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(clustered)
+
+
+def test_the_integrity_audit_reads_each_table_once(stored):
+    text = plan(integrity_audit(stored.named()))
+    assert text.count("FileScan") == len(SCHEMAS)
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_the_derivation_does_not_stay_in_the_tasks_of_the_scan(spark, setting):
+    """Whether orders are broadcast or not, one exchange lies between the scan and the join."""
+    for threshold in ("-1", "10MB"):
+        setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+        text = plan(star.transactions(spark, "/root/testdata/sf0.001"))
+        between = text[text.index("Join") : text.index("FileScan parquet [l_orderkey")]
+        assert between.count("Exchange hashpartitioning(l_orderkey") == 1
+        assert "l_comment" not in text
