@@ -105,13 +105,15 @@ def _plan(sized: DataFrame, weights: Sequence[int], max_epochs: int, share: floa
         .withColumn("goal", F.floor(F.col("target") + 0.5) - F.col("epochs") * F.col("source_size"))
     )
     plan = durable(plan)  # a row per source; its readers must not compute the sums again
+    goals = plan.select(F.col("source").alias("s"), "goal")
+    goals = F.broadcast(goals) if plan.count() <= SENT_SOURCES else goals
     # the bucket in which the queue of each source ends, and the words before it
     order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ends = (
         sized.groupBy("source", "bucket")
         .agg(F.sum("size").alias("words"))
         .withColumn("ahead", F.coalesce(F.sum("words").over(order), F.lit(0)))
-        .join(plan.select(F.col("source").alias("s"), "goal"), F.col("source").eqNullSafe(F.col("s")))
+        .join(goals, F.col("source").eqNullSafe(F.col("s")))
         .where((F.col("ahead") < F.col("goal")) & (F.col("goal") <= F.col("ahead") + F.col("words")))
         .select("s", F.col("bucket").alias("last_bucket"), "ahead")
     )
