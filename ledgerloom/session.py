@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: (application, folder) that the tasks of a cluster were found to share
+_SHARED: set[tuple[str, str]] = set()
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -45,13 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for durable intermediate data.
 
     Only a ``local`` session, where every task runs on this machine, may fall back to a temporary
-    folder.
+    folder. A ``file:`` folder may be a mount that all machines share or a disk that each has of its own;
+    the tasks of a cluster are asked which it is, once a session.
     """
     context = spark.sparkContext
     one_machine = context.master.startswith("local")
     named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named:
-        if not one_machine and _is_local(spark, named):
+        if not one_machine and _is_local(spark, named) and not _seen_by_tasks(spark, named):
             raise RuntimeError(f"{CHECKPOINT_DIR} is {named}, a folder of each machine of its own")
         return named
     if not one_machine:
@@ -67,6 +73,30 @@ def _is_local(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
 
 
+def _seen_by_tasks(spark: SparkSession, folder: str) -> bool:
+    """Whether the tasks of a cluster find a file that the driver puts into the folder.
+
+    Two tasks a core look, so that every executor takes part; one that does not find it decides. A session without
+    executors has nobody to ask.
+    """
+    if spark._jsc.sc().isLocal():
+        return False
+    context = spark.sparkContext
+    if (context.applicationId, folder) in _SHARED:
+        return True
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/probe-{uuid.uuid4().hex}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.create(path).close()
+    try:
+        tasks = 2 * context.defaultParallelism
+        found = all(context.parallelize([path.toUri().getPath()] * tasks, tasks).map(os.path.exists).collect())
+    finally:
+        files.delete(path, False)
+    if found:
+        _SHARED.add((context.applicationId, folder))
+    return found
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, with its lineage cut.
 

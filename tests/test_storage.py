@@ -248,3 +248,31 @@ def test_no_machine_local_folder_on_a_cluster(spark, named, match):
 
     with pytest.raises(RuntimeError, match=match):
         session.shared_dir(Session())
+
+
+def cluster_on(spark, folder, paths_of=lambda paths: paths):
+    """The session as one of a cluster that names ``folder``; its tasks look for ``paths_of`` what they are asked for."""
+    context = mock.Mock(master="spark://here:7077", applicationId=str(folder), defaultParallelism=2)
+    context.parallelize = lambda paths, tasks: spark.sparkContext.parallelize(paths_of(paths), tasks)
+    session_ = mock.Mock(sparkContext=context, _jvm=spark._jvm)
+    session_.conf.get = lambda key, default=None: str(folder)
+    session_._jsc.hadoopConfiguration = spark._jsc.hadoopConfiguration
+    session_._jsc.sc().isLocal.return_value = False
+    return session_
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_a_mounted_folder_that_all_tasks_see_is_shared(spark, tmp_path, scheme):
+    cluster = cluster_on(spark, f"{scheme}{tmp_path}/shared")
+    assert session.shared_dir(cluster) == f"{scheme}{tmp_path}/shared"
+    assert not glob.glob(f"{tmp_path}/shared/probe-*")
+    cluster.sparkContext.parallelize = None  # asked once a session
+    assert session.shared_dir(cluster) == f"{scheme}{tmp_path}/shared"
+
+
+def test_a_folder_that_one_task_does_not_see_is_not_shared(spark, tmp_path):
+    elsewhere = lambda paths: [*paths[:-1], f"{paths[-1]}-elsewhere"]
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="of its own"):
+            session.shared_dir(cluster_on(spark, f"file://{tmp_path}/own", elsewhere))
+    assert not glob.glob(f"{tmp_path}/own/probe-*")
