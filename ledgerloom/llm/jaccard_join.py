@@ -59,10 +59,15 @@ BAND_RATIO = 1.5
 COMPARE = 4.0
 #: so many pairs may be compared at once instead of another round of pivots
 FINAL_PAIRS = 20_000_000
-#: a list of at most so many ids, or signatures with an id each, is sent to all executors (some 50 MB); then neither
-#: texts nor signatures move. Longer lists are joined by shuffle.
+#: a list of at most so many ids is sent to all executors; then no texts move. Longer lists are joined by shuffle.
 SENT_IDS = 2_000_000
-SENT_SIGNATURES = 2_000_000
+#: how frequent signatures are is sent as levels of so many buckets a signature, in blocks of ``WORDS * PLACES`` buckets (half a
+#: KB), ``BLOCKS`` at most (some 36 MB); then signatures don't move. With fewer than ``LEAST_BUCKETS`` a signature they do.
+BUCKETS = 16
+LEAST_BUCKETS = 4
+WORDS = 64
+PLACES = 16
+BLOCKS = 1 << 16
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -424,18 +429,51 @@ def _against_pivots(sets: DataFrame, members: DataFrame, units: DataFrame, seed:
     )
 
 
+def _level_place(blocks: int) -> list[Column]:
+    """Of a signature: the block of its bucket, the word there, the first of its four bits there."""
+    sig, shift = F.col("sig"), (BLOCKS - 1).bit_length()
+    word = F.shiftrightunsigned(sig, shift).bitwiseAND(F.lit(WORDS - 1)).cast("int")
+    place = F.shiftrightunsigned(sig, shift + 6).bitwiseAND(F.lit(PLACES - 1)).cast("int")
+    return [sig.bitwiseAND(F.lit(blocks - 1)).alias("block"), word.alias("word"), (4 * place).alias("place")]
+
+
+def _levels(repeated: DataFrame, blocks: int) -> DataFrame:
+    """block, words: for each bucket the binary logarithm of its most frequent signature's sets (15 at most), 0 if it has none."""
+    level = F.least(F.floor(F.log2(F.col("sets").cast("double"))), F.lit(PLACES - 1)).cast("long").alias("level")
+    most = repeated.select(*_level_place(blocks), level).groupBy("block", "word", "place").agg(F.max("level").alias("level"))
+    words = most.groupBy("block", "word").agg(F.bit_or(F.expr("shiftleft(level, place)")).alias("levels"))
+    by_word = F.map_from_entries(F.collect_list(F.struct("word", "levels")))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.coalesce(F.try_element_at(F.col("of"), w), F.lit(0).cast("long")))
+    return words.groupBy("block").agg(by_word.alias("of")).select("block", filled.alias("words"))
+
+
+def _shared(signed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``signed`` with ``often``, a number by which signatures are ordered, without most of those that one set alone has.
+
+    ``repeated``: the signatures of several sets, with their number of sets. A level is that of the bucket, so it is the same
+    wherever the signature is; in a bucket without any of them all are of one set only.
+    """
+    number = repeated.count()
+    if number * LEAST_BUCKETS > BLOCKS * WORDS * PLACES:
+        return signed.join(repeated.withColumnRenamed("sets", "often"), "sig")
+    blocks = min(BLOCKS, 1 << (number * BUCKETS // (WORDS * PLACES)).bit_length())
+    placed = signed.select("*", *_level_place(blocks)).join(F.broadcast(_levels(repeated, blocks)), "block")
+    level = F.expr(f"shiftrightunsigned(get(words, word), place) & {PLACES - 1}")
+    return placed.withColumn("often", level).where("often > 0").select(*signed.columns, "often")
+
+
 def _candidates(reps: DataFrame) -> DataFrame:
     """Pairs (a, b) that connect all classes which share one of the signatures they look up.
 
-    Signatures are ordered by their number of sets. Those of one set only come first and are counted, not kept, so a set with as
+    Signatures are ordered by how many sets have them. Those of one set only come first and are counted, not kept, so a set with as
     many of them as it looks up has no candidates.
     """
     by_band = reps.select(F.col("doc_id").alias("rep"), "f1", "f2", F.inline(F.transform("bands", lambda x, k: F.struct(x.alias("own"), k.alias("k")))))
     by_band = by_band.withColumn("left_out", F.col("own.wanted") - F.size("own.sigs"))
     signed = by_band.select("rep", "f1", "f2", "k", "left_out", F.explode("own.sigs").alias("sig"))
-    repeated = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    shared = signed.join(_sent(repeated, SENT_SIGNATURES), "sig")
-    per = shared.groupBy("rep", "f1", "f2", "k", "left_out").agg(F.sort_array(F.collect_list(F.struct("sets", "sig"))).alias("shared"))
+    repeated = compact(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"))
+    shared = _shared(signed, repeated)
+    per = shared.groupBy("rep", "f1", "f2", "k", "left_out").agg(F.sort_array(F.collect_list(F.struct("often", "sig"))).alias("shared"))
     left = F.size("shared") + F.col("left_out")  # of a set's signatures, those it shares come last
     kept = per.where(left > 0).select("rep", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
     meeting = compact(kept.select("rep", F.col("s.sig").alias("sig")))

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import edge
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import jaccard_join as j
 from ledgerloom.llm.components import connected_components
@@ -229,3 +230,39 @@ def test_connected_components(spark, seed):
             todo.extend(new)
         assert out[node] == min(seen)
     assert set(out) == set(near)
+
+
+def test_levels_of_signatures(spark):
+    r = random.Random(9)
+    sets = {r.randrange(-(1 << 63), 1 << 63): r.choice([2, 3, 4, 9, 300, 1 << 15, 1 << 20]) for _ in range(3000)}
+    alone = [r.randrange(-(1 << 63), 1 << 63) for _ in range(20_000)]
+    signed = spark.createDataFrame([(k, sig) for k, sig in enumerate([*sets, *alone])], "rep long, sig long")
+    repeated = spark.createDataFrame(list(sets.items()), "sig long, sets long")
+    out = {x.sig: x.often for x in j._shared(signed, repeated).collect()}
+    assert all(out[sig] >= min(15, n.bit_length() - 1) for sig, n in sets.items())
+    assert sum(out[sig] == min(15, n.bit_length() - 1) for sig, n in sets.items()) > 2700
+    assert len(out) < len(sets) + 2000  # most of those that one set alone has are left out
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 1 << 16])
+def test_components_do_not_depend_on_the_levels(spark, monkeypatch, blocks):
+    """With a block or two most signatures share a bucket, or there are too many for the levels, which are joined then."""
+    monkeypatch.setattr(j, "BLOCKS", blocks)
+    rows = variants(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (0, j.LEAST_BUCKETS):
+        monkeypatch.setattr(j, "LEAST_BUCKETS", least)
+        out = {r.doc_id: (r.n_shingles, r.component_id) for r in j.linked_components(docs, 5, 80, 100).collect()}
+        assert out == by_hand(rows, 5, 80, 100)
+
+
+def test_signatures_are_not_sent_one_by_one(spark, monkeypatch):
+    """A list of the repeated ones with their counts took some 80 bytes each on the driver, 134 MB over 0.5 GB of texts."""
+    sent, send = [], F.broadcast
+    monkeypatch.setattr(j.F, "broadcast", lambda df: sent.append(df.count()) or send(df))
+    docs = spark.createDataFrame(variants(4, bases=60, lengths=(100, 150)), "doc_id long, text string")
+    sets = j.document_sets(docs, j.Join(5, 80, 100, 100_000))
+    assert j._candidates(sets).count()
+    signatures = sets.select(F.explode(F.flatten("bands.sigs")).alias("sig"))
+    repeated = signatures.groupBy("sig").count().where("count > 1").count()
+    assert repeated > 2000 and 0 < sum(sent) * 30 < repeated
