@@ -27,7 +27,8 @@ component, so no group ever emits all its pairs.
 
 Scale: one pass of Python over the text; then signatures (about a tenth of the shingles), counted before
 the shuffle; only members of families are read again. A component's rows never meet in one task: blocks hold
-at most ``BLOCK`` members and ``PIVOTS`` others. Intermediate results are in the shared folder.
+at most ``BLOCK`` members, more of short sets, and as many others. Chance meetings make families of short sets that aren't linked, so
+what moves there, each block's members once for each other block, is the less the larger the blocks. Intermediate results are in the shared folder.
 
 Null, empty and blank texts have no set and link with nothing. Fewer words than a shingle count as
 one shingle. Rows with the same id are one node of the graph (their links unite). Rows without id get
@@ -52,6 +53,9 @@ from ledgerloom.llm.components import compact, connected_components
 from ledgerloom.session import durable
 
 BLOCK = 256
+#: a block of short sets has more members, up to so many shingles and ``SHORT`` times as many members
+BLOCK_SHINGLES = 1 << 17
+SHORT = 16
 PIVOTS = 16
 SMALL = 256
 BAND_RATIO = 1.5
@@ -62,11 +66,14 @@ FINAL_PAIRS = 20_000_000
 #: a list of at most so many ids is sent to all executors; then no texts move. Longer lists are joined by shuffle.
 SENT_IDS = 2_000_000
 #: how frequent signatures are is sent as levels of so many buckets a signature, in blocks of ``WORDS * PLACES`` buckets (half a
-#: KB), ``BLOCKS`` at most (some 36 MB); then signatures don't move. With fewer than ``LEAST_BUCKETS`` a signature they do.
+#: KB), ``BLOCKS`` at most (some 36 MB); then signatures don't move. With fewer than ``LEAST_BUCKETS`` a signature too many of one
+#: set share a bucket with them; then a bit says whether a bucket has any, which needs a quarter of the room, and those that
+#: pass are joined with the counts.
 BUCKETS = 16
-LEAST_BUCKETS = 4
+LEAST_BUCKETS = 16
 WORDS = 64
 PLACES = 16
+BITS = 64
 BLOCKS = 1 << 16
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -215,7 +222,7 @@ class Join:
 
 
 def document_sets(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n, f1, f2 (a 128-bit fingerprint of the set); by band sigs, and the number of them to be looked up."""
+    """doc_id, n, f1, f2 (a 128-bit fingerprint of the set); by band sigs, and the number of them to be looked up; a number of the row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = join.signer()
@@ -241,9 +248,10 @@ def document_sets(docs: DataFrame, join: Join) -> DataFrame:
                 names=["doc_id", "n", "f1", "f2", "bands"],
             )
 
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
+    found = docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
         rows, "doc_id long, n long, f1 long, f2 long, bands array<struct<wanted: int, sigs: array<long>>>"
     )
+    return found.withColumn("row", F.monotonically_increasing_id())
 
 
 class _Union:
@@ -335,17 +343,18 @@ def _sent(df: DataFrame, most: int) -> DataFrame:
 
 
 def _sets_of(documents: DataFrame, units: DataFrame, join: Join) -> DataFrame:
-    """The sets of the documents in ``units`` (rep, unit, k), each its own component for now."""
+    """The sets of the documents in ``units`` (rep, unit, k, blocks), each its own component for now."""
+    names = ["rep", "unit", "k", "blocks"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py() or "", join.size).view(np.int64) for t in batch.column("text")]
-            kept = [batch.column(c) for c in ("rep", "unit", "k")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.list_(pa.int64()))], names=["rep", "unit", "k", "vals"])
+            kept = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.list_(pa.int64()))], names=[*names, "vals"])
 
     chosen = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(units, "rep")
-    schema = "rep long, unit long, k long, vals array<long>"
-    return chosen.select("rep", "unit", "k", "text").mapInArrow(rows, schema).withColumn("component", F.col("rep"))
+    schema = "rep long, unit long, k long, blocks long, vals array<long>"
+    return chosen.select(*names, "text").mapInArrow(rows, schema).withColumn("component", F.col("rep"))
 
 
 def _hash_part(column: str, parts: Column) -> Column:
@@ -364,21 +373,26 @@ def _family_links(documents: DataFrame, sizes: DataFrame, candidates: DataFrame,
     own = families.join(sizes, "rep").withColumn("step", step)
     # a unit is a size class of a family together with the next larger one
     named = own.withColumn("class", F.explode(F.array("step", F.col("step") - 1)))
-    named = named.select("rep", F.xxhash64("family", "class").alias("unit"), (F.col("class") == F.col("step")).alias("lower")).distinct()
-    counts = named.groupBy("unit").agg(F.count(F.lit(1)).alias("k"), F.count_if("lower").alias("low"))
-    units = compact(named.join(counts.where((F.col("low") > 0) & (F.col("k") > 1)), "unit").select("rep", "unit", "k"))
+    named = named.select("rep", F.xxhash64("family", "class").alias("unit"), (F.col("class") == F.col("step")).alias("lower"), "n").distinct()
+    counts = named.groupBy("unit").agg(F.count(F.lit(1)).alias("k"), F.count_if("lower").alias("low"), F.max("n").alias("n"))
+    counts = counts.where((F.col("low") > 0) & (F.col("k") > 1)).select("unit", "k", _blocks_of("k", "n").alias("blocks"))
+    units = compact(named.join(counts, "unit").select("rep", "unit", "k", "blocks"))
     yes = F.lit(True)
     small = _sets_of(documents, _sent(units.where(F.col("k") <= SMALL), SENT_IDS), join)
     links = _verified(small.withColumns({"block": F.lit(0), "part": F.lit(0), "asks": yes, "member": yes}), join)
     large_units = units.where(F.col("k") > SMALL)
     if large_units.isEmpty():
         return links
-    large = durable(_sets_of(documents, _sent(large_units, SENT_IDS), join)).withColumns(
-        {"blocks": F.ceil(F.col("k") / BLOCK).cast("long"), "part": F.lit(0)}
-    )
+    large = durable(_sets_of(documents, _sent(large_units, SENT_IDS), join)).withColumn("part", F.lit(0))
     return links.unionByName(_large_links(large, large_units, join))
 
 
+def _blocks_of(members: str, most: str) -> Column:
+    """Into so many blocks a unit is cut, by its members and the size of its largest set."""
+    of_short = F.floor(F.lit(BLOCK_SHINGLES) / F.col(most))
+    return F.ceil(F.col(members) / F.greatest(F.lit(BLOCK), F.least(F.lit(BLOCK * SHORT), of_short))).cast("long")
+
+
 def _large_links(large: DataFrame, large_units: DataFrame, join: Join) -> DataFrame:
     """Verified links in units of more than one block."""
     yes, no = F.lit(True), F.lit(False)
@@ -398,7 +412,7 @@ def _large_links(large: DataFrame, large_units: DataFrame, join: Join) -> DataFr
         rest = labelled.where(F.col("component") != F.col("main"))
         if work <= FINAL_PAIRS or (work_before is not None and work > 0.8 * work_before):
             # everything that isn't in the main component against all members, block by block
-            pieces = F.ceil(F.col("rest") / BLOCK).cast("long")
+            pieces = F.ceil(F.col("rest") * F.col("blocks") / F.col("k")).cast("long")  # as large as blocks
             asking = rest.withColumn("part", _hash_part("rep", pieces)).withColumn(
                 "block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
             )
@@ -429,20 +443,35 @@ def _against_pivots(sets: DataFrame, members: DataFrame, units: DataFrame, seed:
     )
 
 
-def _level_place(blocks: int) -> list[Column]:
-    """Of a signature: the block of its bucket, the word there, the first of its four bits there."""
+def _place(blocks: int, places: int) -> list[Column]:
+    """Of a signature: the block of its bucket, the word there, the first of the bucket's bits there, of a word for ``places`` buckets."""
     sig, shift = F.col("sig"), (BLOCKS - 1).bit_length()
     word = F.shiftrightunsigned(sig, shift).bitwiseAND(F.lit(WORDS - 1)).cast("int")
-    place = F.shiftrightunsigned(sig, shift + 6).bitwiseAND(F.lit(PLACES - 1)).cast("int")
-    return [sig.bitwiseAND(F.lit(blocks - 1)).alias("block"), word.alias("word"), (4 * place).alias("place")]
+    place = F.shiftrightunsigned(sig, shift + 6).bitwiseAND(F.lit(places - 1)).cast("int")
+    return [sig.bitwiseAND(F.lit(blocks - 1)).alias("block"), word.alias("word"), (64 // places * place).alias("place")]
+
+
+def _blocks(number: int, places: int) -> int:
+    """So many blocks have ``BUCKETS`` buckets a signature, or as many as may be sent."""
+    return min(BLOCKS, 1 << (number * BUCKETS // (WORDS * places)).bit_length())
 
 
 def _levels(repeated: DataFrame, blocks: int) -> DataFrame:
     """block, words: for each bucket the binary logarithm of its most frequent signature's sets (15 at most), 0 if it has none."""
     level = F.least(F.floor(F.log2(F.col("sets").cast("double"))), F.lit(PLACES - 1)).cast("long").alias("level")
-    most = repeated.select(*_level_place(blocks), level).groupBy("block", "word", "place").agg(F.max("level").alias("level"))
-    words = most.groupBy("block", "word").agg(F.bit_or(F.expr("shiftleft(level, place)")).alias("levels"))
-    by_word = F.map_from_entries(F.collect_list(F.struct("word", "levels")))
+    most = repeated.select(*_place(blocks, PLACES), level).groupBy("block", "word", "place").agg(F.max("level").alias("value"))
+    return _filled(most)
+
+
+def _bits(repeated: DataFrame, blocks: int) -> DataFrame:
+    """block, words: for each bucket a bit that says whether it has a signature."""
+    return _filled(repeated.select(*_place(blocks, BITS), F.lit(1).cast("long").alias("value")))
+
+
+def _filled(values: DataFrame) -> DataFrame:
+    """block, words: the values (block, word, place, value), each at its place of its word."""
+    words = values.groupBy("block", "word").agg(F.bit_or(F.expr("shiftleft(value, place)")).alias("filled"))
+    by_word = F.map_from_entries(F.collect_list(F.struct("word", "filled")))
     filled = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.coalesce(F.try_element_at(F.col("of"), w), F.lit(0).cast("long")))
     return words.groupBy("block").agg(by_word.alias("of")).select("block", filled.alias("words"))
 
@@ -451,31 +480,36 @@ def _shared(signed: DataFrame, repeated: DataFrame) -> DataFrame:
     """``signed`` with ``often``, a number by which signatures are ordered, without most of those that one set alone has.
 
     ``repeated``: the signatures of several sets, with their number of sets. A level is that of the bucket, so it is the same
-    wherever the signature is; in a bucket without any of them all are of one set only.
+    wherever the signature is; in a bucket without any of them all are of one set only. Of more signatures than there are
+    levels for, those in a bucket with any are joined with the numbers themselves: however few buckets a signature are left,
+    no more than all of them move, in rows of ``signed``.
     """
     number = repeated.count()
     if number * LEAST_BUCKETS > BLOCKS * WORDS * PLACES:
-        return signed.join(repeated.withColumnRenamed("sets", "often"), "sig")
-    blocks = min(BLOCKS, 1 << (number * BUCKETS // (WORDS * PLACES)).bit_length())
-    placed = signed.select("*", *_level_place(blocks)).join(F.broadcast(_levels(repeated, blocks)), "block")
-    level = F.expr(f"shiftrightunsigned(get(words, word), place) & {PLACES - 1}")
-    return placed.withColumn("often", level).where("often > 0").select(*signed.columns, "often")
+        places, sent = BITS, _bits
+    else:
+        places, sent = PLACES, _levels
+    blocks = _blocks(number, places)
+    placed = signed.select("*", *_place(blocks, places)).join(F.broadcast(sent(repeated, blocks)), "block")
+    value = F.expr(f"shiftrightunsigned(get(words, word), place) & {(1 << 64 // places) - 1}")
+    found = placed.withColumn("often", value).where("often > 0").select(*signed.columns, "often")
+    return found if sent is _levels else found.drop("often").join(repeated.withColumnRenamed("sets", "often"), "sig")
 
 
 def _candidates(reps: DataFrame) -> DataFrame:
     """Pairs (a, b) that connect all classes which share one of the signatures they look up.
 
     Signatures are ordered by how many sets have them. Those of one set only come first and are counted, not kept, so a set with as
-    many of them as it looks up has no candidates.
+    many of them as it looks up has no candidates. What moves of a signature is the number of its row and its band besides itself.
     """
-    by_band = reps.select(F.col("doc_id").alias("rep"), "f1", "f2", F.inline(F.transform("bands", lambda x, k: F.struct(x.alias("own"), k.alias("k")))))
-    by_band = by_band.withColumn("left_out", F.col("own.wanted") - F.size("own.sigs"))
-    signed = by_band.select("rep", "f1", "f2", "k", "left_out", F.explode("own.sigs").alias("sig"))
+    by_band = reps.select("row", F.col("doc_id").alias("rep"), F.inline(F.transform("bands", lambda x, k: F.struct(x.alias("own"), k.alias("k")))))
+    signed = by_band.select("row", "k", F.explode("own.sigs").alias("sig"))
     repeated = compact(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"))
     shared = _shared(signed, repeated)
-    per = shared.groupBy("rep", "f1", "f2", "k", "left_out").agg(F.sort_array(F.collect_list(F.struct("often", "sig"))).alias("shared"))
+    per = shared.groupBy("row", "k").agg(F.sort_array(F.collect_list(F.struct("often", "sig"))).alias("shared"))
+    left_out = by_band.select("row", "k", "rep", (F.col("own.wanted") - F.size("own.sigs")).alias("left_out"))
     left = F.size("shared") + F.col("left_out")  # of a set's signatures, those it shares come last
-    kept = per.where(left > 0).select("rep", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
+    kept = per.join(left_out, ["row", "k"]).where(left > 0).select("rep", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
     meeting = compact(kept.select("rep", F.col("s.sig").alias("sig")))
     lowest = meeting.groupBy("sig").agg(F.min("rep").alias("low"))
     pairs = meeting.join(lowest, "sig").where(F.col("rep") != F.col("low"))

@@ -266,3 +266,50 @@ def test_signatures_are_not_sent_one_by_one(spark, monkeypatch):
     signatures = sets.select(F.explode(F.flatten("bands.sigs")).alias("sig"))
     repeated = signatures.groupBy("sig").count().where("count > 1").count()
     assert repeated > 2000 and 0 < sum(sent) * 30 < repeated
+
+
+def test_signatures_of_one_set_stay_where_there_are_too_many_for_levels(spark, monkeypatch):
+    """All of them moved then, with the fingerprint of their set: 4.6 times the input."""
+    r = random.Random(9)
+    sets = {r.randrange(-(1 << 63), 1 << 63): r.choice([2, 3, 4, 9, 300, 1 << 20]) for _ in range(3000)}
+    alone = [r.randrange(-(1 << 63), 1 << 63) for _ in range(20_000)]
+    signed = spark.createDataFrame([(k, sig) for k, sig in enumerate([*sets, *alone])], "row long, sig long")
+    repeated = spark.createDataFrame(list(sets.items()), "sig long, sets long")
+    sent, send = [], F.broadcast
+    monkeypatch.setattr(j, "BLOCKS", 32)
+    monkeypatch.setattr(j.F, "broadcast", lambda df: sent.append(df) or send(df))
+    assert {x.sig: x.often for x in j._shared(signed, repeated).collect()} == sets
+    (bits,) = sent
+    held = {x.block: x.words for x in bits.collect()}
+    passing = [x for x in signed.select("sig", *j._place(j._blocks(len(sets), j.BITS), j.BITS)).collect() if x.block in held and held[x.block][x.word] >> x.place & 1]
+    assert sets.keys() <= {x.sig for x in passing} and len(passing) < len(sets) + 2000
+
+
+def test_signatures_move_with_the_number_of_their_row(spark, monkeypatch):
+    moved, shared = [], j._shared
+    monkeypatch.setattr(j, "_shared", lambda signed, repeated: moved.append(signed.columns) or shared(signed, repeated))
+    rows = variants(6)
+    # the same id with several texts, and rows that come twice, are rows of their own
+    docs = spark.createDataFrame([*rows, *[(0, text) for _, text in rows[:20]], *rows[:5]], "doc_id long, text string").repartition(5)
+    sets = j.document_sets(docs, j.Join(5, 80, 100, len(rows)))
+    numbers = [x.row for x in sets.collect()]
+    assert len(set(numbers)) == len(numbers) == len(rows) + 25
+    assert j._candidates(sets).count()
+    assert moved == [["row", "k", "sig"]]
+
+
+@pytest.mark.parametrize("shingles", [0, j.BLOCK_SHINGLES])
+def test_large_families_of_short_sets_that_are_not_linked(spark, monkeypatch, shingles):
+    """Chance meetings connect them; each moved once for every block of 256 others."""
+    for name, value in (("SMALL", 4), ("BLOCK", 16), ("PIVOTS", 2), ("BLOCK_SHINGLES", shingles)):
+        monkeypatch.setattr(j, name, value)
+    verified, moved = j._verified, []
+    monkeypatch.setattr(j, "_verified", lambda blocks, join: moved.append(blocks.count()) or verified(blocks, join))
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(24 + k % 3))) for k in range(600)]
+    rows += [(600 + k, f"{text} tail") for k, text in rows[:50]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = spark.createDataFrame([(k, len(text.split()) - 4) for k, text in rows], "rep long, n long")
+    candidates = spark.createDataFrame([(k, k + 1) for k in range(len(rows) - 1)], "a long, b long")
+    links = {(x.a, x.b) for x in j._family_links(docs, sizes, candidates, j.Join(5, 80, 100, len(rows))).collect()}
+    assert links == {(k, 600 + k) for k in range(50)}
+    assert (sum(moved) < 12 * len(rows)) == bool(shingles)
